@@ -1,0 +1,5 @@
+"""Intentionally empty: the workload is batch only.
+
+Every input is a full reload and every date is fixed per run, so there are no
+watermarks, stateful operators or late-data rules to express.
+"""
