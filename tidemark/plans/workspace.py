@@ -7,6 +7,7 @@ import datetime as dt
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.config import RetentionConfig
 from tidemark.operators import (
@@ -261,7 +262,7 @@ class Workspace:
     @cached_property
     def rule_table(self):
         """The published table layout on rule probabilities."""
-        return decisions.retention_scores(self.rule_decided, self.cfg)
+        return decisions.retention_scores(self.rule_decided, self.cfg, F.col("as_of_date"))
 
     @cached_property
     def decided(self):
@@ -270,7 +271,7 @@ class Workspace:
 
     @cached_property
     def scores(self):
-        return decisions.retention_scores(self.decided, self.cfg)
+        return decisions.retention_scores(self.decided, self.cfg, F.col("as_of_date"))
 
     @cached_property
     def scenarios(self):
