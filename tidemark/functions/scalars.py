@@ -25,6 +25,16 @@ def exact_ratio(numerator: str | Column, denominator: str | Column, places: int)
     return F.round(col(numerator).cast(TOTAL) / divisor, places)
 
 
+def sum_of_lines(c: str | Column) -> Column:
+    """Exact sum of line amounts with two decimals and at most ten digits.
+
+    Adding whole cents as longs is cheaper than adding decimals too wide for one
+    machine word, which is what Spark makes of such a sum.
+    """
+    cents = F.round(col(c).cast("double") * 100).cast("long")
+    return (F.sum(cents).cast("decimal(20,0)") / 100).cast(MONEY)
+
+
 def share(numerator: str | Column, denominator: str | Column) -> Column:
     """Unrounded double quotient; NULL when the divisor is 0."""
     return F.try_divide(col(numerator).cast("double"), col(denominator).cast("double"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.scalars import MONEY
+from tidemark.functions.scalars import MONEY, sum_of_lines
 from tidemark.operators.ordered import ordered_scan
 
 SEQUENCE_COLUMNS = ["customer_order_number", "is_first_purchase"]
@@ -26,9 +26,9 @@ def items_per_order(items: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("item_count"),
         F.countDistinct("product_id").alias("distinct_product_count"),
         F.countDistinct("seller_id").alias("seller_count"),
-        F.sum("item_price").cast(MONEY).alias("items_subtotal"),
-        F.sum("freight_value").cast(MONEY).alias("freight_total"),
-        F.sum(F.col("item_price") + F.col("freight_value")).cast(MONEY).alias("items_gross_total"),
+        sum_of_lines("item_price").alias("items_subtotal"),
+        sum_of_lines("freight_value").alias("freight_total"),
+        sum_of_lines(F.col("item_price") + F.col("freight_value")).alias("items_gross_total"),
     )
 
 
@@ -37,7 +37,7 @@ def payments_per_order(payments: DataFrame) -> DataFrame:
     paid = F.col("payment_value").isNotNull()
     largest = F.max(F.when(paid, F.struct("payment_value", "payment_type")))
     return payments.groupBy("order_id").agg(
-        F.sum("payment_value").cast(MONEY).alias("payment_total"),
+        sum_of_lines("payment_value").alias("payment_total"),
         F.count(F.lit(1)).alias("payment_count"),
         F.max("payment_installments").alias("max_installments"),
         largest["payment_type"].alias("main_payment_type"),

@@ -26,7 +26,9 @@ class Query:
     approx: tuple[str, ...] = ()
 
     def run(self, spark: SparkSession, folder: str) -> DataFrame:
-        df = self.build(Workspace.over_star(spark, folder))
+        return self.shown(self.build(shared_workspace(spark, folder)))
+
+    def shown(self, df: DataFrame) -> DataFrame:
         decimals = [f.name for f in df.schema if isinstance(f.dataType, T.DecimalType)]
         shown = {c: F.col(c).cast("double") for c in decimals}
         shown |= {c: F.round(F.col(c).cast("double"), DIGITS) for c in self.approx}
@@ -42,6 +44,15 @@ class Query:
 
 
 CATALOG: dict[str, Query] = {}
+_WORKSPACES: dict[tuple[str, str], Workspace] = {}
+
+
+def shared_workspace(spark: SparkSession, folder: str) -> Workspace:
+    """One workspace per session and data set: marts are stored once and all queries read them."""
+    key = (spark.sparkContext.applicationId, folder)
+    if key not in _WORKSPACES:
+        _WORKSPACES[key] = Workspace.over_star(spark, folder, keep=True)
+    return _WORKSPACES[key]
 
 
 def query(key: str, sql: str | None = None, money: str = "", approx: str = ""):

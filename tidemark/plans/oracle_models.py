@@ -44,6 +44,10 @@ def case_map(column: str, mapping: dict, cast: str) -> str:
     return f"(case {column} {arms} end)::{cast}"
 
 
+def hex_id(kind: int, key: str) -> str:
+    return f"format('{{:x}}', ({key})::BIGINT + {kind << 60}) || repeat('0', 16)"
+
+
 def state_sql(c: str) -> str:
     return f"case {c} % 3 when 0 then 'SP' when 1 then 'RJ' else 'MG' end"
 
@@ -53,7 +57,7 @@ MODELS["ships"] = """
   select l_orderkey, min(l_linenumber) as first_line, max(l_quantity)::INT as max_quantity,
          min(l_discount) as min_discount, max(l_tax) as max_tax
   from lineitem group by all"""
-MODELS["raw_orders"] = """
+MODELS["raw_orders"] = f"""
   with base as (
     select *, o_orderdate + to_hours((o_orderkey % 24)::INT) as bought, left(o_orderpriority, 1) as p,
       case
@@ -64,7 +68,7 @@ MODELS["raw_orders"] = """
              when '4' then 'unavailable' else 'canceled' end
       end as st
     from orders left join ships on l_orderkey = o_orderkey)
-  select md5('o-' || o_orderkey) as order_id, md5('c-' || o_orderkey) as customer_id, st as order_status,
+  select {hex_id(1, 'o_orderkey')} as order_id, {hex_id(2, 'o_orderkey')} as customer_id, st as order_status,
     bought as order_purchase_timestamp, bought + interval 1 hour as order_approved_at,
     case when st in ('delivered', 'shipped')
          then bought + to_days((first_line - if(min_discount = 0, 2, 0))::INT) end as order_delivered_carrier_date,
@@ -73,37 +77,37 @@ MODELS["raw_orders"] = """
     o_orderdate + interval 48 day as order_estimated_delivery_date
   from base"""
 MODELS["raw_customers"] = f"""
-  select md5('c-' || o_orderkey) as customer_id, md5('p-' || o_custkey || '-' || (o_orderkey % 8)) as customer_unique_id,
+  select {hex_id(2, 'o_orderkey')} as customer_id, {hex_id(3, 'o_custkey * 8 + o_orderkey % 8')} as customer_unique_id,
     (c_nationkey * 397 + 101)::VARCHAR as customer_zip_code_prefix, ' ' || c_mktsegment as customer_city,
     {state_sql('c_nationkey')} as customer_state
   from orders join customer on c_custkey = o_custkey"""
 CENTS = "((l_extendedprice::DECIMAL(12,2) * 100)::BIGINT // 400 / 100.0)::DECIMAL(10,2)"
 MODELS["raw_order_items"] = f"""
-  select md5('o-' || l_orderkey) as order_id, l_linenumber as order_item_id, md5('i-' || l_partkey) as product_id,
-    md5('s-' || l_suppkey) as seller_id, l_shipdate as shipping_limit_date,
+  select {hex_id(1, 'l_orderkey')} as order_id, l_linenumber as order_item_id, {hex_id(5, 'l_partkey')} as product_id,
+    {hex_id(6, 'l_suppkey')} as seller_id, l_shipdate as shipping_limit_date,
     {CENTS} as price, l_quantity::DECIMAL(10,2) as freight_value
   from lineitem"""
 MODELS["raw_order_payments"] = f"""
-  select md5('o-' || l_orderkey) as order_id, l_linenumber as payment_sequential,
+  select {hex_id(1, 'l_orderkey')} as order_id, l_linenumber as payment_sequential,
     case when l_returnflag = 'A' then 'credit_card' when l_linestatus = 'F' then 'voucher' else 'boleto' end as payment_type,
     l_linenumber - 1 as payment_installments, {CENTS} as payment_value
   from lineitem where l_returnflag <> 'N'"""
-MODELS["raw_order_reviews"] = """
-  select md5('r-' || o_custkey || '-' || strftime(o_orderdate, '%Y%m')) as review_id, md5('o-' || o_orderkey) as order_id,
+MODELS["raw_order_reviews"] = f"""
+  select {hex_id(4, 'o_custkey * 100000 + year(o_orderdate) * 12 + month(o_orderdate)')} as review_id, {hex_id(1, 'o_orderkey')} as order_id,
     left(o_orderpriority, 1)::INT as review_score, null::VARCHAR as review_comment_title,
     case when o_orderstatus = 'F'
          then 'said "' || o_orderpriority || '", on time' || chr(10) || 'order ' || o_orderkey end as review_comment_message,
     o_orderdate + interval 10 day as review_creation_date,
     o_orderdate + to_hours((o_orderkey % 24)::INT) + interval 12 day as review_answer_timestamp
   from orders where o_orderpriority <> '4-NOT SPECIFIED'"""
-MODELS["raw_products"] = """
-  select md5('i-' || p_partkey) as product_id, if(p_type <> 'SMALL', lower(p_type), ' ') as product_category_name,
+MODELS["raw_products"] = f"""
+  select {hex_id(5, 'p_partkey')} as product_id, if(p_type <> 'SMALL', lower(p_type), ' ') as product_category_name,
     length(p_name)::INT as product_name_lenght, length(p_brand)::INT as product_description_lenght,
     (p_size % 4)::INT as product_photos_qty, (p_size % 10)::INT as product_weight_g,
     p_size::INT as product_length_cm, p_size::INT as product_height_cm, p_size::INT as product_width_cm
   from part"""
 MODELS["raw_sellers"] = f"""
-  select md5('s-' || s_suppkey) as seller_id, (s_nationkey * 397 + 101)::VARCHAR as seller_zip_code_prefix,
+  select {hex_id(6, 's_suppkey')} as seller_id, (s_nationkey * 397 + 101)::VARCHAR as seller_zip_code_prefix,
     n_name as seller_city, {state_sql('s_nationkey')} as seller_state
   from supplier join nation on n_nationkey = s_nationkey"""
 MODELS["raw_geolocation"] = f"""

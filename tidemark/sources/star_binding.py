@@ -20,11 +20,12 @@ class StarTables:
         return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
 
 
-def hex_id(kind: str, *parts: Column) -> Column:
-    text = [F.lit(kind)]
-    for p in parts:
-        text += [F.lit("-"), p.cast("string")]
-    return F.md5(F.concat(*text).cast("binary"))
+def hex_id(kind: int, key: Column) -> Column:
+    """32 lower-case hex digits: the kind of thing, its number, sixteen zeros."""
+    return F.concat(F.lower(F.hex(key.cast("long") + F.lit(kind << 60))), F.lit("0" * 16))
+
+
+ORDER, CUSTOMER, PERSON, REVIEW, PRODUCT, SELLER = range(1, 7)
 
 
 def state_of(nation: Column) -> Column:
@@ -45,8 +46,8 @@ def bought_at(order_key: Column, order_date: Column) -> Column:
 
 def retail_price(c: str) -> Column:
     """Wholesale line amount scaled to consumer prices, exact to the cent."""
-    cents = (F.col(c).cast("decimal(12,2)") * 100).cast("long")
-    return (F.floor(cents / 400).cast("decimal(10,0)") / 100).cast("decimal(10,2)")
+    cents = F.floor(F.round(F.col(c) * 100) / 400)
+    return (cents / 100).cast("decimal(10,2)")
 
 
 def orders(star: StarTables) -> DataFrame:
@@ -75,8 +76,8 @@ def orders(star: StarTables) -> DataFrame:
     delivery_days = F.col("max_quantity") - F.when(F.col("max_tax") == 0, 60).otherwise(0)
     has_carrier = order_status.isin("delivered", "shipped")
     return o.join(ships, o.o_orderkey == ships.l_orderkey, "left").select(
-        hex_id("o", F.col("o_orderkey")).alias("order_id"),
-        hex_id("c", F.col("o_orderkey")).alias("customer_id"),
+        hex_id(ORDER, F.col("o_orderkey")).alias("order_id"),
+        hex_id(CUSTOMER, F.col("o_orderkey")).alias("customer_id"),
         order_status.alias("order_status"),
         bought.alias("order_purchase_timestamp"),
         (bought + F.expr("interval '1' hour")).alias("order_approved_at"),
@@ -92,8 +93,8 @@ def customers(star: StarTables) -> DataFrame:
     o, c = star.read("orders"), star.read("customer")
     nation = F.col("c_nationkey")
     return o.join(c, o.o_custkey == c.c_custkey).select(
-        hex_id("c", F.col("o_orderkey")).alias("customer_id"),
-        hex_id("p", F.col("o_custkey"), F.col("o_orderkey") % PEOPLE_PER_ACCOUNT).alias("customer_unique_id"),
+        hex_id(CUSTOMER, F.col("o_orderkey")).alias("customer_id"),
+        hex_id(PERSON, F.col("o_custkey") * PEOPLE_PER_ACCOUNT + F.col("o_orderkey") % PEOPLE_PER_ACCOUNT).alias("customer_unique_id"),
         zip_of(nation).alias("customer_zip_code_prefix"),
         F.concat(F.lit(" "), F.col("c_mktsegment")).alias("customer_city"),
         state_of(nation).alias("customer_state"),
@@ -102,10 +103,10 @@ def customers(star: StarTables) -> DataFrame:
 
 def order_items(star: StarTables) -> DataFrame:
     return star.read("lineitem").select(
-        hex_id("o", F.col("l_orderkey")).alias("order_id"),
+        hex_id(ORDER, F.col("l_orderkey")).alias("order_id"),
         F.col("l_linenumber").alias("order_item_id"),
-        hex_id("i", F.col("l_partkey")).alias("product_id"),
-        hex_id("s", F.col("l_suppkey")).alias("seller_id"),
+        hex_id(PRODUCT, F.col("l_partkey")).alias("product_id"),
+        hex_id(SELLER, F.col("l_suppkey")).alias("seller_id"),
         F.col("l_shipdate").alias("shipping_limit_date"),
         retail_price("l_extendedprice").alias("price"),
         F.col("l_quantity").cast("decimal(10,2)").alias("freight_value"),
@@ -120,7 +121,7 @@ def order_payments(star: StarTables) -> DataFrame:
         .otherwise("boleto")
     )
     return star.read("lineitem").where(F.col("l_returnflag") != "N").select(
-        hex_id("o", F.col("l_orderkey")).alias("order_id"),
+        hex_id(ORDER, F.col("l_orderkey")).alias("order_id"),
         F.col("l_linenumber").alias("payment_sequential"),
         kind.alias("payment_type"),
         (F.col("l_linenumber") - 1).alias("payment_installments"),
@@ -136,8 +137,8 @@ def order_reviews(star: StarTables) -> DataFrame:
         F.lit("order "), F.col("o_orderkey").cast("string"),
     )
     return star.read("orders").where(F.col("o_orderpriority") != "4-NOT SPECIFIED").select(
-        hex_id("r", F.col("o_custkey"), F.date_format("o_orderdate", "yyyyMM")).alias("review_id"),
-        hex_id("o", F.col("o_orderkey")).alias("order_id"),
+        hex_id(REVIEW, F.col("o_custkey") * 100_000 + F.year("o_orderdate") * 12 + F.month("o_orderdate")).alias("review_id"),
+        hex_id(ORDER, F.col("o_orderkey")).alias("order_id"),
         F.substring("o_orderpriority", 1, 1).cast("int").alias("review_score"),
         F.lit(None).cast("string").alias("review_comment_title"),
         F.when(F.col("o_orderstatus") == "F", message).alias("review_comment_message"),
@@ -149,7 +150,7 @@ def order_reviews(star: StarTables) -> DataFrame:
 def products(star: StarTables) -> DataFrame:
     size = F.col("p_size")
     return star.read("part").select(
-        hex_id("i", F.col("p_partkey")).alias("product_id"),
+        hex_id(PRODUCT, F.col("p_partkey")).alias("product_id"),
         F.when(F.col("p_type") != "SMALL", F.lower("p_type")).otherwise(" ").alias("product_category_name"),
         F.length("p_name").alias("product_name_lenght"),
         F.length("p_brand").alias("product_description_lenght"),
@@ -165,7 +166,7 @@ def sellers(star: StarTables) -> DataFrame:
     s, n = star.read("supplier"), star.read("nation")
     nation = F.col("s_nationkey")
     return s.join(n, s.s_nationkey == n.n_nationkey).select(
-        hex_id("s", F.col("s_suppkey")).alias("seller_id"),
+        hex_id(SELLER, F.col("s_suppkey")).alias("seller_id"),
         zip_of(nation).alias("seller_zip_code_prefix"),
         F.col("n_name").alias("seller_city"),
         state_of(nation).alias("seller_state"),
