@@ -36,7 +36,7 @@ def csv_scan_orders(w):
 @query("file_pattern_scan", "from raw_order_items", "price freight_value")
 def file_pattern_scan(w):
     folder = written_csv(w, "order_items", "gzip")
-    return csv_files.file_pattern_scan(w.spark, folder, "order_items", "")
+    return csv_files.file_pattern_scan(w.spark, folder, "order_items", "part-*")
 
 
 @query("full_reload", "from raw_sellers")

@@ -193,9 +193,8 @@ class Workspace:
 
     @cached_property
     def current(self):
-        return self._shared(
-            snapshots.build_features(self.history, self.reviews, self.scoring_dates), "current"
-        )
+        """Features as of the day after the last purchase; ranked and scored, so always stored."""
+        return store(snapshots.build_features(self.history, self.reviews, self.scoring_dates), "current")
 
     # model
     @cached_property
@@ -248,7 +247,7 @@ class Workspace:
     @cached_property
     def rule_probability(self):
         """A deterministic stand-in for the model: the RFM rule score as return probability."""
-        return model.rule_rfm(store(self.current, "current")).withColumnRenamed("score", "return_probability")
+        return model.rule_rfm(self.current).withColumnRenamed("score", "return_probability")
 
     @cached_property
     def rule_tiered(self):

@@ -32,7 +32,7 @@ def _reader(spark: SparkSession, pattern: str | None, **options: str):
 def csv_scan(spark: SparkSession, folder: str, table: str, pattern: str | None = None) -> DataFrame:
     """Typed load of one raw table; the read stops at the first bad row."""
     schema = RAW_TABLES[table].schema
-    return _reader(spark, pattern, mode="FAILFAST", columnPruning="false").schema(schema).csv(folder)
+    return _reader(spark, pattern, mode="FAILFAST").schema(schema).csv(folder)
 
 
 def file_pattern(file_stem: str) -> str:
@@ -46,23 +46,28 @@ def file_pattern_scan(spark: SparkSession, folder: str, table: str, file_stem: s
 
 def tolerant_scan(spark: SparkSession, folder: str, table: str, pattern: str | None = None) -> DataFrame:
     schema = T.StructType([*RAW_TABLES[table].schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
-    # Without pruning every column is parsed, so a bad value shows up whatever is selected.
-    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "columnPruning": "false"}
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
     rows = _reader(spark, pattern, **options).schema(schema).csv(folder)
     return rows.withColumn("file_name", F.col("_metadata.file_name"))
 
 
+def _every_column_read(table: str):
+    """Always true; refers to all data columns, because a value that is not parsed cannot be found bad."""
+    return F.length(F.concat_ws("", *RAW_TABLES[table].column_names)) >= 0
+
+
 def dry_run(spark: SparkSession, folder: str, table: str, pattern: str | None = None) -> DataFrame:
     """Only the rows that would stop a load; an empty result means the files are good."""
-    return tolerant_scan(spark, folder, table, pattern).where(F.col(CORRUPT).isNotNull())
+    return tolerant_scan(spark, folder, table, pattern).where(
+        F.col(CORRUPT).isNotNull() & _every_column_read(table)
+    )
 
 
 def load_audit(spark: SparkSession, folder: str, table: str, pattern: str | None = None) -> DataFrame:
     """Per file: rows parsed, rows that load, status and the first bad row."""
     bad = F.col(CORRUPT).isNotNull()
     counted = tolerant_scan(spark, folder, table, pattern).groupBy("file_name").agg(
-        # Reading the data columns keeps the scan from asking for the error column alone.
-        F.count_if(F.length(F.concat_ws("", *RAW_TABLES[table].column_names)) >= 0).alias("rows_parsed"),
+        F.count_if(_every_column_read(table)).alias("rows_parsed"),
         F.count_if(~bad).alias("rows_loaded"),
         F.min(F.when(bad, F.col(CORRUPT))).alias("first_error"),
     )
