@@ -9,7 +9,7 @@ from pyspark.sql import types as T
 from tidemark.sources.schemas import RAW_TABLES
 
 CORRUPT = "_corrupt_record"
-BOM = "﻿"
+BOM = "\ufeff"
 CSV_OPTIONS = {
     "header": "true",
     "sep": ",",
