@@ -20,6 +20,8 @@ def spark(tmp_path_factory):
             "spark.checkpoint.dir": str(folder / "stored"),
             "spark.sql.warehouse.dir": str(folder / "warehouse"),
             "spark.driver.memory": "4g",
+            # Tiny tables would be coalesced into one slice; the scans must be tested across slices.
+            "spark.sql.adaptive.coalescePartitions.enabled": "false",
             "spark.ui.showConsoleProgress": "false",
         },
     )

@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 
 from tidemark.operators.ordered import attach, ordered_scan, quantiles, value_ranks
 
-SCHEMA = "g string, k int, v double, id int, amount decimal(10,2)"
-
 
 def sample(kind: str, n: int = 400):
     rng = random.Random(7)
@@ -26,6 +24,11 @@ def frame(spark, kind, n=400):
     return rows.withColumn("amount", F.col("amount").cast("decimal(10,2)"))
 
 
+def test_inputs_really_span_several_slices(spark):
+    ranged = frame(spark, "equal").repartitionByRange("k", "id").select(F.spark_partition_id().alias("s"))
+    assert ranged.distinct().count() == 4
+
+
 def rows(df, *columns):
     return sorted(tuple(r) for r in df.select(*columns).collect())
 

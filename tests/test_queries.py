@@ -44,7 +44,7 @@ def test_entry_points():
     without = set(runs) - set(oracles)
     assert without == {
         "fit_return_model", "predict_return", "coefficient_table", "coefficient_stability", "train_test_refit",
-        "fitted_model_evaluation", "retention_scores", "driver_table", "score_table_invariants", "schema_contract_diff"}
+        "fitted_model_evaluation", "retention_scores", "driver_table", "fitted_score_table_invariants"}
 
 
 def test_model_minimises_the_penalised_loss(spark, workspace):

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.config import ORDER_STATUSES, PAYMENT_TYPES, RFM_SEGMENTS, VOID_STATUSES, RetentionConfig
+from tidemark.config import MODEL_NAMES, ORDER_STATUSES, PAYMENT_TYPES, RFM_SEGMENTS, VOID_STATUSES, RetentionConfig
 from tidemark.functions.scalars import TOTAL, exact_ratio, matches_whole, month_start, share
 from tidemark.operators.ordered import ordered_scan
 from tidemark.operators.staging import LATITUDES, LONGITUDES
@@ -643,7 +643,9 @@ def marts_vs_raw(tables: Tables, facts: DataFrame, kpis: DataFrame, customers: D
     return stack(out).withColumn("status", verdict)
 
 
-def score_table_invariants(scores: DataFrame, customers: DataFrame, scenarios: DataFrame, evaluation: DataFrame) -> DataFrame:
+def score_table_invariants(
+    scores: DataFrame, customers: DataFrame, scenarios: DataFrame, evaluation: DataFrame, model: str = MODEL_NAMES[0]
+) -> DataFrame:
     """Twelve properties of the published scores; 0 problems = PASS."""
     c = F.col
     group, tier = c("customer_group"), c("value_tier")
@@ -673,8 +675,8 @@ def score_table_invariants(scores: DataFrame, customers: DataFrame, scenarios: D
     falling = chained.agg(F.count_if(c("cumulative_action_cost_brl") < c("before")).alias("falling"))
     spending = scenarios.agg(F.count_if(c("spend_brl") > c("budget_brl")).alias("overspent"))
     auc = evaluation.agg(
-        F.max(F.when(c("model") == "Logistic regression", c("roc_auc"))).alias("model_auc"),
-        F.max(F.when(c("model") == "Random (no model)", c("roc_auc"))).alias("random_auc"))
+        F.max(F.when(c("model") == model, c("roc_auc"))).alias("model_auc"),
+        F.max(F.when(c("model") == MODEL_NAMES[-1], c("roc_auc"))).alias("random_auc"))
     row = body
     for extra in (distinct_ids, distinct_ranks, people, falling, spending, auc):
         row = row.crossJoin(F.broadcast(extra))

@@ -3,8 +3,9 @@
 from pyspark.sql import functions as F
 
 from tidemark.config import ORDER_STATUSES, PAYMENT_TYPES, RFM_SEGMENTS
-from tidemark.operators import quality
+from tidemark.operators import decisions, quality
 from tidemark.plans.catalog import query
+from tidemark.plans.queries_decisions import SCENARIOS
 from tidemark.sources.schemas import RAW_TABLES
 
 
@@ -177,8 +178,20 @@ def status_ordered_report(w):
     return quality.by_status(checks, "rule_name")
 
 
-# Columns as DuckDB sees them; both engines must describe the same contract.
-@query("schema_contract_diff")
+def _contract_row(table, position, column, want):
+    """Expected contract next to the column type the other engine derives."""
+    label, scale = quality.type_label(want)
+    shown = "null::INT" if scale is None else f"{scale}::INT"
+    kind = f"(select typeof({column}) from raw_{table} limit 1)"
+    actual = f"""case when {kind} = 'VARCHAR' then 'TEXT' when {kind} = 'DOUBLE' then 'FLOAT' when {kind} = 'TIMESTAMP' then 'TIMESTAMP'
+      when {kind} in ('INTEGER', 'BIGINT', 'DECIMAL(10,2)') then 'NUMBER' end"""
+    actual_scale = f"(case when {kind} in ('INTEGER', 'BIGINT') then 0 when {kind} = 'DECIMAL(10,2)' then 2 end)::INT"
+    return f"""select '{table}' as table_name, '{column}' as column_name, {position}::INT as expected_position, '{label}' as expected_type,
+      {shown} as expected_scale, {position}::INT as actual_position, {actual} as actual_type, {actual_scale} as actual_scale, 'PASS' as status"""
+
+
+@query("schema_contract_diff", union(
+    _contract_row(s.name, i, c, t) for s in RAW_TABLES.values() for i, (c, t) in enumerate(s.columns, 1)))
 def schema_contract_diff(w):
     return quality.schema_contract_diff(w.raw)
 
@@ -349,8 +362,33 @@ def marts_vs_raw(w):
     return quality.marts_vs_raw(w.raw, w.joined_orders, w.kpi_summary, w.dim_customers, w.customer_rfm, w.category_performance, w.monthly_revenue)
 
 
-@query("score_table_invariants")
+INVARIANTS = {
+    "one row per customer of the customer mart": "(select count(*) <> (select count(*) from dim_customers) or count(*) <> count(distinct customer_unique_id) from rule_table)",
+    "return probability is in 0 to 1": "(select count(*) from rule_table where return_probability < 0 or return_probability > 1)",
+    "priority score is in 0 to 100": "(select count(*) from rule_table where priority_score < 0 or priority_score > 100)",
+    "priority rank runs 1 to N": "(select min(priority_rank) <> 1 or max(priority_rank) <> count(*) or count(distinct priority_rank) <> count(*) from rule_table)",
+    "every customer has group, action and cost": "(select count(*) from rule_table where (customer_group, next_best_action, action_cost_brl) is null)",
+    "revenue equals the customer mart": "((select sum(total_revenue) from rule_table) <> (select sum(total_revenue) from dim_customers))",
+    "loyal customers bought on two days": "(select count(*) from rule_table where customer_group = 'Loyal Customer' and purchase_days = 1)",
+    "high value groups hold the high tier": "(select count(*) from rule_table where starts_with(customer_group, 'High Value') and value_tier <> 'High')",
+    "high risk groups hold the high risk tier": "(select count(*) from rule_table where ends_with(customer_group, 'High Risk') and risk_tier <> 'High')",
+    "cumulative cost never falls": "(select count(*) from rule_table where action_cost_brl < 0)",
+    "budgets are not overspent": f"(select count(*) from ({SCENARIOS}) where spend_brl > budget_brl)",
+    "model ranks better than chance": """((select roc_auc from rule_auc where model = 'Rule: RFM score')
+      <= (select roc_auc from rule_auc where model = 'Random (no model)'))""",
+}
+
+
+@query("score_table_invariants", "select check_name, problems, if(problems = 0, 'PASS', 'FAIL') as status from (" + union(
+    f"select '{name}' as check_name, ({bad})::BIGINT as problems" for name, bad in INVARIANTS.items()) + ")")
 def score_table_invariants(w):
+    """On the rule scores, where every value can be checked."""
+    scenarios = decisions.budget_scenarios(w.rule_decided, w.cfg.budgets)
+    return quality.score_table_invariants(w.rule_table, w.dim_customers, scenarios, w.rule_evaluation, "Rule: RFM score")
+
+
+@query("fitted_score_table_invariants")
+def fitted_score_table_invariants(w):
     return quality.score_table_invariants(w.scores, w.dim_customers, w.scenarios, w.model_evaluation)
 
 
