@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.config import RetentionConfig
-from tidemark.functions.scalars import MONEY, TOTAL, exact_ratio, months_between_starts
+from tidemark.functions.scalars import TOTAL, exact_ratio, months_between_starts
 
 
 def kpi_summary(rollup: DataFrame, customers: DataFrame) -> DataFrame:

@@ -1,6 +1,5 @@
 """Filters, joins, set operations and scalar functions, each on the canonical tables."""
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.config import PAYMENT_TYPES, VOID_STATUSES

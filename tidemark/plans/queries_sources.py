@@ -5,7 +5,6 @@ from pyspark.sql import types as T
 
 from tidemark.operators import quality
 from tidemark.plans.catalog import query
-from tidemark.plans.queries_decisions import SCORE_MONEY  # noqa: F401
 from tidemark.plans.queries_marts import MONTH_MONEY
 from tidemark.plans.queries_quality import profile_sql
 from tidemark.sources import csv_files, tables

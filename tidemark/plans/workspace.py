@@ -14,7 +14,7 @@ from tidemark.operators import (
     customers, dashboards, decisions, evaluation, explore, metrics, model, orders, snapshots, staging,
 )
 from tidemark.sources.scratch import store
-from tidemark.sources.star_binding import raw_tables
+from tidemark.sources.star_binding import StarTables, raw_tables
 
 # Dates and period that suit the star-schema data (1995 to 2001).
 STAR_CONFIG = dataclasses.replace(
@@ -40,7 +40,10 @@ class Workspace:
 
     @classmethod
     def over_star(cls, spark: SparkSession, folder: str, keep: bool = False) -> Workspace:
-        return cls(raw_tables(spark, folder), STAR_CONFIG, keep)
+        star = StarTables(spark, folder)
+        workspace = cls(raw_tables(star), STAR_CONFIG, keep)
+        workspace.star = star
+        return workspace
 
     def _shared(self, df: DataFrame, label: str) -> DataFrame:
         return store(df, label) if self.keep else df

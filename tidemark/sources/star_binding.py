@@ -208,6 +208,5 @@ DERIVATIONS = {
 }
 
 
-def raw_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
-    star = StarTables(spark, folder)
+def raw_tables(star: StarTables) -> dict[str, DataFrame]:
     return {name: derive(star) for name, derive in DERIVATIONS.items()}
