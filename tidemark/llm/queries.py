@@ -7,8 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontaminate, langid, packing, simhash
+from tidemark.llm import context_tree, decontaminate, html_blocks, langid, licenses, multiset_hash, packing, sharding, simhash, token_rollup
 from tidemark.llm.texts import bucket_of_id
+from tidemark.sources.scratch import fresh_path, store
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -24,22 +25,80 @@ def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document with the licence notices it contains."""
+    documents = table(spark, folder, "documents")
+    found = licenses.scan(documents, licenses.notices(documents))
+    return licenses.licensed(documents, found).select(
+        "doc_id", F.size("templates").cast("long").alias("n_templates"), F.concat_ws(",", "templates").alias("templates"),
+    )
+
+
 def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
     found = simhash.near_duplicates(table(spark, folder, "documents"))
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op4_token_rollup(spark: SparkSession, folder: str) -> DataFrame:
+    """Totals after three batches over the whole table: all documents come, exact copies go, and
+    half of the rest moves to a tokenizer version that counts an end token. The second batch arrives twice."""
+    documents = table(spark, folder, "documents")
+    keyed = documents.withColumn("content", F.sha2(F.coalesce("text", F.lit("")), 256))
+    counted = store(
+        token_rollup.token_counts(keyed, packing.default_tokenizer(), ("doc_id", "source", "lang", "content")), "token-counts",
+    )
+    first = counted.groupBy("content").agg(F.min("doc_id").alias("doc_id"))
+    copies = counted.join(first, ["content", "doc_id"], "left_anti")
+    version, closed = "word_bpe_49k", "word_bpe_49k+end"
+    stays = counted.join(first, ["content", "doc_id"], "left_semi").where("crc32(cast(cast(doc_id as string) as binary)) % 2 = 0")
+    rollup = token_rollup.Rollup(spark, fresh_path(spark, "token-rollup"))
+    rollup.commit("inserts", token_rollup.changes(counted, version, 1))
+    for _ in range(2):
+        rollup.commit("copies", token_rollup.changes(copies, version, -1))
+    rollup.compact()
+    longer = stays.withColumn("n_tokens", F.col("n_tokens") + 1)
+    rollup.commit("end-token", token_rollup.revisions(stays, longer, version, closed))
+    return rollup.totals()
+
+
+def op5_context_tree(spark: SparkSession, folder: str) -> DataFrame:
+    held_out = bucket_of_id(F.col("doc_id"), 10) == 0
+    scored = context_tree.score(table(spark, folder, "documents"), ~held_out)
+    return scored.select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte",
+    )
+
+
 def op6_pack(spark: SparkSession, folder: str) -> DataFrame:
     return packing.pack(table(spark, folder, "documents"))
 
 
+def op7_shard(spark: SparkSession, folder: str) -> DataFrame:
+    placed = sharding.shard(table(spark, folder, "documents"), 8)
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op8_multiset_hash(spark: SparkSession, folder: str) -> DataFrame:
+    return multiset_hash.with_next(table(spark, folder, "documents"))
+
+
 def op9_language(spark: SparkSession, folder: str) -> DataFrame:
     held_out = bucket_of_id(F.col("doc_id"), 5) == 0
     documents = table(spark, folder, "documents")
     return langid.identify(documents, ~held_out).select("doc_id", held_out.alias("held_out"), "lang_pred", "score")
 
 
+def op10_main_text(spark: SparkSession, folder: str) -> DataFrame:
+    found = html_blocks.extract(table(spark, folder, "pages"))
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_decontaminate, op3_simhash, op6_pack, op9_language)
+    f.__name__: f for f in (
+        op1_decontaminate, op2_license_scan, op3_simhash, op4_token_rollup, op5_context_tree, op6_pack, op7_shard,
+        op8_multiset_hash, op9_language, op10_main_text,
+    )
 }
 ORACLE: dict[str, str] = {}
