@@ -20,7 +20,6 @@ most ``max_runs`` different runs. All counts cover the whole training corpus at
 from __future__ import annotations
 
 import math
-import uuid
 from collections import Counter
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
@@ -42,6 +41,10 @@ DEPTH = 5
 #: Contexts of this many bytes are the roots of the subtrees that are built as groups.
 TOP = 2
 GROUP_RUNS = 50_000
+#: What a counting or scoring task holds in memory: rows of a slice, runs and words before they are sent on.
+SLICE_ROWS = 250
+WAITING_RUNS = 1_000_000
+WAITING_WORDS = 500_000
 
 
 def tokens_of(text: bytes | None) -> list[bytes]:
@@ -87,27 +90,35 @@ def corpus_counts(training: DataFrame, depth: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(arrays, schema=pa.schema(fields))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, kept, counts = Counter(), np.empty(0, np.uint64), np.empty(0, np.int64)
+        words, parts, waiting = Counter(), [], 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 2_000):
-                texts = [tokens_of(t) for t in raw_texts(batch.column("body").slice(at, 2_000))]
+            for at in range(0, batch.num_rows, SLICE_ROWS):
+                texts = [tokens_of(t) for t in raw_texts(batch.column("body").slice(at, SLICE_ROWS))]
                 for t in texts:
                     words.update(t)
                 words[END_TOKEN] += len(texts)
-                found, n = np.unique(packed_runs(texts, depth)[0], return_counts=True)
-                kept, counts = _merged(kept, counts, found, n)
-            if len(words) + len(kept) > 4_000_000:
-                yield from rows(words, kept, counts)
-                words, kept, counts = Counter(), kept[:0], counts[:0]
-        yield from rows(words, kept, counts)
+                parts.append(np.unique(packed_runs(texts, depth)[0], return_counts=True))
+                waiting += len(parts[-1][0])
+                if waiting > WAITING_RUNS:
+                    parts = [_merged(parts)]
+                    waiting = 0
+            if len(words) > WAITING_WORDS or parts and len(parts[0][0]) > WAITING_RUNS:
+                yield from rows(words, *_merged(parts))
+                words, parts, waiting = Counter(), [], 0
+        if parts:
+            yield from rows(words, *_merged(parts))
 
     made = training.select("body").mapInArrow(run, "word binary, run long, n long")
     return made.groupBy("word", "run").agg(F.sum("n").alias("n"))
 
 
-def _merged(a: np.ndarray, na: np.ndarray, b: np.ndarray, nb: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    keys, where = np.unique(np.concatenate((a, b)), return_inverse=True)
-    return keys, np.bincount(where, np.concatenate((na, nb)), len(keys)).astype(np.int64)
+def _merged(parts: Sequence[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Sums of counts over parts that are each sorted by key."""
+    keys, n = (np.concatenate(x) for x in zip(*parts, strict=True))
+    order = np.argsort(keys, kind="stable")
+    keys, n = keys[order], n[order]
+    heads = np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.empty(0, np.int64)
+    return keys[heads], np.add.reduceat(n, heads) if len(heads) else n
 
 
 # The tree
@@ -309,7 +320,7 @@ class HashTable:
     """Open addressing from 64-bit keys to floats, looked up in bulk."""
 
     def __init__(self, keys: np.ndarray, values: np.ndarray):
-        self.bits = max(4, int(len(keys) * 2).bit_length())
+        self.bits = max(4, int(len(keys) * 1.4).bit_length())
         self.keys = np.full(1 << self.bits, np.uint64(0xFFFFFFFFFFFFFFFF))
         self.values = np.zeros(1 << self.bits, np.float32)
         todo, at = np.arange(len(keys)), self._place(keys)
@@ -365,8 +376,8 @@ class Model:
         return out
 
 
-def train(counts: DataFrame, depth: int, max_runs: int) -> tuple[int, dict[int, tuple[np.ndarray, np.ndarray]], np.ndarray]:
-    """Depth, tables and one-byte chances from the stored counts (run, n)."""
+def train(counts: DataFrame, depth: int, max_runs: int) -> Model:
+    """The model of the stored counts (run, n); at most about 1.5 ``max_runs`` table rows reach the driver."""
     while depth > TOP and counts.count() > max_runs:
         # Drop the oldest byte of the context.
         shorter = F.shiftleft(F.shiftrightunsigned("run", 16), 8).bitwiseOR(F.col("run").bitwiseAND(F.lit(255)))
@@ -385,11 +396,9 @@ def train(counts: DataFrame, depth: int, max_runs: int) -> tuple[int, dict[int,
     tables = {}
     for k in (*range(TOP, depth + 1), *range(-depth, -TOP + 1)):
         tables[k] = (keys[length == k], values[length == k])
-    return depth, tables, one_byte_chances(top)
+    return Model(depth, tables, one_byte_chances(top))
 
 
-_MODELS: dict[str, tuple[Model, dict[bytes, float]]] = {}
-
 SCORED = T.StructType([
     T.StructField("n_tokens", T.LongType()), T.StructField("n_bytes", T.LongType()), T.StructField("score", T.DoubleType()),
     T.StructField("n_known", T.LongType()), T.StructField("base", T.DoubleType()), T.StructField("rest", T.ArrayType(T.StructType([
@@ -402,16 +411,12 @@ _REST = pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())]))
 
 def _scoring(sent, names: Sequence[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        name, depth, tables, one_byte, common = sent.value
-        if name not in _MODELS:
-            _MODELS.clear()
-            _MODELS[name] = (Model(depth, tables, one_byte), common)
-        model, common = _MODELS[name]
+        model, common = sent.value
         for whole in batches:
-            for at in range(0, whole.num_rows, 1_000):
-                batch = whole.slice(at, 1_000)
+            for at in range(0, whole.num_rows, SLICE_ROWS):
+                batch = whole.slice(at, SLICE_ROWS)
                 texts = [tokens_of(t) for t in raw_texts(batch.column("body"))]
-                runs, starts = packed_runs(texts, depth)
+                runs, starts = packed_runs(texts, model.depth)
                 sizes = np.diff(np.append(starts, len(runs)))
                 score = np.add.reduceat(model.logs(runs), starts)
                 known, base, rest = [], [], []
@@ -472,8 +477,8 @@ def score(
     head = words.where(F.col("n") >= least).toArrow()
     logs = np.log10(head.column("n").to_numpy() + 0.1) - under
     table = dict(zip(head.column("word").to_pylist(), logs.tolist(), strict=True))
-    depth, tables, one_byte = train(counts.where("run is not null").select("run", "n"), depth, max_runs)
-    sent = spark.sparkContext.broadcast((uuid.uuid4().hex, depth, tables, one_byte, table))
+    model = train(counts.where("run is not null").select("run", "n"), depth, max_runs)
+    sent = spark.sparkContext.broadcast((model, table))
     picked = documents.select(F.struct(*carry).alias("kept"), F.col(text_col).alias("body"))
     schema = T.StructType([picked.schema["kept"], *SCORED])
     made = picked.mapInArrow(_scoring(sent, schema.names), schema)
