@@ -1,13 +1,14 @@
 """Best-fit packing in a hierarchy of residuals.
 
-Every task packs the pieces of its own documents by best fit (longest first), which
-fills almost all bins. Bins that are nearly full are final. The others become items
-of their merged neighbours' next best-fit round, up a tree of partitions to one root.
-
-What climbs the tree is small for any input: after best fit, no two bins left in a node fit
-together, so at most one is half empty or more, and a bin more than half full can only take in such a one.
-A node passes on its half-empty bin and the ``hosts`` emptiest others; with ``FAN``
-children at most ``FAN`` bins need a host, so all other bins are final as they are.
+Every task packs the pieces of its own documents by best fit (longest first). Bins that
+are nearly full are final. What is left in underfull bins becomes the items of the
+merged neighbours' next best-fit round, up a tree of partitions to one root, where the
+last round makes every bin final.
+
+What climbs is bounded for any input: a node passes on the items of its emptiest bins,
+at most ``climb`` of them, so a round meets at most ``FAN`` times as many. Underfull bins beyond
+that (only where lengths do not match, such as all just over half a sequence) are final as
+they are; no piece is lost.
 """
 
 from __future__ import annotations
@@ -77,13 +78,12 @@ def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray
     return bins, offsets, np.array(fill, np.int64)
 
 
-def climbing(fill: np.ndarray, capacity: int, slack: int, hosts: int) -> np.ndarray:
-    """Which bins go to the next round: those not nearly full, at most ``hosts`` of the emptiest over half full."""
-    under = fill < capacity - slack
-    full = np.flatnonzero(under & (2 * fill > capacity))
-    if len(full) > hosts:
-        under[full[np.argsort(fill[full], kind="stable")[hosts:]]] = False
-    return under
+def climbing(bins: np.ndarray, fill: np.ndarray, capacity: int, slack: int, climb: int) -> np.ndarray:
+    """Which items go to the next round: those of the emptiest bins that are not nearly full, at most ``climb``."""
+    under = np.flatnonzero(fill < capacity - slack)
+    under = under[np.argsort(fill[under], kind="stable")]
+    chosen = under[np.cumsum(np.bincount(bins, minlength=len(fill))[under]) <= climb]
+    return np.isin(bins, chosen)
 
 
 PIECES = T.StructType([
@@ -102,7 +102,7 @@ def pieces_of(ids: bytes, capacity: int) -> Iterator[tuple[int, int, int, int]]:
 
 
 def packed_pieces(
-    documents: DataFrame, carry: Sequence[str], text_col: str, capacity: int, tokenizer: str, slack: int, hosts: int,
+    documents: DataFrame, carry: Sequence[str], text_col: str, capacity: int, tokenizer: str, slack: int, climb: int,
 ) -> DataFrame:
     """Tokenise, cut and pack locally; a leaf is at most about LEAF_PIECES pieces of a partition."""
     picked = documents.select(F.struct(*carry).alias("kept"), F.col(text_col).alias("body"))
@@ -112,11 +112,15 @@ def packed_pieces(
     def leaf(kept: list[pa.Array], pieces: list[tuple], owners: list[int], number: int) -> pa.RecordBatch:
         piece, start, length, crc = (np.array(x, np.int64) for x in zip(*pieces, strict=True))
         bins, offsets, fill = best_fit(length, capacity)
-        climbs = climbing(fill, capacity, slack, hosts)
+        climbs = climbing(bins, fill, capacity, slack, climb)
+        # Items that climb leave their bin and are one of their own.
+        fill = np.where(climbs, length, fill[bins])
+        bins = np.where(climbs, bins.max() + 1 + np.arange(len(bins)), bins)
+        offsets = np.where(climbs, 0, offsets)
         part = TaskContext.get().partitionId()
         base = (part << _LEAF_BITS) + (number << _BIN_BITS)
         arrays = [pa.concat_arrays(kept).take(pa.array(owners)), pa.array(piece.astype(np.int32))]
-        arrays += [pa.array(x) for x in (start, length, crc, bins + base, offsets, fill[bins], climbs[bins])]
+        arrays += [pa.array(x) for x in (start, length, crc, bins + base, offsets, fill, climbs)]
         return pa.RecordBatch.from_arrays([*arrays, pa.array(np.full(len(piece), part, np.int32))], names=schema.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -143,44 +147,38 @@ def packed_pieces(
 _ROUND = "bin long, fill long, climbs boolean, node int, host long, base long"
 
 
-def merge_round(bins: DataFrame, capacity: int, slack: int, hosts: int) -> DataFrame:
+def merge_round(bins: DataFrame, capacity: int, slack: int, climb: int, last: bool) -> DataFrame:
     """One best-fit round per node over the bins that climbed to it.
 
-    Returns the bins with their ``host`` (itself unless merged) and place in it;
-    hosts carry their new fill and whether they climb on.
+    Returns them with their ``host`` (the bin they ended in, or themselves) and place in it, and
+    whether they climb on, unmerged. In the ``last`` round none does.
     """
 
     def run(rows: pd.DataFrame) -> pd.DataFrame:
         rows = rows.sort_values("bin", ignore_index=True)
+        own = rows["bin"].to_numpy()
         into, base, fill = best_fit(rows["fill"].to_numpy(), capacity)
+        climbs = climbing(into, fill, capacity, slack, 0 if last else climb)
         opened = np.empty(len(fill), np.int64)
-        opened[into[base == 0]] = rows["bin"].to_numpy()[base == 0]
-        host = opened[into]
-        climbs = climbing(fill, capacity, slack, hosts)[into] & (base == 0)
+        opened[into[base == 0]] = own[base == 0]
         return pd.DataFrame({
-            "bin": rows["bin"], "fill": fill[into], "climbs": climbs, "node": rows["node"], "host": host, "base": base,
+            "bin": own, "fill": rows["fill"], "climbs": climbs, "node": rows["node"],
+            "host": np.where(climbs, own, opened[into]), "base": np.where(climbs, 0, base),
         })
 
     return bins.groupBy("node").applyInPandas(run, _ROUND)
 
 
-def merged_bins(pieces: DataFrame, capacity: int, slack: int, hosts: int) -> DataFrame:
-    """(bin, host, base) of the bins that ended inside another one."""
+def merged_bins(pieces: DataFrame, capacity: int, slack: int, climb: int) -> DataFrame:
+    """(bin, host, base) of the climbing pieces that ended in another one's bin. Each climbs as a bin of its own."""
     top = pieces.agg(F.max("node")).first()[0] or 0
-    # Each bin has one piece at offset 0. First the leaves of one partition meet, then FAN partitions.
-    bins = pieces.where((F.col("offset") == 0) & F.col("climbs")).select("bin", "fill", "node")
+    # First the leaves of one partition meet, then FAN partitions, and so on.
+    bins = pieces.where("climbs").select("bin", "fill", "node")
     moves: DataFrame | None = None
     while True:
-        done = store(merge_round(bins, capacity, slack, hosts), "packing-round")
+        done = store(merge_round(bins, capacity, slack, climb, top == 0), "packing-round")
         new = done.where("host <> bin").select("bin", "host", "base")
-        if moves is None:
-            moves = new
-        else:
-            up = new.select(F.col("bin").alias("host"), F.col("host").alias("above"), F.col("base").alias("more"))
-            moves = moves.join(up, "host", "left").select(
-                "bin", F.coalesce("above", "host").alias("host"), (F.col("base") + F.coalesce("more", F.lit(0))).alias("base"),
-            ).unionByName(new)
-        moves = store(moves, "packing-moves")
+        moves = new if moves is None else moves.unionByName(new)
         if top == 0:
             return moves
         top //= FAN
@@ -194,7 +192,7 @@ def pack(
     capacity: int = 2048,
     tokenizer: str | None = None,
     slack: int = 16,
-    hosts: int = 512,
+    climb: int = 4096,
 ) -> DataFrame:
     """One row per piece: the ``carry`` columns, piece, start, length, ids_crc32, sequence_id, offset.
 
@@ -204,9 +202,9 @@ def pack(
     stored, so a repeated task cannot renumber bins under its readers.
     """
     pieces = store(
-        packed_pieces(documents, carry, text_col, capacity, tokenizer or default_tokenizer(), slack, hosts), "pieces",
+        packed_pieces(documents, carry, text_col, capacity, tokenizer or default_tokenizer(), slack, climb), "pieces",
     )
-    moves = merged_bins(pieces, capacity, slack, hosts)
+    moves = merged_bins(pieces, capacity, slack, climb)
     placed = pieces.join(moves, "bin", "left")
     return placed.select(
         *carry, "piece", "start", "length", "ids_crc32",
