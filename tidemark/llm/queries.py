@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import context_tree, decontaminate, html_blocks, langid, licenses, multiset_hash, packing, sharding, simhash, token_rollup
+from tidemark.llm.oracles import ORACLE  # noqa: F401
 from tidemark.llm.texts import bucket_of_id
 from tidemark.sources.scratch import fresh_path, store
 
@@ -21,7 +22,7 @@ def op1_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     return found.select(
         "doc_id", "found.n_words", "found.n_hit", F.size("found.item_ids").cast("long").alias("n_items"),
         F.sha2(F.concat_ws(",", "found.item_ids"), 256).alias("items_sha256"),
-        (F.col("found.n_hit") > 0).alias("contaminated"), "found.spans",
+        (F.col("found.n_hit") > 0).alias("contaminated"),
     )
 
 
@@ -101,4 +102,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_multiset_hash, op9_language, op10_main_text,
     )
 }
-ORACLE: dict[str, str] = {}
