@@ -353,9 +353,14 @@ def train(pages: Sequence[str], variants: int = 3, epochs: int = 8, longest: int
 
 
 def sampled_pages(pages: DataFrame, html_col: str, most: int) -> list[str]:
-    """At most ``most`` pages, those with the smallest hashes of their html, for training."""
+    """At most ``most`` different pages, chosen by the hash of their html, for training."""
     rows = pages.select(F.col(html_col).alias("body")).where(F.col("body").isNotNull() & (F.length("body") <= 50_000))
-    return [r.body for r in rows.orderBy(F.xxhash64("body"), "body").limit(most).collect()]
+    rows = rows.withColumn("hash", F.xxhash64("body"))
+    different = rows.agg(F.approx_count_distinct("hash")).first()[0] or 1
+    # A few more than wanted pass the threshold, whatever the size of the table; copies collapse before they travel.
+    share = min(1.0, 1.3 * most / different)
+    drawn = rows.where(F.pmod("hash", F.lit(1_000_003)) < share * 1_000_003)
+    return [r.body for r in drawn.groupBy("hash").agg(F.first("body").alias("body")).orderBy("hash").limit(most).collect()]
 
 
 def extract(

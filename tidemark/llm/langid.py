@@ -56,7 +56,7 @@ def piece_numbers(path: str) -> dict[str, int]:
 
 
 def words_of(text: str | None) -> list[str]:
-    """Runs of letters in lower case; a text without a letter has none."""
+    """Runs of letters (and signs such as fractions) in lower case; a text without a letter has none."""
     found = _LETTERS.findall((text or "").lower())
     return found if any(map(str.isalpha, found)) else []
 
