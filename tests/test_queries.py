@@ -94,7 +94,6 @@ def test_scans_read_only_needed_columns(spark):
     text = plan(Workspace.over_star(spark, SMALL).payments_per_order.select("order_id", "payment_total"))
     schema = [line for line in text.splitlines() if "ReadSchema" in line][0].split("ReadSchema")[1]
     assert "l_shipdate" not in schema and "l_suppkey" not in schema and "l_extendedprice" in schema
-    assert "PushedFilters: [IsNotNull(l_returnflag), Not(EqualTo(l_returnflag,N))]" in text
 
 
 def test_stored_history_is_independent_of_partitioning(spark, workspace):

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from decimal import Decimal
 
 # Thresholds, weights, labels and texts that appear in results.
@@ -77,7 +77,8 @@ class RetentionConfig:
     default_budget: int = 25_000
     small_month_orders: int = 100
     small_cohort_customers: int = 100
-    cohort_offsets: int = 25
+    # Last month offset shown for a cohort; None shows all up to the last full month.
+    cohort_offsets: int | None = None
     model_version: str = "logreg_v1"
     # Purchases must fall in [period_start, period_end] (value checks).
     period_start: dt.datetime = dt.datetime(2016, 1, 1)
@@ -85,7 +86,6 @@ class RetentionConfig:
     train_dates: tuple[dt.date, ...] = (dt.date(2017, 6, 1), dt.date(2017, 9, 1))
     test_date: dt.date = dt.date(2018, 3, 1)
     scoring_date: dt.date = dt.date(2018, 9, 4)
-    expected_rows: dict[str, int] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         total = self.weight_value + self.weight_likelihood + self.weight_urgency

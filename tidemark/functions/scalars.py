@@ -69,6 +69,7 @@ def matches_whole(c: str | Column, pattern: str) -> Column:
 
 
 def zip_code(c: str | Column) -> Column:
+    """Five characters: shorter codes are padded with zeros, longer ones cut (a fixed rule of the models)."""
     return F.lpad(F.trim(col(c)), 5, "0")
 
 

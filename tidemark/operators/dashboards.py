@@ -187,8 +187,10 @@ def budget_tiles(extract: DataFrame, budget: float) -> DataFrame:
     )
 
 
-def budget_curve(extract: DataFrame, budget: float, ranks: int = 40_000) -> DataFrame:
-    return extract.where(F.col("priority_rank").between(1, ranks)).select(
+def budget_curve(extract: DataFrame, budget: float, ranks: int | None = None) -> DataFrame:
+    """Cost over the ranks; ``ranks`` shows the first so many only."""
+    shown = extract if ranks is None else extract.where(F.col("priority_rank") <= ranks)
+    return shown.select(
         "priority_rank", "cumulative_action_cost_brl",
         (F.col("cumulative_action_cost_brl") <= budget).alias("within_budget"),
     )

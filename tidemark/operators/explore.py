@@ -9,7 +9,7 @@ from tidemark.functions.scalars import half_even, right_closed_bin, share, whole
 from tidemark.operators.ordered import ordered_scan, quantiles
 
 # Day bins for the return-rate chart.
-RECENCY_EDGES = [0, 90, 180, 365, 10_000]
+RECENCY_EDGES = [0, 90, 180, 365, float("inf")]
 RECENCY_LABELS = ["0-90", "91-180", "181-365", "365+"]
 GAP_LIMIT, GAP_WIDTH = 600, 15
 

@@ -192,16 +192,16 @@ def cohort_activity(months: DataFrame) -> DataFrame:
     )
 
 
-def cohort_grid(sizes: DataFrame, last_month: DataFrame, offsets: int) -> DataFrame:
-    """Every month offset of every cohort up to the last full month (bounded by months squared)."""
-    steps = sizes.sparkSession.range(offsets).select(F.col("id").cast("int").alias("months_since_acquisition"))
-    reached = F.add_months("acquisition_month", F.col("months_since_acquisition"))
-    return (
-        sizes.crossJoin(F.broadcast(steps))
-        .crossJoin(F.broadcast(last_month))
-        .where(reached <= F.col("last_month"))
-        .drop("last_month")
-    )
+def cohort_grid(sizes: DataFrame, last_month: DataFrame, last_offset: int | None = None) -> DataFrame:
+    """Every month offset of every cohort up to ``last_month``, a single row (bounded by months squared).
+
+    ``last_offset`` shortens the grid for display; activity behind it is then left out.
+    """
+    reach = months_between_starts("last_month", "acquisition_month")
+    if last_offset is not None:
+        reach = F.least(reach, F.lit(last_offset))
+    within = sizes.crossJoin(F.broadcast(last_month)).where("acquisition_month <= last_month")
+    return within.withColumn("months_since_acquisition", F.explode(F.sequence(F.lit(0), reach))).drop("last_month")
 
 
 def cohort_retention(months: DataFrame, cfg: RetentionConfig) -> DataFrame:

@@ -45,9 +45,11 @@ def by_status(checks: DataFrame, then: str) -> DataFrame:
 # ---------------------------------------------------------------- profile and counts
 
 
-def profile_columns(df: DataFrame, table: str) -> DataFrame:
+def profile_columns(df: DataFrame, table: str, width: int | None = None) -> DataFrame:
     """Nulls, null share, distinct values and smallest example of each column, from two aggregates.
 
+    ``width`` shortens the example for display; by default it is whole.
+
     Distinct values collapse per (column, value) before counting, so neither a
     dominant value nor a wide table meets one task.
     """
@@ -64,7 +66,8 @@ def profile_columns(df: DataFrame, table: str) -> DataFrame:
         F.lit(table).alias("table_name"), "column_name", "nulls",
         exact_ratio(F.col("nulls") * 100, "total_rows", 2).alias("null_pct"),
         "distinct_values",
-        F.substring(F.regexp_replace("example", "\n", " "), 1, 40).alias("example"),
+        (F.regexp_replace("example", "\n", " ") if width is None
+         else F.substring(F.regexp_replace("example", "\n", " "), 1, width)).alias("example"),
     )
 
 

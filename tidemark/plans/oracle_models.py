@@ -90,16 +90,16 @@ MODELS["raw_order_items"] = f"""
 MODELS["raw_order_payments"] = f"""
   select {hex_id(1, 'l_orderkey')} as order_id, l_linenumber as payment_sequential,
     case when l_returnflag = 'A' then 'credit_card' when l_linestatus = 'F' then 'voucher' else 'boleto' end as payment_type,
-    l_linenumber - 1 as payment_installments, {CENTS} as payment_value
-  from lineitem where l_returnflag <> 'N'"""
+    l_linenumber - 1 as payment_installments, case when l_returnflag <> 'N' then {CENTS} end as payment_value
+  from lineitem"""
 MODELS["raw_order_reviews"] = f"""
   select {hex_id(4, 'o_custkey * 100000 + year(o_orderdate) * 12 + month(o_orderdate)')} as review_id, {hex_id(1, 'o_orderkey')} as order_id,
-    left(o_orderpriority, 1)::INT as review_score, null::VARCHAR as review_comment_title,
+    case when o_orderpriority <> '4-NOT SPECIFIED' then left(o_orderpriority, 1)::INT end as review_score, null::VARCHAR as review_comment_title,
     case when o_orderstatus = 'F'
          then 'said "' || o_orderpriority || '", on time' || chr(10) || 'order ' || o_orderkey end as review_comment_message,
     o_orderdate + interval 10 day as review_creation_date,
     o_orderdate + to_hours((o_orderkey % 24)::INT) + interval 12 day as review_answer_timestamp
-  from orders where o_orderpriority <> '4-NOT SPECIFIED'"""
+  from orders"""
 MODELS["raw_products"] = f"""
   select {hex_id(5, 'p_partkey')} as product_id, if(p_type <> 'SMALL', lower(p_type), ' ') as product_category_name,
     length(p_name)::INT as product_name_lenght, length(p_brand)::INT as product_description_lenght,
@@ -116,8 +116,8 @@ MODELS["raw_geolocation"] = f"""
     {state_sql('c_nationkey')} as geolocation_state
   from customer"""
 MODELS["raw_product_category_translation"] = """
-  select distinct lower(p_type) as product_category_name, lower(p_type) || '_en' as product_category_name_english
-  from part where p_type not in ('SMALL', 'PROMO')"""
+  select distinct n as product_category_name, n || '_en' as product_category_name_english
+  from (select if(p_type in ('SMALL', 'PROMO'), lower(p_type) || '_old', lower(p_type)) as n from part)"""
 
 MODELS["stg_customers"] = """
   from raw_customers select customer_id, customer_unique_id,
@@ -177,7 +177,8 @@ MODELS["items_per_order"] = """
     sum(item_price) + sum(freight_value) as items_gross_total
   from stg_order_items group by order_id"""
 MODELS["payments_per_order"] = """
-  with r as (select *, row_number() over (partition by order_id order by payment_value desc, payment_type desc) as n
+  with r as (select *, if(payment_value is null, null,
+               row_number() over (partition by order_id order by payment_value desc nulls last, payment_type desc)) as n
              from stg_order_payments)
   select order_id, sum(payment_value) as payment_total, count(*) as payment_count,
     max(payment_installments) as max_installments, max(payment_type) filter (n = 1) as main_payment_type
@@ -315,7 +316,7 @@ MODELS["cohort_activity"] = """
 MODELS["cohort_retention"] = f"""
   with size as (select acquisition_month as m, count(*) as n from dim_customers group by 1),
   lim as (select max(purchase_month) as top from monthly_revenue where not is_low_volume_month),
-  grid as (select m, n, k::INT as k from size, lim, range(25) t(k) where (m + to_months(k::INT))::DATE <= top)
+  grid as (select m, n, unnest(range(0, date_diff('month', m, top) + 1))::INT as k from size, lim where m <= top)
   select strftime(m, '%Y-%m') || '+' || k as cohort_key, m as acquisition_month, k as months_since_acquisition,
     n as cohort_customers, ifnull(active_customers, 0) as active_customers,
     {ratio('ifnull(active_customers, 0)', 'n', 5)} as retention_rate, n < 100 as is_small_cohort

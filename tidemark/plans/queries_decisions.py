@@ -273,8 +273,7 @@ def budget_tiles(w):
 
 
 @query("budget_curve", """
-  select priority_rank, cumulative_action_cost_brl, cumulative_action_cost_brl <= 25000 as within_budget from rule_table
-  where priority_rank <= 40000""", "cumulative_action_cost_brl")
+  select priority_rank, cumulative_action_cost_brl, cumulative_action_cost_brl <= 25000 as within_budget from rule_table""", "cumulative_action_cost_brl")
 def budget_curve(w):
     return dashboards.budget_curve(w.rule_table, w.cfg.default_budget)
 

@@ -133,12 +133,13 @@ def cohort_active_counts(w):
 
 
 @query("row_generator", """
-  select acquisition_month, count(*) as cohort_customers, k::INT as months_since_acquisition
-  from dim_customers, range(25) t(k) group by acquisition_month, k""")
+  select acquisition_month, cohort_customers,
+    unnest(range(0, date_diff('month', acquisition_month, (select max(purchase_month) from valid)) + 1))::INT as months_since_acquisition
+  from (select acquisition_month, count(*) as cohort_customers from dim_customers group by acquisition_month)""")
 def row_generator(w):
-    sizes = cohort_sizes(w)
-    steps = w.spark.range(w.cfg.cohort_offsets).select(F.col("id").cast("int").alias("months_since_acquisition"))
-    return sizes.crossJoin(F.broadcast(steps))
+    """One row for every month of every cohort up to the last month with a purchase."""
+    last = w.customer_months.agg(F.max("purchase_month").alias("last_month"))
+    return metrics.cohort_grid(cohort_sizes(w), last)
 
 
 @query("month_counts", """

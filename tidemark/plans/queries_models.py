@@ -243,7 +243,7 @@ def revenue_concentration(w):
 
 @query("return_rate_by_recency", """
   select if(recency_days > 365, '365+', if(recency_days > 180, '181-365', if(recency_days > 90, '91-180', '0-90'))) as recency_bucket,
-    avg(returned) as return_rate from test_set where recency_days > 0 and recency_days <= 10000 group by 1""", approx="return_rate")
+    avg(returned) as return_rate from test_set where recency_days > 0 group by 1""", approx="return_rate")
 def return_rate_by_recency(w):
     return explore.return_rate_by_recency(w.test_only)
 

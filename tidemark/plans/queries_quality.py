@@ -24,7 +24,7 @@ def profile_sql(table):
     return union(
         f"""select '{table}' as table_name, '{c}' as column_name, count(*) filter ({c} is null) as nulls,
           floor(10000 * count(*) filter ({c} is null) / count(*) + 0.5) / 100.0 as null_pct, count(distinct {c}) as distinct_values,
-          left(replace(min({c}::VARCHAR), chr(10), ' '), 40) as example from raw_{table}"""
+          replace(min({c}::VARCHAR), chr(10), ' ') as example from raw_{table}"""
         for c in RAW_TABLES[table].column_names)
 
 

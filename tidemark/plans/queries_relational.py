@@ -189,7 +189,7 @@ def scalar_numeric(w):
 @query("scalar_conditional", """
   select customer_unique_id, case activity_status when 'Cooling' then 1.0 when 'Active' then 0.6 when 'Inactive' then 0.3 end::DOUBLE as urgency,
     case when days_since_last_purchase > 0 then case when days_since_last_purchase <= 90 then '0-90' when days_since_last_purchase <= 180 then '91-180'
-      when days_since_last_purchase <= 365 then '181-365' when days_since_last_purchase <= 10000 then '365+' end end as recency_bin,
+      when days_since_last_purchase <= 365 then '181-365' else '365+' end end as recency_bin,
     ifnull(avg_days_between_purchases, -1) as gap_or_default
   from customer_rfm""")
 def scalar_conditional(w):

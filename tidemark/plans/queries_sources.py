@@ -57,7 +57,7 @@ def abort_on_error(w):
 
 
 @query("load_audit", """
-  select 'order_reviews' as table_name, count(*) as rows_parsed, count(*) filter (review_score <> 5) as rows_loaded from raw_order_reviews""")
+  select 'order_reviews' as table_name, count(*) as rows_parsed, count(*) filter (review_score is distinct from 5) as rows_loaded from raw_order_reviews""")
 def load_audit(w):
     audit = csv_files.load_audit(w.spark, _spoiled(w), "order_reviews")
     return audit.groupBy("table_name").agg(F.sum("rows_parsed").alias("rows_parsed"), F.sum("rows_loaded").alias("rows_loaded"))

@@ -114,32 +114,33 @@ def order_items(star: StarTables) -> DataFrame:
 
 
 def order_payments(star: StarTables) -> DataFrame:
-    """Returned or accepted lines were paid; open ones were not, so some orders have no payment."""
+    """Returned or accepted lines were paid; open ones have a payment row without a value."""
     kind = (
         F.when(F.col("l_returnflag") == "A", "credit_card")
         .when(F.col("l_linestatus") == "F", "voucher")
         .otherwise("boleto")
     )
-    return star.read("lineitem").where(F.col("l_returnflag") != "N").select(
+    return star.read("lineitem").select(
         hex_id(ORDER, F.col("l_orderkey")).alias("order_id"),
         F.col("l_linenumber").alias("payment_sequential"),
         kind.alias("payment_type"),
         (F.col("l_linenumber") - 1).alias("payment_installments"),
-        retail_price("l_extendedprice").alias("payment_value"),
+        F.when(F.col("l_returnflag") != "N", retail_price("l_extendedprice")).alias("payment_value"),
     )
 
 
 def order_reviews(star: StarTables) -> DataFrame:
-    """Orders without a stated priority were never reviewed."""
+    """Every order was asked for a review; those without a stated priority gave no score."""
     bought = bought_at(F.col("o_orderkey"), F.col("o_orderdate"))
     message = F.concat(
         F.lit('said "'), F.col("o_orderpriority"), F.lit('", on time'), F.lit("\n"),
         F.lit("order "), F.col("o_orderkey").cast("string"),
     )
-    return star.read("orders").where(F.col("o_orderpriority") != "4-NOT SPECIFIED").select(
+    stated = F.col("o_orderpriority") != "4-NOT SPECIFIED"
+    return star.read("orders").select(
         hex_id(REVIEW, F.col("o_custkey") * 100_000 + F.year("o_orderdate") * 12 + F.month("o_orderdate")).alias("review_id"),
         hex_id(ORDER, F.col("o_orderkey")).alias("order_id"),
-        F.substring("o_orderpriority", 1, 1).cast("int").alias("review_score"),
+        F.when(stated, F.substring("o_orderpriority", 1, 1).cast("int")).alias("review_score"),
         F.lit(None).cast("string").alias("review_comment_title"),
         F.when(F.col("o_orderstatus") == "F", message).alias("review_comment_message"),
         (F.col("o_orderdate") + days(10)).alias("review_creation_date"),
@@ -185,11 +186,10 @@ def geolocation(star: StarTables) -> DataFrame:
 
 
 def product_category_translation(star: StarTables) -> DataFrame:
-    """Every category but two has an English name."""
-    name = F.lower("p_type")
+    """Every category has an English name; two are filed under an outdated name that no product bears."""
+    name = F.when(F.col("p_type").isin("SMALL", "PROMO"), F.concat(F.lower("p_type"), F.lit("_old"))).otherwise(F.lower("p_type"))
     return (
         star.read("part")
-        .where(~F.col("p_type").isin("SMALL", "PROMO"))
         .select(name.alias("product_category_name"), F.concat(name, F.lit("_en")).alias("product_category_name_english"))
         .distinct()
     )
