@@ -43,6 +43,31 @@ def test_bad_rows_stop_a_load_and_show_in_dry_run_and_audit(spark, folder, line)
     assert audit["first_error"].startswith("r3") and audit["file_name"] == "order_reviews.csv"
 
 
+def test_moved_header_is_refused(spark, tmp_path):
+    (tmp_path / "sellers.csv").write_text("seller_state,seller_zip_code_prefix,seller_city,seller_id\nSP,1,x,s1\n")
+    with pytest.raises(Exception, match="(?i)header|FAILED_READ"):
+        csv_files.file_pattern_scan(spark, str(tmp_path), "sellers").collect()
+
+
+def test_only_exact_file_names_are_read(spark, tmp_path):
+    for name in ("sellers.csv", "resellers.csv", "sellers.csv.bak", "my_sellers.csv"):
+        (tmp_path / name).write_text("seller_id,seller_zip_code_prefix,seller_city,seller_state\n%s,1,x,SP\n" % name)
+    assert [r.seller_id for r in csv_files.file_pattern_scan(spark, str(tmp_path), "sellers").collect()] == ["sellers.csv"]
+    assert [r.seller_id for r in csv_files.file_pattern_scan(spark, str(tmp_path), "sellers", prefix="my_").collect()] == ["my_sellers.csv"]
+
+
+def test_large_plain_files_are_split(spark, tmp_path):
+    line = "s%d,1,city,SP\n"
+    (tmp_path / "sellers.csv").write_text("seller_id,seller_zip_code_prefix,seller_city,seller_state\n" + "".join(line % i for i in range(200_000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "500k")
+    try:
+        df = csv_files.file_pattern_scan(spark, str(tmp_path), "sellers")
+        assert df.rdd.getNumPartitions() > 3 and df.count() == 200_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
 def test_profile_scan_strips_the_byte_order_mark(spark, tmp_path):
     path = tmp_path / "t.csv"
     path.write_bytes(b"\xef\xbb\xbf" + b"a,b\n007,\n")

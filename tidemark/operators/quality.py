@@ -291,6 +291,49 @@ def type_label(t: T.DataType) -> tuple[str, int | None]:
     return "TEXT", None
 
 
+def schema_contract_diff(texts: Tables) -> DataFrame:
+    """All-text scans of files against the contract: header places, and values that are not of the declared type.
+
+    Every value is read: one aggregate for each table counts values and those that do not convert.
+    """
+    return stack([_contract_of(name, df) for name, df in texts.items()])
+
+
+def _contract_of(name: str, df: DataFrame) -> DataFrame:
+    spec = RAW_TABLES[name]
+    wanted = {c: (k, t) for k, (c, t) in enumerate(spec.columns, 1)}
+    place = {c: k for k, c in enumerate(df.columns, 1)}
+
+    def bad(c: str) -> Column:
+        if c not in place or c not in wanted:
+            return F.lit(0).cast("long")
+        text = F.col(c).cast("string")
+        return F.count_if(text.isNotNull() & text.try_cast(wanted[c][1].simpleString()).isNull())
+
+    names = list(dict.fromkeys([*wanted, *place]))
+    counted = df.agg(
+        *[(F.count(c) if c in place else F.lit(0).cast("long")).alias(f"n{k}") for k, c in enumerate(names)],
+        *[bad(c).alias(f"b{k}") for k, c in enumerate(names)],
+    )
+    cells = F.array(*[
+        F.struct(
+            F.lit(c).alias("column_name"), F.lit(wanted.get(c, (None,))[0]).cast("int").alias("expected_position"),
+            F.lit(place.get(c)).cast("int").alias("actual_position"),
+            F.lit(type_label(wanted[c][1])[0] if c in wanted else None).cast("string").alias("expected_type"),
+            F.col(f"n{k}").alias("filled_values"), F.col(f"b{k}").alias("bad_values"),
+        ) for k, c in enumerate(names)
+    ])
+    # Texts of the report.
+    verdict = (
+        F.when(F.col("actual_position").isNull(), "FAIL - missing column")
+        .when(F.col("expected_position").isNull(), "FAIL - unexpected column")
+        .when(F.col("expected_position") != F.col("actual_position"), "FAIL - wrong position")
+        .when(F.col("bad_values") > 0, "FAIL - wrong values")
+        .otherwise("PASS")
+    )
+    return counted.select(F.lit(name).alias("table_name"), F.explode(cells).alias("x")).select("table_name", "x.*").withColumn("status", verdict)
+
+
 CONTRACT_SCHEMA = "table_name string, column_name string, position int, data_type string, numeric_scale int"
 
 
@@ -298,8 +341,8 @@ def contract_rows(name: str, schema: T.StructType) -> list[tuple]:
     return [(name, f.name, i, *type_label(f.dataType)) for i, f in enumerate(schema.fields, 1)]
 
 
-def schema_contract_diff(tables: Tables) -> DataFrame:
-    """Expected against actual columns, full outer: missing, unexpected, moved or retyped."""
+def typed_contract_diff(tables: Tables) -> DataFrame:
+    """Declared against actual column types of typed tables, full outer: missing, unexpected, moved or retyped."""
     spark = next(iter(tables.values())).sparkSession
     want = [r for n, s in RAW_TABLES.items() for r in contract_rows(n, s.schema)]
     have = [r for n, df in tables.items() for r in contract_rows(n, df.schema)]
@@ -320,7 +363,7 @@ def schema_contract_diff(tables: Tables) -> DataFrame:
 
 
 def value_domain_checks(tables: Tables, cfg: RetentionConfig) -> DataFrame:
-    contract = schema_contract_diff(tables).agg(F.count_if(F.col("status") != "PASS").alias("violations")).select(
+    contract = typed_contract_diff(tables).agg(F.count_if(F.col("status") != "PASS").alias("violations")).select(
         F.lit("all tables").alias("table_name"), F.lit("columns follow the schema contract").alias("rule_name"),
         F.lit("FAIL").alias("severity"), "violations")
     checks = stack([contract, run_rules(tables, value_rules(cfg))])

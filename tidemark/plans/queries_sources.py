@@ -6,8 +6,9 @@ from pyspark.sql import types as T
 from tidemark.operators import quality
 from tidemark.plans.catalog import query
 from tidemark.plans.queries_marts import MONTH_MONEY
-from tidemark.plans.queries_quality import profile_sql
+from tidemark.plans.queries_quality import profile_sql, union
 from tidemark.sources import csv_files, tables
+from tidemark.sources.schemas import RAW_TABLES
 from tidemark.sources.scratch import fresh_path
 
 
@@ -57,10 +58,43 @@ def abort_on_error(w):
 
 
 @query("load_audit", """
-  select 'order_reviews' as table_name, count(*) as rows_parsed, count(*) filter (review_score is distinct from 5) as rows_loaded from raw_order_reviews""")
+  select 'order_reviews' as table_name, count(*) as rows_parsed, count(*) filter (review_score is distinct from 5) as rows_loaded,
+    'LOAD_FAILED' as worst_status, min(review_id) filter (review_score = 5) as first_bad_review from raw_order_reviews""")
 def load_audit(w):
+    """Rows, worst file status and the id in the first bad row, over all files."""
     audit = csv_files.load_audit(w.spark, _spoiled(w), "order_reviews")
-    return audit.groupBy("table_name").agg(F.sum("rows_parsed").alias("rows_parsed"), F.sum("rows_loaded").alias("rows_loaded"))
+    return audit.groupBy("table_name").agg(
+        F.sum("rows_parsed").alias("rows_parsed"), F.sum("rows_loaded").alias("rows_loaded"), F.max("status").alias("worst_status"),
+        F.min(F.substring_index("first_error", ",", 1)).alias("first_bad_review"))
+
+
+def _contract_sql():
+    """Counts by table and column; reviews with spoiled scores, sellers with two columns that changed places."""
+    moved = {"seller_city": "seller_state", "seller_state": "seller_city"}
+    for spec in RAW_TABLES.values():
+        place = {c: k for k, (c, _) in enumerate(spec.columns, 1)}
+        for c, t in spec.columns:
+            spoiled = (spec.name, c) == ("order_reviews", "review_score")
+            actual = place[moved.get(c, c)] if spec.name == "sellers" else place[c]
+            bad = "count(*) filter (review_score = 5)" if spoiled else "0"
+            status = "FAIL - wrong position" if actual != place[c] else "FAIL - wrong values" if spoiled else "PASS"
+            yield f"""select '{spec.name}' as table_name, '{c}' as column_name, {place[c]} as expected_position, {actual} as actual_position,
+              '{quality.type_label(t)[0]}' as expected_type, count(nullif(trim({c}::VARCHAR), '')) as filled_values, {bad} as bad_values, '{status}' as status from raw_{spec.name}"""
+
+
+@query("schema_contract_diff", union(_contract_sql()))
+def schema_contract_diff(w):
+    """All nine tables as text files, two of them with defects."""
+    texts = {}
+    for spec in RAW_TABLES.values():
+        if spec.name == "order_reviews":
+            folder = _spoiled(w)
+        elif spec.name == "sellers":
+            folder = written_csv(w, "sellers", df=w.raw["sellers"].select("seller_id", "seller_zip_code_prefix", "seller_state", "seller_city"))
+        else:
+            folder = written_csv(w, spec.name)
+        texts[spec.name] = csv_files.string_profile_scan(w.spark, folder, spec.multi_line)
+    return quality.schema_contract_diff(texts)
 
 
 @query("string_profile_scan", profile_sql("order_reviews"))

@@ -15,39 +15,45 @@ CSV_OPTIONS = {
     "sep": ",",
     "quote": '"',
     "escape": '"',
-    "multiLine": "true",
     "encoding": "UTF-8",
     "nullValue": "",
     "emptyValue": "",
     "timestampNTZFormat": "yyyy-MM-dd HH:mm:ss",
-    "enforceSchema": "true",
+    # The header must name the columns in order; a file with moved columns is refused.
+    "enforceSchema": "false",
 }
 
 
-def _reader(spark: SparkSession, pattern: str | None, **options: str):
-    reader = spark.read.options(**{**CSV_OPTIONS, **options})
+def _reader(spark: SparkSession, pattern: str | None, multi_line: bool, **options: str):
+    """Only tables with line breaks in texts are read file by file; others are split."""
+    reader = spark.read.options(**{**CSV_OPTIONS, "multiLine": str(multi_line).lower(), **options})
     return reader.option("pathGlobFilter", pattern) if pattern else reader
 
 
 def csv_scan(spark: SparkSession, folder: str, table: str, pattern: str | None = None) -> DataFrame:
     """Typed load of one raw table; the read stops at the first bad row."""
-    schema = RAW_TABLES[table].schema
-    return _reader(spark, pattern, mode="FAILFAST").schema(schema).csv(folder)
+    spec = RAW_TABLES[table]
+    return _reader(spark, pattern, spec.multi_line, mode="FAILFAST").schema(spec.schema).csv(folder)
 
 
-def file_pattern(file_stem: str) -> str:
-    """Plain or gzip-compressed files of one table (the codec follows the extension)."""
-    return f"*{file_stem}.csv*"
+def file_pattern(file_stem: str, prefix: str = "") -> str:
+    """Plain or gzip-compressed files of one table (the codec follows the extension) and no others.
 
+    ``prefix`` is what stands before the stem in all file names of a delivery.
+    """
+    return f"{{{prefix}{file_stem}.csv,{prefix}{file_stem}.csv.gz}}"
 
-def file_pattern_scan(spark: SparkSession, folder: str, table: str, file_stem: str | None = None) -> DataFrame:
-    return csv_scan(spark, folder, table, file_pattern(file_stem or table))
+
+def file_pattern_scan(
+    spark: SparkSession, folder: str, table: str, file_stem: str | None = None, prefix: str = "",
+) -> DataFrame:
+    return csv_scan(spark, folder, table, file_pattern(file_stem or table, prefix))
 
 
 def tolerant_scan(spark: SparkSession, folder: str, table: str, pattern: str | None = None) -> DataFrame:
     schema = T.StructType([*RAW_TABLES[table].schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    rows = _reader(spark, pattern, **options).schema(schema).csv(folder)
+    rows = _reader(spark, pattern, RAW_TABLES[table].multi_line, **options).schema(schema).csv(folder)
     return rows.withColumn("file_name", F.col("_metadata.file_name"))
 
 
@@ -79,7 +85,10 @@ def load_audit(spark: SparkSession, folder: str, table: str, pattern: str | None
     )
 
 
-def string_profile_scan(spark: SparkSession, path: str) -> DataFrame:
-    """Everything as text exactly as written; only an empty field is NULL; BOM dropped from the header."""
-    rows = _reader(spark, None, mode="FAILFAST").csv(path)
+def string_profile_scan(spark: SparkSession, path: str, multi_line: bool = True, pattern: str | None = None) -> DataFrame:
+    """Everything as text exactly as written; only an empty field is NULL; BOM dropped from the header.
+
+    Give ``multi_line=False`` for files without line breaks in texts: they can be split.
+    """
+    rows = _reader(spark, pattern, multi_line, mode="FAILFAST").csv(path)
     return rows.toDF(*[c.lstrip(BOM) for c in rows.columns])

@@ -17,6 +17,8 @@ class RawTable:
     columns: tuple[tuple[str, T.DataType], ...]
     key: tuple[str, ...] = ()
     required: tuple[str, ...] = ()
+    # Texts with line breaks: a file of this table cannot be split.
+    multi_line: bool = False
 
     @property
     def schema(self) -> T.StructType:
@@ -78,6 +80,7 @@ RAW_TABLES: dict[str, RawTable] = {
             ),
             key=("review_id", "order_id"),
             required=("review_id", "order_id", "review_score"),
+            multi_line=True,
         ),
         RawTable(
             "products",
