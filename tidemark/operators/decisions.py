@@ -97,14 +97,19 @@ def tiered(joined: DataFrame, cfg: RetentionConfig) -> DataFrame:
 
 
 def add_budget_columns(df: DataFrame) -> DataFrame:
-    """Contact order and running cost: by priority, then spend, then customer id."""
+    """Contact order and running cost: by priority, then spend, then customer id.
+
+    Only four narrow columns are sorted; the unique id brings the result back to the rows.
+    """
+    rows = store(df, "tiered")
     order = [("priority_score", False), ("total_revenue", False), ("customer_unique_id", True)]
-    scanned = ordered_scan(df, order, sums={"cumulative_action_cost_brl": "action_cost_brl"})
-    return (
-        scanned.withColumnRenamed("position", "priority_rank")
-        .withColumn("cumulative_action_cost_brl", F.col("cumulative_action_cost_brl").cast(TOTAL))
-        .drop("position_total", "cumulative_action_cost_brl_total")
+    narrow = rows.select("customer_unique_id", "priority_score", "total_revenue", "action_cost_brl")
+    scanned = ordered_scan(narrow, order, sums={"cumulative_action_cost_brl": "action_cost_brl"})
+    placed = scanned.select(
+        "customer_unique_id", F.col("position").alias("priority_rank"),
+        F.col("cumulative_action_cost_brl").cast(TOTAL).alias("cumulative_action_cost_brl"),
     )
+    return rows.join(placed, "customer_unique_id").select(*rows.columns, "priority_rank", "cumulative_action_cost_brl")
 
 
 def decide(scored: DataFrame, rfm: DataFrame, cfg: RetentionConfig) -> DataFrame:

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.config import RetentionConfig
 from tidemark.functions.scalars import TOTAL, exact_ratio, months_between_starts
+from tidemark.sources.scratch import store
 
 
 def kpi_summary(rollup: DataFrame, customers: DataFrame) -> DataFrame:
@@ -136,10 +137,11 @@ def category_performance(items: DataFrame, joined: DataFrame, products: DataFram
     """Two levels: (category, order) then category.
 
     The first level makes orders and order-level reviews plain counts and means,
-    leaving one distinct count. Products sold come from their own distinct branch,
-    which meets the product table only after the lines are gone.
+    leaving one distinct count. Products sold are the distinct products of the same
+    lines, which are stored once for both.
     """
-    per_order = category_lines(items, joined, products).groupBy("product_category", "order_id").agg(
+    lines = store(category_lines(items, joined, products), "category-lines")
+    per_order = lines.groupBy("product_category", "order_id").agg(
         F.sum("lines").alias("lines"),
         F.sum("price").cast(TOTAL).alias("price"),
         F.sum("priced").alias("priced"),
@@ -156,14 +158,8 @@ def category_performance(items: DataFrame, joined: DataFrame, products: DataFram
         F.sum("priced").alias("priced"),
         F.round(F.avg("review"), 2).alias("avg_review_score"),
     )
-    valid = joined.where("is_valid_purchase").select("order_id")
-    sold = (
-        items.select("order_id", "product_id").distinct().join(valid, "order_id", "left_semi")
-        .select("product_id").distinct()
-        .join(products.select("product_id", "product_category"), "product_id")
-        .groupBy("product_category")
-        .agg(F.count(F.lit(1)).alias("products_sold"))
-    )
+    sold = lines.select("product_category", "product_id").distinct().groupBy("product_category").agg(
+        F.count(F.lit(1)).alias("products_sold"))
     everything = Window.partitionBy()
     return sales.join(sold, "product_category", "left").select(
         "product_category",

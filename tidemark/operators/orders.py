@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import MONEY, sum_of_lines
 from tidemark.operators.ordered import ordered_scan
+from tidemark.sources.scratch import store
 
 SEQUENCE_COLUMNS = ["customer_order_number", "is_first_purchase"]
 FACT_COLUMNS = [
@@ -88,17 +89,13 @@ def joined_orders(
     )
 
 
-def purchase_sequence(orders: DataFrame, customers: DataFrame) -> DataFrame:
-    """order_id -> 1, 2, 3... among the person's valid purchases.
+def purchase_sequence(joined: DataFrame) -> DataFrame:
+    """order_id -> 1, 2, 3... among the person's valid purchases, from the joined orders.
 
     Works on four narrow columns and an ordered scan, so one person with a very
     large share of all orders is numbered by many tasks.
     """
-    valid = (
-        orders.where("is_valid_purchase")
-        .join(customers.select("customer_id", "customer_unique_id"), "customer_id")
-        .select("customer_unique_id", "purchased_at", "order_id")
-    )
+    valid = joined.where("is_valid_purchase").select("customer_unique_id", "purchased_at", "order_id")
     numbered = ordered_scan(valid, [("purchased_at", True), ("order_id", True)], group=["customer_unique_id"])
     return numbered.select("order_id", F.col("position").alias("customer_order_number"))
 
@@ -106,9 +103,9 @@ def purchase_sequence(orders: DataFrame, customers: DataFrame) -> DataFrame:
 def orders_enriched(
     orders: DataFrame, customers: DataFrame, items: DataFrame, payments: DataFrame, reviews: DataFrame
 ) -> DataFrame:
-    return with_sequence(
-        joined_orders(orders, customers, items, payments, reviews), purchase_sequence(orders, customers)
-    )
+    # Numbered and joined back: stored, so that the five tables are joined once.
+    joined = store(joined_orders(orders, customers, items, payments, reviews), "joined-orders")
+    return with_sequence(joined, purchase_sequence(joined))
 
 
 def with_sequence(joined: DataFrame, sequence: DataFrame) -> DataFrame:

@@ -14,6 +14,7 @@ from tidemark.functions.scalars import TOTAL, exact_ratio, matches_whole, month_
 from tidemark.operators.ordered import ordered_scan
 from tidemark.operators.staging import LATITUDES, LONGITUDES
 from tidemark.sources.schemas import RAW_TABLES
+from tidemark.sources.scratch import store
 
 Tables = dict[str, DataFrame]
 
@@ -561,17 +562,22 @@ def generic_not_null(models, names=None) -> DataFrame:
 
 
 def generic_accepted_values(models, names=None) -> DataFrame:
-    """Distinct unexpected values, all checked columns of a model in one pass."""
+    """Distinct unexpected values, all checked columns of a model in one pass over it."""
     out = []
     for name, spec in MODEL_TESTS.items():
         accepted = spec.get("accepted", {})
         if accepted and (names is None or name in names):
-            df = models(name)
-            row = df.agg(*[
-                F.countDistinct(F.when(~F.col(c).isin(*values), F.col(c))).alias(c) for c, values in accepted.items()
+            odd = F.array(*[
+                F.struct(F.lit(c).alias("column_name"), F.when(~F.col(c).isin(*values), F.col(c)).cast("string").alias("v"))
+                for c, values in accepted.items()
             ])
-            melted = melt_counts(row, {c: c for c in accepted}, "column_name", "failures")
-            out.append(melted.select(F.lit(name).alias("model"), "column_name", F.lit("accepted_values").alias("test"), "failures"))
+            # Only unexpected values leave the scan; columns without any come back with 0.
+            found = models(name).select(F.explode(F.filter(odd, lambda x: x["v"].isNotNull())).alias("x")).select("x.*").distinct()
+            counts = found.groupBy("column_name").agg(F.count(F.lit(1)).alias("failures"))
+            columns = counts.sparkSession.createDataFrame([(c,) for c in accepted], "column_name string")
+            out.append(columns.join(F.broadcast(counts), "column_name", "left").select(
+                F.lit(name).alias("model"), "column_name", F.lit("accepted_values").alias("test"),
+                F.coalesce("failures", F.lit(0)).cast("long").alias("failures")))
     return stack(out)
 
 
@@ -636,6 +642,27 @@ def cohort_rate_problems(cohorts: DataFrame) -> DataFrame:
     return cohorts.where(((F.col("months_since_acquisition") == 0) & (rate != 1)) | (rate > 1) | (rate < 0))
 
 
+def as_check(name: str, violating: DataFrame) -> DataFrame:
+    """One row (check_name, violations, status) of a singular test."""
+    counted = violating.agg(F.count(F.lit(1)).alias("violations"))
+    return counted.select(F.lit(name).alias("check_name"), "violations", status_of("violations", F.lit("FAIL")).alias("status"))
+
+
+def singular_tests(
+    facts: DataFrame, customers: DataFrame, rfm: DataFrame, monthly: DataFrame, kpis: DataFrame, cohorts: DataFrame, cfg: RetentionConfig,
+) -> dict[str, DataFrame]:
+    """Violating rows of the seven singular tests by name."""
+    return {
+        "no negative revenue": negative_revenue(facts),
+        "no impossible dates": impossible_dates(facts, cfg),
+        "no duplicate orders": duplicate_orders(facts),
+        "customer revenue reconciles": customer_revenue_mismatch(facts, customers),
+        "months reconcile": monthly_mismatch(monthly, kpis),
+        "rfm covers customers": rfm_coverage_mismatch(customers, rfm),
+        "cohorts start whole": cohort_rate_problems(cohorts),
+    }
+
+
 # ---------------------------------------------------------------- reconciliation
 
 
@@ -657,36 +684,36 @@ def marts_vs_raw(tables: Tables, facts: DataFrame, kpis: DataFrame, customers: D
         F.sum("n").alias("orders"), F.count("customer_unique_id").alias("people"), F.sum("revenue").cast(TOTAL).alias("revenue"),
         F.count_if(F.col("n") >= 2).alias("repeaters"), F.sum("price").cast(TOTAL).alias("item_revenue"))
 
-    def one(df: DataFrame, c: Column) -> DataFrame:
-        return df.agg(c.cast("double").alias("v"))
-
-    def pick(df: DataFrame, c: str | Column) -> DataFrame:
-        return df.select((F.col(c) if isinstance(c, str) else c).cast("double").alias("v"))
-
     count = F.count(F.lit(1))
     fives = F.round(F.lit(100.0) * share(F.count_if(F.col("r_score") == 5), count))
-    pairs = [
-        ("valid orders", pick(raw, "orders"), pick(kpis, "total_orders")),
-        ("unique customers", pick(raw, "people"), pick(kpis, "unique_customers")),
-        ("revenue", pick(raw, "revenue"), pick(kpis, "total_revenue")),
-        ("repeat customers", pick(raw, "repeaters"), pick(kpis, "repeat_customers")),
-        ("all orders", one(tables["orders"], count), one(facts, count)),
-        ("customers in both customer marts", one(customers, count), one(rfm, count)),
-        ("item revenue", pick(raw, "item_revenue"), one(categories, F.sum("item_revenue"))),
-        ("new customers over all months", one(monthly, F.sum("new_customers")), pick(kpis, "unique_customers")),
-        ("share of top recency score is near 20", pick(kpis, F.lit(20)), one(rfm, fives)),
-    ]
-    out = [
-        a.withColumnRenamed("v", "raw_value").crossJoin(F.broadcast(b.withColumnRenamed("v", "mart_value")))
-        .select(F.lit(label).alias("check_name"), "raw_value", "mart_value")
-        for label, a, b in pairs
-    ]
+    # Every input becomes one row; the nine comparisons are cells of their product.
+    row = raw.select(*[F.col(c).alias(f"raw_{c}") for c in raw.columns])
+    for one in (
+        tables["orders"].agg(count.alias("raw_orders_all")), facts.agg(count.alias("facts")), customers.agg(count.alias("customers")),
+        rfm.agg(count.alias("rfm"), fives.alias("fives")), categories.agg(F.sum("item_revenue").alias("category_revenue")),
+        monthly.agg(F.sum("new_customers").alias("month_customers")),
+        kpis.select("total_orders", "unique_customers", "total_revenue", "repeat_customers"),
+    ):
+        row = row.crossJoin(F.broadcast(one))
+    pairs = {
+        "valid orders": ("raw_orders", "total_orders"), "unique customers": ("raw_people", "unique_customers"),
+        "revenue": ("raw_revenue", "total_revenue"), "repeat customers": ("raw_repeaters", "repeat_customers"),
+        "all orders": ("raw_orders_all", "facts"), "customers in both customer marts": ("customers", "rfm"),
+        "item revenue": ("raw_item_revenue", "category_revenue"),
+        "new customers over all months": ("month_customers", "unique_customers"),
+        "share of top recency score is near 20": (F.lit(20), "fives"),
+    }
+    cells = F.array(*[
+        F.struct(F.lit(label).alias("check_name"), *[
+            (F.col(v) if isinstance(v, str) else v).cast("double").alias(n) for n, v in zip(("raw_value", "mart_value"), pair, strict=True)
+        ]) for label, pair in pairs.items()
+    ])
     gap = F.abs(F.col("raw_value") - F.col("mart_value"))
     loose = F.col("check_name").like("share of top recency%")
     verdict = (
         F.when(loose, F.when(gap <= 5, "PASS").otherwise("WARN")).when(gap <= 0.01, "PASS").otherwise("FAIL")
     )
-    return stack(out).withColumn("status", verdict)
+    return row.select(F.explode(cells).alias("x")).select("x.*").withColumn("status", verdict)
 
 
 def score_table_invariants(
@@ -695,6 +722,7 @@ def score_table_invariants(
     """Twelve properties of the published scores; 0 problems = PASS."""
     c = F.col
     group, tier = c("customer_group"), c("value_tier")
+    scores = store(scores, "scores")
 
     def flag(ok: Column) -> Column:
         return F.when(ok, 0).otherwise(1)

@@ -18,6 +18,9 @@ KEYS = ["as_of_date", "customer_unique_id"]
 DAYS_PER_MONTH = 30.44
 
 
+REVIEW_PARTS = ("review_sum", "review_count")
+
+
 class LabelWindowError(ValueError):
     """A label window runs past the end of the data."""
 
@@ -54,7 +57,14 @@ def answered_before(history: DataFrame, reviews: DataFrame, dates: DataFrame) ->
 
 
 def customer_history(history: DataFrame, reviews: DataFrame, dates: DataFrame) -> DataFrame:
-    """Orders and answered reviews stacked as events, then one aggregation per (date, person)."""
+    return history_rollup(history, reviews, dates).drop(*REVIEW_PARTS)
+
+
+def history_rollup(history: DataFrame, reviews: DataFrame, dates: DataFrame) -> DataFrame:
+    """Orders and answered reviews stacked as events, then one aggregation per (date, person).
+
+    ``REVIEW_PARTS`` are the sum and count from which the mean over everybody follows.
+    """
     order_events = _seen_before(history, dates).select(
         *KEYS, "purchased_at", "order_id", "customer_state", "order_revenue", "item_count",
         F.when(F.col("delivered_at") < F.col("as_of"), F.col("is_late_delivery").cast("int")).alias("late"),
@@ -73,19 +83,21 @@ def customer_history(history: DataFrame, reviews: DataFrame, dates: DataFrame) -
         F.max(located)["customer_state"].alias("customer_state"),
         F.coalesce(F.max("late"), F.lit(0)).alias("had_late_delivery"),
         F.avg("review_score").alias("avg_review_score_observed"),
+        F.sum("review_score").alias(REVIEW_PARTS[0]),
+        F.count("review_score").alias(REVIEW_PARTS[1]),
     )
 
 
-def known_review_mean(history: DataFrame, reviews: DataFrame, dates: DataFrame) -> DataFrame:
-    """One row per as-of date: mean of every review answered by then."""
-    return answered_before(history, reviews, dates).groupBy("as_of_date").agg(
-        F.avg("review_score").alias("known_mean")
-    )
+def known_review_mean(rollup: DataFrame) -> DataFrame:
+    """One row per as-of date: mean of every review answered by then, from the persons' sums."""
+    total, count = (F.sum(c) for c in REVIEW_PARTS)
+    return rollup.groupBy("as_of_date").agg(F.when(count > 0, total / count).alias("known_mean"))
 
 
 def build_features(history: DataFrame, reviews: DataFrame, dates: DataFrame) -> DataFrame:
-    base = customer_history(history, reviews, dates).where(F.col("customer_unique_id").isNotNull())
-    means = known_review_mean(history, reviews, dates)
+    rollup = history_rollup(history, reviews, dates)
+    means = known_review_mean(rollup)
+    base = rollup.where(F.col("customer_unique_id").isNotNull())
     as_of = F.col("as_of_date").cast("timestamp_ntz")
     since_first = elapsed_days(as_of, "first_purchase_at")
     days = F.col("all_purchase_days")

@@ -48,7 +48,7 @@ def latest_location(w):
 
 @query("customer_order_number", "select order_id, customer_order_number, is_first_purchase from orders_enriched")
 def customer_order_number(w):
-    return orders.with_sequence(w.stg_orders.select("order_id"), orders.purchase_sequence(w.stg_orders, w.stg_customers))
+    return orders.with_sequence(w.stg_orders.select("order_id"), orders.purchase_sequence(w.joined_orders))
 
 
 @query("geo_centroid", "select zip_code_prefix, latitude, longitude, source_point_count from stg_geolocation", approx="latitude longitude")

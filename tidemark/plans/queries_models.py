@@ -153,10 +153,13 @@ model_query("model_evaluation", "rule_evaluation", approx=METRICS)
 model_query("decile_table", "rule_deciles", approx=DECILE)
 
 
-@query("deciles", "select decile, customers from rule_deciles")
+@query("deciles", """
+  with r as (select customer_unique_id, row_number() over (order by score desc, customer_unique_id) as pos, count(*) over () as n from rule_rfm_test)
+  select customer_unique_id, least(10, greatest(1, ceil(10 * (pos - 1) / (n - 1))))::INT as decile from r""")
 def deciles(w):
+    """Who is in which decile."""
     scored = w.rule_scores["Rule: RFM score"].select("customer_unique_id", "score")
-    return evaluation.deciles(scored).groupBy("decile").agg(F.count(F.lit(1)).alias("customers"))
+    return evaluation.deciles(scored).select("customer_unique_id", "decile")
 
 
 @query("cumulative_capture", "select decile, cumulative_capture from rule_deciles", approx="cumulative_capture")

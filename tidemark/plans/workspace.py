@@ -111,9 +111,9 @@ class Workspace:
 
     @cached_property
     def orders_enriched(self):
-        return orders.with_sequence(
-            self.joined_orders, orders.purchase_sequence(self.stg_orders, self.stg_customers)
-        )
+        # Numbered and joined back, so the join of the five tables is stored in any case.
+        joined = self.joined_orders if self.keep else store(self.joined_orders, "joined-orders")
+        return orders.with_sequence(joined, orders.purchase_sequence(joined))
 
     @cached_property
     def fct_orders(self):
