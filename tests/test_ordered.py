@@ -86,7 +86,7 @@ def test_value_ranks_equal_plain_ranks(spark, kind, bounded):
     plain = df.select(
         "id", F.rank().over(w).cast("long").alias("rank"), F.percent_rank().over(w).alias("percent_rank"),
         ((F.rank().over(w) + (F.count("*").over(Window.partitionBy("k")) - 1) / 2) / n).alias("pct_rank"))
-    ranked = attach(df, value_ranks(df, "k", bounded), "k", rank="rank", percent_rank="percent_rank", pct_rank="pct_rank")
+    ranked = attach(df, value_ranks(df, "k", bounded), "k", bounded, rank="rank", percent_rank="percent_rank", pct_rank="pct_rank")
     assert rows(ranked, "id", "rank", "percent_rank", "pct_rank") == rows(plain, "id", "rank", "percent_rank", "pct_rank")
 
 

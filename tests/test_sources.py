@@ -90,3 +90,74 @@ def test_export_writes_headers(spark, tmp_path):
 
 def test_stored_tables_use_the_folder_of_the_session(spark):
     assert shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+@pytest.fixture
+def delivery(spark, tmp_path):
+    """Nine CSV files without key defects, some compressed."""
+    from tidemark.sources.schemas import RAW_TABLES
+    from tidemark.sources.star_binding import StarTables, raw_tables
+
+    folder = tmp_path / "in"
+    folder.mkdir()
+    for name, df in raw_tables(StarTables(spark, "/root/testdata/sf0.001")).items():
+        key = list(RAW_TABLES[name].key)
+        if name == "order_items":
+            df = df.dropDuplicates(["order_id", "order_item_id"])
+        elif name == "order_payments":
+            df = df.where("payment_value is not null").dropDuplicates(["order_id", "payment_sequential"])
+        elif name == "order_reviews":
+            df = df.where("review_score is not null").dropDuplicates(key)
+        df.toPandas().to_csv(
+            folder / f"olap_{name}.csv{'.gz' if name == 'sellers' else ''}", index=False, date_format="%Y-%m-%d %H:%M:%S")
+    return folder
+
+
+def test_build_from_files_to_extracts(spark, delivery, tmp_path):
+    import os
+
+    from tidemark.plans import pipeline
+    from tidemark.plans.workspace import STAR_CONFIG
+
+    (delivery / "olap_sellers.csv.bak").write_text("nothing to read")
+    written = pipeline.build(spark, str(delivery), str(tmp_path / "db"), STAR_CONFIG, str(tmp_path / "out"), prefix="olap_")
+    assert written["customer_retention_scores"] == spark.table("marts.dim_customers").count()
+    assert len(os.listdir(tmp_path / "out")) == 10
+
+
+def test_build_stops_before_the_marts(spark, delivery, tmp_path):
+    from tidemark.plans import pipeline
+    from tidemark.plans.workspace import STAR_CONFIG
+
+    path = delivery / "olap_orders.csv"
+    lines = path.read_text().splitlines()
+    path.write_text("\n".join([*lines, lines[1]]) + "\n")
+    with pytest.raises(pipeline.TestError, match="orders.order_id unique: 1"):
+        pipeline.build(spark, str(delivery), str(tmp_path / "db"), STAR_CONFIG, prefix="olap_")
+    assert not (tmp_path / "db" / "marts").exists()
+    path.write_text("\n".join([*lines, "x,y"]) + "\n")
+    with pytest.raises(pipeline.LoadError, match="olap_orders.csv"):
+        pipeline.build(spark, str(delivery), str(tmp_path / "db2"), STAR_CONFIG, prefix="olap_")
+    assert not (tmp_path / "db2").exists()
+
+
+def test_a_workspace_releases_what_it_stored(spark):
+    import os
+
+    from tidemark.plans.workspace import Workspace
+
+    with Workspace.over_star(spark, "/root/testdata/sf0.001", keep=True) as w:
+        assert w.kpi_summary.count() == 1 and os.listdir(w.folder)
+    assert not os.path.exists(w.folder)
+
+
+def test_the_scoring_date_is_honoured(spark):
+    import dataclasses
+    import datetime as dt
+
+    from tidemark.plans.workspace import STAR_CONFIG, Workspace
+    from tidemark.sources.star_binding import StarTables, raw_tables
+
+    raw = raw_tables(StarTables(spark, "/root/testdata/sf0.001"))
+    with Workspace(raw, dataclasses.replace(STAR_CONFIG, scoring_date=dt.date(2001, 3, 1))) as w:
+        assert {r.as_of_date for r in w.current.select("as_of_date").distinct().collect()} == {dt.date(2001, 3, 1)}

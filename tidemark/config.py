@@ -85,7 +85,8 @@ class RetentionConfig:
     period_end: dt.datetime = dt.datetime(2018, 12, 31, 23, 59, 59)
     train_dates: tuple[dt.date, ...] = (dt.date(2017, 6, 1), dt.date(2017, 9, 1))
     test_date: dt.date = dt.date(2018, 3, 1)
-    scoring_date: dt.date = dt.date(2018, 9, 4)
+    # None: the day after the last purchase.
+    scoring_date: dt.date | None = dt.date(2018, 9, 4)
 
     def __post_init__(self) -> None:
         total = self.weight_value + self.weight_likelihood + self.weight_urgency

@@ -95,7 +95,7 @@ def rule_rfm(features: DataFrame) -> DataFrame:
     fresh = features.withColumn("_freshness", -F.col("recency_days"))
     out = fresh
     for key, name, bounded in (("_freshness", "_r", False), ("purchase_days", "_f", True), ("monetary", "_m", False)):
-        out = attach(out, value_ranks(fresh.select(key), key, bounded=bounded), key, **{name: "pct_rank"})
+        out = attach(out, value_ranks(fresh.select(key), key, bounded=bounded), key, bounded, **{name: "pct_rank"})
     score = (F.col("_r") + F.col("_f") + F.col("_m")) / 3
     return out.withColumn("score", score).select(*features.columns, "score")
 

@@ -164,10 +164,13 @@ def value_ranks(df: DataFrame, key: str, bounded: bool = False) -> DataFrame:
     )
 
 
-def attach(df: DataFrame, ranks: DataFrame, key: str, **columns: str) -> DataFrame:
-    """Join rank columns back to the rows; a hot key only enlarges the side that can be split."""
+def attach(df: DataFrame, ranks: DataFrame, key: str, bounded: bool = False, **columns: str) -> DataFrame:
+    """Join rank columns back to the rows; a hot key only enlarges the side that can be split.
+
+    ``bounded``: the key's domain is a handful of values, so their ranks are broadcast.
+    """
     picked = ranks.select(F.col(key).alias("_key"), *[F.col(c).alias(n) for n, c in columns.items()])
-    return df.join(picked, F.col(key) == F.col("_key"), "left").drop("_key")
+    return df.join(F.broadcast(picked) if bounded else picked, F.col(key) == F.col("_key"), "left").drop("_key")
 
 
 def quantiles(df: DataFrame, key: str, points: dict[str, float]) -> DataFrame:

@@ -11,6 +11,7 @@ from pyspark.sql import types as T
 
 from tidemark.plans.oracle_models import with_models
 from tidemark.plans.workspace import Workspace
+from tidemark.sources.scratch import inside
 
 DIGITS = 6
 
@@ -26,7 +27,9 @@ class Query:
     approx: tuple[str, ...] = ()
 
     def run(self, spark: SparkSession, folder: str) -> DataFrame:
-        return self.shown(self.build(shared_workspace(spark, folder)))
+        workspace = shared_workspace(spark, folder)
+        with inside(workspace.folder):
+            return self.shown(self.build(workspace))
 
     def shown(self, df: DataFrame) -> DataFrame:
         decimals = [f.name for f in df.schema if isinstance(f.dataType, T.DecimalType)]
@@ -44,15 +47,31 @@ class Query:
 
 
 CATALOG: dict[str, Query] = {}
-_WORKSPACES: dict[tuple[str, str], Workspace] = {}
+_WORKSPACES: dict[tuple[str, str], tuple[tuple, Workspace]] = {}
+
+
+def file_state(spark: SparkSession, folder: str) -> tuple:
+    """Names, sizes and times of the files of a data set."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(path, True)
+    state = []
+    while found.hasNext():
+        f = found.next()
+        state.append((f.getPath().toString(), f.getLen(), f.getModificationTime()))
+    return tuple(sorted(state))
 
 
 def shared_workspace(spark: SparkSession, folder: str) -> Workspace:
-    """One workspace per session and data set: marts are stored once and all queries read them."""
-    key = (spark.sparkContext.applicationId, folder)
+    """One workspace per session and data set: marts are stored once and all queries read them.
+
+    Files that changed since make a new one; what the old one stored is released.
+    """
+    key, state = (spark.sparkContext.applicationId, folder), file_state(spark, folder)
+    if key in _WORKSPACES and _WORKSPACES[key][0] != state:
+        _WORKSPACES.pop(key)[1].close()
     if key not in _WORKSPACES:
-        _WORKSPACES[key] = Workspace.over_star(spark, folder, keep=True)
-    return _WORKSPACES[key]
+        _WORKSPACES[key] = (state, Workspace.over_star(spark, folder, keep=True))
+    return _WORKSPACES[key][1]
 
 
 def query(key: str, sql: str | None = None, money: str = "", approx: str = ""):

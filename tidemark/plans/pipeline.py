@@ -1,14 +1,17 @@
-"""The two production runs: build the marts, then score customers and plan actions."""
+"""The production runs: load files, build and test the marts, score customers and plan actions."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.config import RetentionConfig
 from tidemark.operators import dashboards, decisions, quality
 from tidemark.plans.workspace import Workspace
-from tidemark.sources.scratch import store
-from tidemark.sources.tables import csv_export, table_overwrite
+from tidemark.sources import csv_files
+from tidemark.sources.schemas import RAW_TABLES
+from tidemark.sources.scratch import inside, store
+from tidemark.sources.tables import csv_export, layer_materialise, table_overwrite
 
 MARTS = (
     "fct_orders", "dim_customers", "dim_products", "customer_rfm", "kpi_summary", "monthly_revenue",
@@ -25,7 +28,8 @@ def build_marts(workspace: Workspace, write) -> None:
 def score_customers(workspace: Workspace) -> dict[str, DataFrame]:
     """Fit, evaluate, refit, score and decide; the gate runs before anything is returned."""
     cfg = workspace.cfg
-    decided = store(workspace.decided, "decided")
+    with inside(workspace.folder):
+        decided = store(workspace.decided, "decided")
     quality.require_gate(quality.gate_checks(decided, workspace.customer_rfm))
     as_of = F.col("as_of_date")
     return {
@@ -46,8 +50,16 @@ def run(workspace: Workspace, database_root: str, extract_folder: str | None = N
         return lambda name, df: table_overwrite(df, layer, name, f"{database_root}/{layer}/{name}")
 
     build_marts(workspace, write("marts"))
-    tables = score_customers(workspace)
-    written = {name: write("ml")(name, df) for name, df in tables.items()}
+    return publish(workspace, database_root, extract_folder)
+
+
+def publish(workspace: Workspace, database_root: str, extract_folder: str | None) -> dict[str, int]:
+    """Score tables, and the extracts from the written marts."""
+
+    def write(name: str, df: DataFrame) -> int:
+        return table_overwrite(df, "ml", name, f"{database_root}/ml/{name}")
+
+    written = {name: write(name, df) for name, df in score_customers(workspace).items()}
     if extract_folder:
         spark = workspace.spark
         marts = {n: spark.table(f"marts.{n}") for n in (
@@ -61,3 +73,75 @@ def run(workspace: Workspace, database_root: str, extract_folder: str | None = N
         csv_export(
             {"customers": customers, **marts, **{n: spark.table(f"ml.{t}") for n, t in models.items()}}, extract_folder)
     return written
+
+
+class LoadError(RuntimeError):
+    """Files do not load completely; nothing was replaced."""
+
+
+class TestError(RuntimeError):
+    """A declared test failed; later layers were not built."""
+
+    __test__ = False
+
+
+def load_raw(spark: SparkSession, folder: str, root: str, prefix: str = "") -> dict[str, DataFrame]:
+    """Audit the files of all nine tables, and only if every row loads replace the raw layer."""
+    patterns = {name: csv_files.file_pattern(name, prefix) for name in RAW_TABLES}
+    audits = quality.stack([csv_files.load_audit(spark, folder, name, p) for name, p in patterns.items()])
+    # One row for each file.
+    rows = audits.select("table_name", "file_name", "status", "first_error").collect()
+    bad = [f"{r.file_name}: {r.first_error}" for r in rows if r.status != "LOADED"]
+    bad += [f"{name}: no file" for name in RAW_TABLES if name not in {r.table_name for r in rows}]
+    if bad:
+        raise LoadError("; ".join(bad))
+    out = {}
+    for name, pattern in patterns.items():
+        csv_files.csv_scan(spark, folder, name, pattern).write.mode("overwrite").parquet(f"{root}/raw/{name}")
+        out[name] = spark.read.parquet(f"{root}/raw/{name}")
+    return out
+
+
+def require_tests(workspace: Workspace, names: tuple[str, ...]) -> None:
+    """Generic tests of the named models; the first failing layer stops the build."""
+    checks = [f(workspace.model, names) for f in (
+        quality.generic_unique, quality.generic_not_null, quality.generic_accepted_values, quality.generic_relationships)
+        if _declared(f, names)]
+    failed = quality.stack(checks).where("failures > 0").collect()  # at most one row for each declared test
+    if failed:
+        raise TestError("; ".join(f"{r.model}.{r.column_name} {r.test}: {r.failures}" for r in failed))
+
+
+def _declared(test, names: tuple[str, ...]) -> bool:
+    kind = {"generic_accepted_values": "accepted"}.get(test.__name__, test.__name__.removeprefix("generic_"))
+    return any(quality.MODEL_TESTS.get(n, {}).get(kind) for n in names)
+
+
+def require_singular(workspace: Workspace) -> None:
+    tests = quality.singular_tests(
+        workspace.joined_orders, workspace.dim_customers, workspace.customer_rfm, workspace.monthly_revenue,
+        workspace.kpi_summary, workspace.cohort_retention, workspace.cfg)
+    rows = quality.stack([quality.as_check(n, bad) for n, bad in tests.items()]).collect()  # one row for each test
+    failed = [f"{r.check_name}: {r.violations}" for r in rows if r.status != "PASS"]
+    if failed:
+        raise TestError("; ".join(failed))
+
+
+def build(
+    spark: SparkSession, folder: str, root: str, cfg: RetentionConfig, extracts: str | None = None, prefix: str = "",
+) -> dict[str, int]:
+    """From nine CSV files (plain or gzip) to marts, score tables and dashboard extracts.
+
+    Files are audited first. Staging models become views and are tested before the
+    marts are written; the marts are tested before customers are scored.
+    """
+    with Workspace(load_raw(spark, folder, root, prefix), cfg, keep=True) as workspace:
+        staging = tuple(n for n in quality.MODEL_TESTS if n not in MARTS)
+        layer_materialise({n: workspace.model(n) for n in staging}, "staging", as_tables=False)
+        require_tests(workspace, staging)
+        build_marts(workspace, lambda name, df: table_overwrite(df, "marts", name, f"{root}/marts/{name}"))
+        # Later steps read what was written.
+        workspace.customer_rfm = spark.table("marts.customer_rfm")
+        require_tests(workspace, tuple(n for n in quality.MODEL_TESTS if n in MARTS))
+        require_singular(workspace)
+        return publish(workspace, root, extracts)

@@ -1,10 +1,14 @@
-"""All models of a data set, built on first use as one lazy plan per model."""
+"""All models of a data set, each built on first use.
+
+Most models are lazy plans. Those that several others read are stored when they are
+first asked for; the stored folders belong to the workspace and go with ``close()``.
+"""
 
 from __future__ import annotations
 
 import dataclasses
 import datetime as dt
-from functools import cached_property
+from functools import cached_property as plain_cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,7 +17,7 @@ from tidemark.config import RetentionConfig
 from tidemark.operators import (
     customers, dashboards, decisions, evaluation, explore, metrics, model, orders, snapshots, staging,
 )
-from tidemark.sources.scratch import store
+from tidemark.sources.scratch import fresh_path, inside, release, store
 from tidemark.sources.star_binding import StarTables, raw_tables
 
 # Dates and period that suit the star-schema data (1995 to 2001).
@@ -23,20 +27,35 @@ STAR_CONFIG = dataclasses.replace(
     period_end=dt.datetime(2001, 12, 31, 23, 59, 59),
     train_dates=(dt.date(2000, 1, 1), dt.date(2000, 6, 1)),
     test_date=dt.date(2001, 1, 1),
-    scoring_date=dt.date(2001, 8, 2),
+    scoring_date=None,
 )
+#: Lets Spark split a hot key on one side of a join even where that costs a later exchange.
+SKEW = "spark.sql.adaptive.forceOptimizeSkewedJoin"
+
+
+class cached_property(plain_cached_property):  # noqa: N801
+    """Whatever a model stores while it is built belongs to its workspace."""
+
+    def __get__(self, instance, owner=None):
+        if instance is None:
+            return self
+        with inside(instance.folder):
+            return super().__get__(instance, owner)
 
 
 class Workspace:
-    """Lazily composed models over the nine raw tables.
+    """Models over the nine raw tables.
 
-    ``keep`` stores the two models with several readers (joined orders and the
-    customer mart) instead of recomputing them per reader.
+    ``keep`` also stores the models that only some uses read several times (joined
+    orders, customer months, history, labels). The session's skew-join setting is
+    switched on, because people and products may hold a large share of the rows.
     """
 
     def __init__(self, raw: dict[str, DataFrame], cfg: RetentionConfig, keep: bool = False):
         self.raw, self.cfg, self.keep = raw, cfg, keep
         self.spark: SparkSession = next(iter(raw.values())).sparkSession
+        self.spark.conf.set(SKEW, "true")
+        self.folder = fresh_path(self.spark, "workspace")
 
     @classmethod
     def over_star(cls, spark: SparkSession, folder: str, keep: bool = False) -> Workspace:
@@ -45,6 +64,18 @@ class Workspace:
         workspace.star = star
         return workspace
 
+    def close(self) -> None:
+        """Delete everything this workspace stored; its models cannot be read afterwards."""
+        release(self.spark, self.folder)
+        for name in [n for n, v in vars(type(self)).items() if isinstance(v, cached_property)]:
+            self.__dict__.pop(name, None)
+
+    def __enter__(self) -> Workspace:
+        return self
+
+    def __exit__(self, *_) -> None:
+        self.close()
+
     def _shared(self, df: DataFrame, label: str) -> DataFrame:
         return store(df, label) if self.keep else df
 
@@ -192,11 +223,14 @@ class Workspace:
 
     @cached_property
     def scoring_dates(self):
+        """The configured date, or the day after the last purchase."""
+        if self.cfg.scoring_date is not None:
+            return snapshots.as_of_table(self.spark, [self.cfg.scoring_date])
         return snapshots.day_after_last_purchase(self.history)
 
     @cached_property
     def current(self):
-        """Features as of the day after the last purchase; ranked and scored, so always stored."""
+        """Features as of the scoring date; ranked and scored, so always stored."""
         return store(snapshots.build_features(self.history, self.reviews, self.scoring_dates), "current")
 
     # model

@@ -9,10 +9,30 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+_INSIDE: ContextVar[str | None] = ContextVar("inside", default=None)
+
+
+@contextmanager
+def inside(folder: str | None) -> Iterator[None]:
+    """Intermediates stored here belong to ``folder``, whose owner releases them together."""
+    before = _INSIDE.set(folder)
+    try:
+        yield
+    finally:
+        _INSIDE.reset(before)
+
+
+def release(spark: SparkSession, folder: str) -> None:
+    """Delete a folder of intermediates that nobody reads any more."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -27,7 +47,7 @@ def shared_folder(spark: SparkSession) -> str:
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
-    return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    return f"{_INSIDE.get() or shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def store(df: DataFrame, label: str = "stored") -> DataFrame:
