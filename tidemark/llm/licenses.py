@@ -6,10 +6,10 @@ are candidates, and a candidate is confirmed when the passage around its windows
 holds at least ``contained`` of the template's shingles, compared exactly.
 
 Window sizes follow the templates, so that a passage always holds a whole window:
-``LEVELS`` are (window, stride, bands). A band is the shingle that is smallest under
-one permutation (hash XOR a constant). A window that lies inside an unchanged passage
-equals a template window and collides for certain; with a share J of common shingles
-the probability is 1 - (1 - J)^bands for each window, and a passage usually holds several.
+``LEVELS`` are (window, stride). A band is the smallest or the largest shingle hash of the
+window, under the hash order or a permuted one: four bands of one row. A window inside an unchanged
+passage equals a template window and collides for certain; with a share J of common
+shingles the probability is about 1 - (1 - J)^4 for each window, and a passage usually holds several.
 
 Everything is built-in SQL functions; templates are small (their size is checked
 before they are broadcast), documents are read once and never shuffled.
@@ -23,8 +23,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SHINGLE = 5
-#: (window, stride, bands) in shingles; a template uses the largest window its length allows: 3 strides - 1 <= length.
-LEVELS = ((1, 1, 1), (8, 4, 4), (32, 16, 8))
+#: (window, stride) in shingles; a template uses the largest window its length allows: 3 strides - 1 <= length.
+LEVELS = ((1, 1), (8, 4), (32, 16))
+#: XOR mask of the second order: it turns the second bit, and the lower ones at random.
+PERMUTATION = 0x4C957F2D8A1B63E5
 #: Templates of more bytes than this are joined by shuffle instead of broadcast.
 BROADCAST_BYTES = 4_000_000
 
@@ -84,72 +86,84 @@ def shingles(text: Column) -> Column:
     return bound(words(text), of)
 
 
-def permutation(band: int) -> Column:
-    """A fixed constant for each band; XOR with it reorders hashes."""
-    return F.xxhash64(F.lit(f"band {band}"))
+def permuted(hashes: Column) -> Column:
+    """The hashes in another order: XOR turns their two leading bits, so other shingles are smallest and largest."""
+    return F.transform(hashes, lambda h: h.bitwiseXOR(F.lit(PERMUTATION)))
 
 
-def bands(window: Column, count: int) -> Column:
-    """One value for each band of a window: its number and the smallest permuted shingle."""
-
-    def value(b: int) -> Column:
-        return F.array_min(F.transform(window, lambda h: h.bitwiseXOR(permutation(b))))
-
-    return F.array(*[F.struct(F.lit(b).alias("band"), value(b).alias("value")) for b in range(count)])
+def bands(first: Column, second: Column) -> Column:
+    """(band, value) of a window from its hashes and its permuted hashes: the smallest and the largest of either."""
+    values = (F.array_min(first), F.array_max(first), F.array_min(second), F.array_max(second))
+    return F.array(*[F.struct(F.lit(b).alias("band"), v.alias("value")) for b, v in enumerate(values)])
 
 
 def level_of(length: Column) -> Column:
     chosen = F.lit(0)
-    for k, (_, stride, _) in enumerate(LEVELS):
+    for k, (_, stride) in enumerate(LEVELS):
         chosen = F.when(length >= max(1, 3 * stride - 1), F.lit(k)).otherwise(chosen)
     return chosen
 
 
+def _windows(starts: Column, h: Column, g: Column, k: int) -> Column:
+    """Windows of a level: its hashes, its permuted hashes, and the hashes of three windows about it."""
+    size = LEVELS[k][0]
+
+    def at(start: Column) -> Column:
+        around = F.slice(h, F.greatest(F.lit(1), start - size), 3 * size)
+        return F.struct(
+            F.lit(k).alias("level"), F.lit(None).cast("long").alias("value"), F.slice(h, start, size).alias("first"),
+            F.slice(g, start, size).alias("second"), around.alias("around"),
+        )
+
+    return F.transform(starts, at)
+
+
+def _single(h: Column) -> Column:
+    """Windows of one shingle are the shingle itself."""
+    none = F.lit(None).cast("array<bigint>")
+    return F.transform(h, lambda x: F.struct(
+        F.lit(0).alias("level"), x.alias("value"), none.alias("first"), none.alias("second"), none.alias("around"),
+    ))
+
+
+def _banded(windows: DataFrame) -> DataFrame:
+    """One row for each band of the windows in column ``w``."""
+    rows = windows.select("*", "w.*").drop("w")
+    values = F.when(F.col("level") == 0, F.array(F.struct(F.lit(0).alias("band"), F.col("value")))).otherwise(bands(F.col("first"), F.col("second")))
+    kept = [c for c in windows.columns if c != "w"]
+    return rows.select(*kept, "level", F.coalesce("around", F.array("value")).alias("around"), F.explode(values).alias("b")).select(
+        *kept, "level", "around", "b.*")
+
+
 def template_bands(templates: DataFrame) -> DataFrame:
     """(level, band, value, template, parts): every window of every template, at all offsets of its level."""
-    rows = templates.select("template", shingles(F.col("body")).alias("all"))
+    rows = templates.select("template", shingles(F.col("body")).alias("all")).where(F.size("all") > 0)
     rows = rows.select("template", "all", F.array_distinct("all").alias("parts"), level_of(F.size("all")).alias("level"))
     found = None
-    for k, (window, _, count) in enumerate(LEVELS):
-        last = F.greatest(F.lit(1), F.size("all") - (window - 1))
-        windows = _windows(last, window)
-        cut = rows.where((F.col("level") == k) & (F.size("all") > 0)).select("level", "template", "parts", F.explode(windows).alias("window"))
-        made = cut.select("level", "template", "parts", F.explode(bands(F.col("window"), count)).alias("b"))
+    for k, (size, _) in enumerate(LEVELS):
+        offsets = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("all") - (size - 1)))
+        cut = _windows(offsets, F.col("all"), permuted(F.col("all")), k) if k else _single(F.col("all"))
+        made = _banded(rows.where(F.col("level") == k).select("template", "parts", F.explode(cut).alias("w")))
         found = made if found is None else found.unionByName(made)
-    return found.select("level", "b.band", "b.value", "template", "parts").distinct()
-
-
-def _windows(last: Column, window: int) -> Column:
-    return F.transform(F.sequence(F.lit(1), last), lambda i: F.slice("all", i, window))
+    return found.select("level", "band", "value", "template", "parts").distinct()
 
 
 def document_windows(hashes: Column) -> Column:
-    """Windows of all levels: (level, window, around), ``around`` being the shingles three windows about it."""
-
-    def level(h: Column, k: int) -> Column:
-        window, stride, _ = LEVELS[k]
-
-        def at(start: Column) -> Column:
-            own = F.slice(h, start, window)
-            around = F.slice(h, F.greatest(F.lit(1), start - window), 3 * window) if window > 1 else own
-            return F.struct(F.lit(k).alias("level"), own.alias("window"), around.alias("around"))
-
-        return F.transform(F.sequence(F.lit(1), F.size(h), F.lit(stride)), at)
+    """Windows of all levels of a document, overlapping by half."""
 
-    def of(h: Column) -> Column:
-        return F.when(F.size(h) > 0, F.concat(*[level(h, k) for k in range(len(LEVELS))]))
+    def of(h: Column, g: Column) -> Column:
+        cut = [_single(h)]
+        for k, (_, stride) in enumerate(LEVELS):
+            if k:
+                cut.append(_windows(F.sequence(F.lit(1), F.size(h), F.lit(stride)), h, g, k))
+        return F.when(F.size(h) > 0, F.concat(*cut))
 
-    return bound(hashes, of)
+    return bound(hashes, lambda h: bound(permuted(h), lambda g: of(h, g)))
 
 
 def document_bands(documents: DataFrame) -> DataFrame:
-    """(key, level, band, value, around): the bands of all windows of every document."""
-    cut = documents.select("key", F.explode(document_windows(shingles(F.col("body")))).alias("w")).select("key", "w.*")
-    values: Column | None = None
-    for k, (_, _, count) in enumerate(LEVELS):
-        made = bands(F.col("window"), count)
-        values = F.when(F.col("level") == k, made) if values is None else values.when(F.col("level") == k, made)
-    return cut.select("key", "level", "around", F.explode(values).alias("b")).select("key", "level", "b.band", "b.value", "around")
+    """(key, level, around, band, value): the bands of all windows of every document."""
+    return _banded(documents.select("key", F.explode(document_windows(shingles(F.col("body")))).alias("w")))
 
 
 def scan(
