@@ -150,7 +150,7 @@ def contamination(
     item_id: str = "item_id",
     item_text: str = "text",
     window: int = 10,
-    block_bytes: int = 8_000_000,
+    block_bytes: int = 4_000_000,
 ) -> DataFrame:
     """The ``carry`` columns of every document with a struct ``found``.
 
