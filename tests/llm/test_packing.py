@@ -89,14 +89,23 @@ def test_round_keeps_large_bin_numbers():
     assert done["host"].tolist() == [2**55 + 1, 2**55 + 1, 2**55 + 3] and done["base"].tolist() == [0, 60, 0]
 
 
+@pytest.mark.parametrize("limit", [2, 600_000])
 @pytest.mark.parametrize("text", [
-    "Don't STOP 123 <|endoftext|> it's", "Ünïcödé x y İstanbul Σας", "a\x0bb\x0cc\x1cd é Å", "日本語 テスト 한국어", "x" * 500, "'s 'S we'LL",
+    "a\x01b \x01 c", "Don't STOP 123 <|endoftext|> it's", "Ünïcödé x y İstanbul Σας", "a\x0bb\x0cc\x1cd é Å", "日本語 テスト 한국어", "x" * 500, "'s 'S we'LL",
 ])
-def test_word_table_equals_the_tokenizer(reference_tokenizer, text):
-    known = WordIds(packing.default_tokenizer(), limit=3)
+def test_word_table_equals_the_tokenizer(reference_tokenizer, text, limit):
+    known = WordIds(packing.default_tokenizer(), limit=limit)
+    texts = [text, None, "some other words", text]
     for _ in range(2):
-        got = np.frombuffer(known.of(text.encode()), "<u4").tolist()
-        assert got == reference_tokenizer.encode(text, add_special_tokens=False).ids
+        got = [np.frombuffer(ids, "<u4").tolist() for ids in known.of_all([t and t.encode() for t in texts])]
+        assert got == [reference_tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
+
+
+def test_word_table_on_real_texts(spark, reference_tokenizer):
+    texts = [r.text for r in table(spark, "/root/testdata/sf0.01", "documents").select("text").collect()]
+    got = WordIds(packing.default_tokenizer()).of_all([t.encode() for t in texts])
+    want = [e.ids for e in reference_tokenizer.encode_batch(texts, add_special_tokens=False)]
+    assert [np.frombuffer(g, "<u4").tolist() for g in got] == want
 
 
 def test_odd_rows(odd_documents, no_documents, reference_tokenizer):

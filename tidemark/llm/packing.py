@@ -130,8 +130,8 @@ def packed_pieces(
             if not batch.num_rows:
                 continue
             kept.append(batch.column("kept"))
-            for k, text in enumerate(raw_texts(batch.column("body"))):
-                cut = list(pieces_of(known.of(text or b"") + end, capacity))
+            for k, ids in enumerate(known.of_all(raw_texts(batch.column("body")))):
+                cut = list(pieces_of(ids + end, capacity))
                 pieces += cut
                 owners += [rows + k] * len(cut)
             rows += batch.num_rows

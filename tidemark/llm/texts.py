@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Sequence
 from functools import lru_cache
 
 import numpy as np
@@ -47,29 +47,55 @@ class WordIds(dict):
 
     The tokenizer never merges across white space, so the ids of a text are the
     ids of its words in order. The memory is bounded: long words are not kept, and
-    when ``limit`` words are kept the rest is encoded each time it is met.
+    once ``limit`` words are kept, new ones stay only for the texts at hand.
     """
 
+    #: Stands between new words that are encoded in one go; it is a word of its own with one id.
+    MARK = "\x01"
+
     def __init__(self, path: str, limit: int = 500_000, longest: int = 64):
         super().__init__()
-        self.encode, self.limit, self.longest = tokenizer(path).encode, limit, longest
+        self.tokenizer, self.limit, self.longest = tokenizer(path), limit, longest
+        self.mark_ids = self.tokenizer.encode(self.MARK, add_special_tokens=False).ids
 
     def __missing__(self, word: bytes) -> bytes:
-        ids = self.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
-        packed = np.asarray(ids, "<u4").tobytes()
-        if len(word) <= self.longest and len(self) < self.limit:
-            self[word] = packed
-        return packed
-
-    def of(self, text: bytes) -> bytes:
-        # Lower-casing A-Z is what the tokenizer does first; it keeps the table small.
-        return b"".join(map(self.__getitem__, text.lower().split()))
+        ids = self.tokenizer.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
+        return np.asarray(ids, "<u4").tobytes()
+
+    def learn(self, words: set[bytes]) -> None:
+        """Keep the ids of new words. Words that hold the mark, and long ones, are left to be encoded each time."""
+        mark = self.MARK.encode()
+        short = [w for w in words if len(w) <= self.longest and mark not in w]
+        if len(self.mark_ids) != 1:
+            self.update((w, self[w]) for w in short)
+            return
+        for at in range(0, len(short), 20_000):
+            part = short[at:at + 20_000]
+            joined = f" {self.MARK} ".join(w.decode("utf-8", "replace") for w in part)
+            ids = np.asarray(self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4")
+            cuts = np.flatnonzero(ids == self.mark_ids[0])
+            starts, ends = np.concatenate(([0], cuts + 1)) * 4, np.concatenate((cuts, [len(ids)])) * 4
+            packed = ids.tobytes()
+            self.update(zip(part, (packed[a:b] for a, b in zip(starts.tolist(), ends.tolist(), strict=True)), strict=True))
+
+    def of_all(self, texts: Sequence[bytes | None]) -> list[bytes]:
+        """Packed ids of every text; NULL counts as empty."""
+        out = []
+        for at in range(0, len(texts), 500):
+            # Lower-casing A-Z is what the tokenizer does first; it keeps the table small.
+            split = [(t or b"").lower().split() for t in texts[at:at + 500]]
+            found = [list(map(self.get, words)) for words in split]
+            new = {w for words, ids in zip(split, found, strict=True) if None in ids for w, i in zip(words, ids, strict=True) if i is None}
+            self.learn(new)
+            for words, ids in zip(split, found, strict=True):
+                whole = [self[w] if i is None else i for w, i in zip(words, ids, strict=True)] if None in ids else ids
+                out.append(b"".join(whole))
+            if len(self) > self.limit:
+                for w in new:
+                    self.pop(w, None)
+        return out
 
 
 @lru_cache(maxsize=2)
 def word_ids(path: str) -> WordIds:
     return WordIds(path)
-
-
-def batches_of(table: dict, schema: pa.Schema) -> Iterator[pa.RecordBatch]:
-    yield pa.RecordBatch.from_pydict(table, schema=schema)

@@ -40,7 +40,7 @@ def token_counts(
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = word_ids(tokenizer)
         for batch in batches:
-            n = [len(known.of(t or b"")) // 4 for t in raw_texts(batch.column("body"))]
+            n = [len(ids) // 4 for ids in known.of_all(raw_texts(batch.column("body")))]
             yield pa.RecordBatch.from_arrays([batch.column("kept"), pa.array(n, pa.int64())], names=schema.names)
 
     return picked.mapInArrow(run, schema).select("kept.*", "n_tokens")
