@@ -67,6 +67,12 @@ def parts_of(word: str) -> list[str]:
     return [marked[i:i + LONGEST_WORD] for i in range(0, len(marked), LONGEST_WORD)]
 
 
+def add_rows(into: np.ndarray, rows: np.ndarray, values: np.ndarray) -> None:
+    """``into[rows] += values`` where rows may repeat; flat, which numpy adds much faster than row by row."""
+    width = into.shape[1]
+    np.add.at(into.reshape(-1), (rows[:, None] * width + np.arange(width)).ravel(), values.ravel())
+
+
 class Lattice:
     """Pieces of words of one length: ``at[end][length]`` has a piece number for every word, -1 where none fits."""
 
@@ -101,7 +107,7 @@ class Lattice:
         for end in range(self.length, 0, -1):
             for size, numbers in self.at[end].items():
                 step = probability[numbers] * beta[end]
-                np.add.at(uses, numbers, alpha[end - size] * step)
+                add_rows(uses, numbers, alpha[end - size] * step)
                 beta[end - size] += step
         uses[-1] = 0
         return uses
@@ -136,7 +142,7 @@ class Scorer:
         owners = np.array(owner)
         for same in by_length(parts):
             lattice = Lattice([parts[k] for k in same], self.pieces)
-            np.add.at(sums, owners[same], np.log(lattice.forward(self.probability)[-1]))
+            add_rows(sums, owners[same], np.log(lattice.forward(self.probability)[-1]))
         self.number |= {w: len(self.table) + k for k, w in enumerate(words)}
         self.table = np.vstack([self.table, sums])
 
@@ -180,7 +186,9 @@ def bounded_sample(labelled: DataFrame, sample_docs: int) -> DataFrame:
     totals = labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("total"))
     share = F.least(F.lit(1.0), F.lit(float(sample_docs)) / F.col("total"))
     draw = F.pmod(F.xxhash64("id"), F.lit(1_000_000)) / 1e6
-    return labelled.join(totals.select("lang", share.alias("share")), "lang").where(draw < F.col("share")).select("lang", "body")
+    # One row for each language, of which the model holds a column each: texts are not shuffled to meet it.
+    shares = F.broadcast(totals.select("lang", share.alias("share")))
+    return labelled.join(shares, "lang").where(draw < F.col("share")).select("lang", "body")
 
 
 def fit(labelled: DataFrame, vocabulary: str, sample_docs: int, rounds: int) -> tuple[list[str], np.ndarray]:
@@ -228,6 +236,8 @@ def _expectation(sent, langs: list[str], vocabulary: str):
 
 _SCORERS: dict[str, Scorer] = {}
 EVIDENCE_WORDS = 8
+#: Texts that are split into words at a time.
+SLICE_ROWS = 500
 
 
 def likeliest(sizes: np.ndarray, sums: np.ndarray, langs: Sequence[str]) -> tuple[list[str], np.ndarray]:
@@ -275,10 +285,12 @@ def identify(
         if name not in _SCORERS:
             _SCORERS.clear()
             _SCORERS[name] = Scorer(piece_numbers(vocabulary), learnt)
-        for batch in batches:
-            lang, score = likeliest(*_SCORERS[name].score(batch.column("body").to_pylist()), langs)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("kept"), pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=schema.names,
-            )
+        for whole in batches:
+            for at in range(0, whole.num_rows, SLICE_ROWS):
+                batch = whole.slice(at, SLICE_ROWS)
+                lang, score = likeliest(*_SCORERS[name].score(batch.column("body").to_pylist()), langs)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("kept"), pa.array(lang, pa.string()), pa.array(score, pa.float64())], names=schema.names,
+                )
 
     return picked.mapInArrow(run, schema).select("kept.*", "lang_pred", "score")
