@@ -133,6 +133,21 @@ def test_depth_shrinks_to_the_bound(spark):
     assert ct.train(counts.select("run", "n"), 5, 60).depth < 5
 
 
+@pytest.mark.parametrize("most", [10**6, 20, 0])
+def test_scores_do_not_depend_on_how_many_runs_are_broadcast(spark, most):
+    """Depth stays 5 when the corpus has more runs than the broadcast holds; held-out texts have unseen runs."""
+    documents = spark.createDataFrame(
+        [(i, t) for i, t in enumerate([*TEXTS, "the cog", "über the mat sat", "qqqqqqqq", "zzz the"])], "doc_id long, text string")
+    chance = brute_model(TEXTS, 5)
+    rows = {r.doc_id: r for r in ct.score(documents, F.col("doc_id") < len(TEXTS), max_runs=most).collect()}
+    for i, text in enumerate(TEXTS):
+        data = bytes(5) + b" ".join(tokens(text)) + b"\0"
+        want = sum(math.log10(chance(data[k - 5:k], data[k])) for k in range(5, len(data)))
+        assert rows[i].score == pytest.approx(want, abs=1e-3)
+    whole = {r.doc_id: r.score for r in ct.score(documents, F.col("doc_id") < len(TEXTS)).collect()}
+    assert {i: r.score for i, r in rows.items()} == pytest.approx(whole, abs=1e-4)
+
+
 def test_odd_rows(odd_documents, no_documents):
     found = {r.doc_id: r for r in ct.score(odd_documents, F.lit(True)).collect()}
     assert found[1].n_tokens == found[2].n_tokens == found[3].n_tokens == 1 and found[4].n_tokens == 60_001

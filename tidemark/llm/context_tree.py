@@ -9,12 +9,13 @@ prior weight, from the deepest contexts up to the empty one (one tree for each o
 
 Spark counts byte runs of length depth+1 (whose marginals give all shallower contexts),
 then builds subtrees of contexts that end with the same two bytes as groups; the two top
-levels are combined from their sums. The result is a table of log probabilities of the
-runs. A byte never seen after a context takes the mass that the context's seen
-bytes leave, shared out as the next shorter context would.
+levels are combined from their sums. A byte never seen after a context takes the mass that
+the context's seen bytes leave, shared out as the next shorter context would.
 
-Size: the table is broadcast, so ``depth`` is the largest for which the corpus has at
-most ``max_runs`` different runs. All counts cover the whole training corpus at any depth.
+Size: ``depth`` and the counts are the same for any corpus, and the trees stay in Spark. The
+log probabilities of the ``max_runs`` commonest runs are broadcast as a shortcut. Other runs
+leave the scoring pass as (document, run, count); each different one is valued once, in
+the group of its context, and joined back.
 """
 
 from __future__ import annotations
@@ -376,49 +377,111 @@ class Model:
         return out
 
 
+def group_of(depth: int, groups: int) -> Column:
+    """Runs whose contexts end alike meet in one group; a group holds several such stems."""
+    return F.pmod(F.xxhash64(F.shiftrightunsigned("run", 8 * (depth + 1 - TOP))), F.lit(groups))
+
+
+def _common_values(depth: int, top, least: int):
+    """(run, value): log10 probabilities of a group's runs that occur at least ``least`` times."""
+
+    def run(rows: pd.DataFrame) -> pd.DataFrame:
+        if not (rows["n"] >= least).any():
+            return pd.DataFrame({"run": np.empty(0, np.int64), "value": np.empty(0)})
+        runs, n = rows["run"].to_numpy().view(np.uint64), rows["n"].to_numpy()
+        order = np.argsort(runs)
+        runs, n = runs[order], n[order]
+        value = np.log10(run_probabilities(runs, n, depth, top.value)[-1])
+        return pd.DataFrame({"run": runs[n >= least].view(np.int64), "value": value[n >= least]})
+
+    return run
+
+
+def _wanted_values(depth: int, top):
+    """(run, value): log10 probabilities of the wanted runs, seen or not, by the runs seen in their group."""
+    tables_of = _group_tables(depth, top)
+
+    def run(seen: pd.DataFrame, wanted: pd.DataFrame) -> pd.DataFrame:
+        runs = wanted["run"].to_numpy(np.int64)
+        if not len(runs):
+            return pd.DataFrame({"run": runs, "value": np.empty(0)})
+        rows = tables_of(seen) if len(seen) else _rows(0, np.empty(0, np.uint64), np.empty(0))
+        model = Model(depth, tables_by_length(depth, *(rows[c].to_numpy() for c in ("length", "key", "value"))), one_byte_chances(top.value))
+        return pd.DataFrame({"run": runs, "value": model.logs(runs.view(np.uint64))})
+
+    return run
+
+
+def tables_by_length(depth: int, length: np.ndarray, keys: np.ndarray, values: np.ndarray) -> dict[int, tuple[np.ndarray, np.ndarray]]:
+    keys, values = keys.view(np.uint64), values.astype(np.float32)
+    return {k: (keys[length == k], values[length == k]) for k in (*range(TOP, depth + 1), *range(-depth, -TOP + 1))}
+
+
 def train(counts: DataFrame, depth: int, max_runs: int) -> Model:
-    """The model of the stored counts (run, n); at most about 1.5 ``max_runs`` table rows reach the driver."""
+    """The model of the stored counts (run, n) for one process; at most about 1.5 ``max_runs`` table rows reach the driver.
+
+    It drops context bytes until it fits; score() does not use it.
+    """
     while depth > TOP and counts.count() > max_runs:
         # Drop the oldest byte of the context.
         shorter = F.shiftleft(F.shiftrightunsigned("run", 16), 8).bitwiseOR(F.col("run").bitwiseAND(F.lit(255)))
         counts = store(counts.groupBy(shorter.alias("run")).agg(F.sum("n").alias("n")), "byte-runs")
         depth -= 1
-    # Runs whose contexts end alike meet in one group; a group holds about GROUP_RUNS runs of several such stems.
-    stem = F.shiftrightunsigned("run", 8 * (depth + 1 - TOP))
-    group = F.pmod(F.xxhash64(stem), F.lit(max(1, max_runs // GROUP_RUNS)))
+    group = group_of(depth, max(1, max_runs // GROUP_RUNS))
     groups = store(counts.select(group.alias("stem"), "run", "n"), "context-groups")
     top = top_of(groups, depth)
     sent = counts.sparkSession.sparkContext.broadcast(top)
     made = groups.groupBy("stem").applyInPandas(_group_tables(depth, sent), "length int, key long, value double")
     rows = store(made, "context-tables").toArrow()
     length = rows.column("length").to_numpy()
-    keys, values = rows.column("key").to_numpy().view(np.uint64), rows.column("value").to_numpy().astype(np.float32)
-    tables = {}
-    for k in (*range(TOP, depth + 1), *range(-depth, -TOP + 1)):
-        tables[k] = (keys[length == k], values[length == k])
+    tables = tables_by_length(depth, length, rows.column("key").to_numpy(), rows.column("value").to_numpy())
     return Model(depth, tables, one_byte_chances(top))
 
 
+def grouped_runs(counts: DataFrame, depth: int) -> tuple[DataFrame, Column, object]:
+    """The counts (stem, run, n) by group, about GROUP_RUNS runs in each; a run's group; the broadcast top levels."""
+    group = group_of(depth, max(1, counts.count() // GROUP_RUNS))
+    groups = store(counts.select(group.alias("stem"), "run", "n"), "context-groups")
+    return groups, group, counts.sparkSession.sparkContext.broadcast(top_of(groups, depth))
+
+
 SCORED = T.StructType([
     T.StructField("n_tokens", T.LongType()), T.StructField("n_bytes", T.LongType()), T.StructField("score", T.DoubleType()),
     T.StructField("n_known", T.LongType()), T.StructField("base", T.DoubleType()), T.StructField("rest", T.ArrayType(T.StructType([
         T.StructField("word", T.BinaryType()), T.StructField("times", T.LongType()),
+    ]))), T.StructField("rest_runs", T.ArrayType(T.StructType([
+        T.StructField("run", T.LongType()), T.StructField("times", T.LongType()),
     ]))),
 ])
 
 _REST = pa.list_(pa.struct([("word", pa.binary()), ("times", pa.int64())]))
 
 
-def _scoring(sent, names: Sequence[str]):
+def _counted_by_text(runs: np.ndarray, owner: np.ndarray, texts: int) -> pa.Array:
+    """For every text the list of its different runs and how often each occurs."""
+    order = np.lexsort((runs, owner))
+    runs, owner = runs[order], owner[order]
+    new = (runs[1:] != runs[:-1]) | (owner[1:] != owner[:-1])
+    heads = np.flatnonzero(np.concatenate(([True], new))) if len(runs) else np.empty(0, np.int64)
+    times = np.diff(np.append(heads, len(runs)))
+    offsets = np.searchsorted(owner[heads], np.arange(texts + 1)).astype(np.int32)
+    items = pa.StructArray.from_arrays([pa.array(runs[heads].view(np.int64)), pa.array(times.astype(np.int64))], ["run", "times"])
+    return pa.ListArray.from_arrays(pa.array(offsets), items)
+
+
+def _scoring(sent, depth: int, names: Sequence[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model, common = sent.value
+        common_runs, common = sent.value
         for whole in batches:
             for at in range(0, whole.num_rows, SLICE_ROWS):
                 batch = whole.slice(at, SLICE_ROWS)
                 texts = [tokens_of(t) for t in raw_texts(batch.column("body"))]
-                runs, starts = packed_runs(texts, model.depth)
+                runs, starts = packed_runs(texts, depth)
                 sizes = np.diff(np.append(starts, len(runs)))
-                score = np.add.reduceat(model.logs(runs), starts)
+                values, there = common_runs.get(runs)
+                score = np.add.reduceat(values.astype(np.float64), starts)
+                left = np.flatnonzero(~there)
+                rest_runs = _counted_by_text(runs[left], np.searchsorted(starts, left, "right") - 1, len(texts))
                 known, base, rest = [], [], []
                 for t in texts:
                     values = list(map(common.get, t))
@@ -430,7 +493,7 @@ def _scoring(sent, names: Sequence[str]):
                     rest.append([{"word": w, "times": k} for w, k in left.items()])
                 yield pa.RecordBatch.from_arrays([
                     batch.column("kept"), pa.array([len(t) + 1 for t in texts], pa.int64()), pa.array(sizes), pa.array(score),
-                    pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(rest, _REST),
+                    pa.array(known, pa.int64()), pa.array(base, pa.float64()), pa.array(rest, _REST), rest_runs,
                 ], names=names)
 
     return run
@@ -461,7 +524,8 @@ def score(
     Adds n_tokens (words and one end), n_bytes, score (log10 probability of the text),
     bits_per_byte, and the word baseline: n_known, train_tokens, base_score with 0.1
     added to every count. Words are looked up in a broadcast of the ``common`` most
-    frequent ones; the rest are joined with the stored counts. NULL counts as empty,
+    frequent ones, runs in one of the ``max_runs`` most frequent ones; the rest are joined
+    with the stored counts and values, so neither bound changes a score. NULL counts as empty,
     whose only token is the end; repeated rows each give a row; with nothing to
     learn from all counts are zero; an empty table gives no rows. Other columns
     are not read.
@@ -477,11 +541,15 @@ def score(
     head = words.where(F.col("n") >= least).toArrow()
     logs = np.log10(head.column("n").to_numpy() + 0.1) - under
     table = dict(zip(head.column("word").to_pylist(), logs.tolist(), strict=True))
-    model = train(counts.where("run is not null").select("run", "n"), depth, max_runs)
-    sent = spark.sparkContext.broadcast((model, table))
+    groups, group, top = grouped_runs(counts.where("run is not null").select("run", "n"), depth)
+    often = common_words(groups, max_runs)
+    seen = groups.groupBy("stem").applyInPandas(_common_values(depth, top, often), "run long, value double")
+    seen = store(seen, "common-runs").toArrow()
+    shortcut = HashTable(seen.column("run").to_numpy().view(np.uint64), seen.column("value").to_numpy())
+    sent = spark.sparkContext.broadcast((shortcut, table))
     picked = documents.select(F.struct(*carry).alias("kept"), F.col(text_col).alias("body"))
     schema = T.StructType([picked.schema["kept"], *SCORED])
-    made = picked.mapInArrow(_scoring(sent, schema.names), schema)
+    made = picked.mapInArrow(_scoring(sent, depth, schema.names), schema)
     rows = store(made.withColumn("place", F.monotonically_increasing_id()), "scored")
     tail = rows.select("place", F.explode("rest").alias("r")).select("place", "r.*")
     rare = words.where(F.col("n") < least)
@@ -490,7 +558,12 @@ def score(
         F.sum(F.col("times") * value).alias("more"),
         F.sum(F.when(F.col("n") > 0, F.col("times")).otherwise(0)).alias("more_known"),
     )
+    tail_runs = rows.select("place", F.explode("rest_runs").alias("r")).select("place", "r.*")
+    wanted = tail_runs.select("run").distinct().select(group.alias("stem"), "run")
+    valued = groups.groupBy("stem").cogroup(wanted.groupBy("stem")).applyInPandas(_wanted_values(depth, top), "run long, value double")
+    summed_runs = tail_runs.join(valued, "run").groupBy("place").agg(F.sum(F.col("times") * F.col("value")).alias("more_score"))
     zero = F.lit(0)
+    rows = rows.join(summed_runs, "place", "left").withColumn("score", F.col("score") + F.coalesce("more_score", F.lit(0.0)))
     return rows.join(summed, "place", "left").select(
         "kept.*", "n_tokens", "n_bytes", (F.col("n_known") + F.coalesce("more_known", zero)).alias("n_known"),
         F.lit(total).cast("long").alias("train_tokens"), (F.col("base") + F.coalesce("more", F.lit(0.0))).alias("base_score"), "score",
