@@ -108,6 +108,36 @@ def test_word_table_on_real_texts(spark, reference_tokenizer):
     assert [np.frombuffer(g, "<u4").tolist() for g in got] == want
 
 
+def test_all_underfull_bins_of_large_leaves_meet(spark, reference_tokenizer):
+    """Ordered by source: one leaf of long and one of short documents, more than 4,096 each, that only fill sequences together."""
+    assert len(ids_of(reference_tokenizer, "word " * 10)) == 11
+    frame = spark.range(0, 12_000, 1, 2).selectExpr("id as doc_id", "repeat('word ', if(id < 6000, 10, 8)) as text")
+    rows = packing.pack(frame, capacity=20, slack=1).collect()
+    documents = [(i, "word " * (10 if i < 6000 else 8)) for i in range(12_000)]
+    assert check(rows, documents, reference_tokenizer, 20)[0] == 6000
+
+
+@pytest.mark.parametrize("longest", [100, 40, 5])
+def test_counts_pack_like_single_items(longest):
+    lengths = np.random.default_rng(longest).integers(1, longest + 1, 3000)
+    values, n = np.unique(lengths, return_counts=True)
+    rows = packing.best_fit_counts(dict(zip(values.tolist(), n.tolist(), strict=True)), 100)
+    spans = defaultdict(list)
+    for length, many in zip(values.tolist(), n.tolist(), strict=True):
+        own = sorted(r for r in rows.tolist() if r[0] == length)
+        assert own[0][1] == 0
+        for (_, rank, first, offset), end in zip(own, [*(r[1] for r in own[1:]), many], strict=True):
+            for k in range(end - rank):
+                spans[first + k].append((offset, length))
+    for placed in spans.values():
+        end = 0
+        for offset, length in sorted(placed):
+            assert offset == end
+            end += length
+        assert end <= 100
+    assert len(spans) == len(packing.best_fit(lengths, 100)[2])
+
+
 def test_odd_rows(odd_documents, no_documents, reference_tokenizer):
     rows = packing.pack(odd_documents).collect()
     documents = [tuple(r) for r in odd_documents.select("doc_id", "text").collect()]

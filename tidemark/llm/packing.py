@@ -1,14 +1,10 @@
-"""Best-fit packing in a hierarchy of residuals.
+"""Best-fit packing: locally, then of all leftovers by their lengths.
 
 Every task packs the pieces of its own documents by best fit (longest first). Bins that
-are nearly full are final. What is left in underfull bins becomes the items of the
-merged neighbours' next best-fit round, up a tree of partitions to one root, where the
-last round makes every bin final.
-
-What climbs is bounded for any input: a node passes on the items of its emptiest bins,
-at most ``climb`` of them, so a round meets at most ``FAN`` times as many. Underfull bins beyond
-that (only where lengths do not match, such as all just over half a sequence) are final as
-they are; no piece is lost.
+are nearly full are final. All pieces in underfull bins are packed again together, however
+many they are: best fit over the counts of their lengths, of which there are at most
+``capacity``, gives segments (length, ranks, bins, offset), and a piece finds its segment
+by its length and its rank among the leftover pieces of that length.
 """
 
 from __future__ import annotations
@@ -20,16 +16,17 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.llm.texts import raw_texts, word_ids
 from tidemark.sources.scratch import store
 
-FAN = 16
 LEAF_PIECES = 100_000
-_LEAF_BITS, _BIN_BITS = 36, 24
+_LEAF_BITS, _BIN_BITS, _RANK_BITS = 36, 24, 40
+#: Bins of the pieces that are packed again are numbered from here, above those of any partition.
+_AGAIN = 1 << 61
 
 
 def default_tokenizer() -> str:
@@ -79,7 +76,7 @@ def best_fit(lengths: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray
 
 
 def climbing(bins: np.ndarray, fill: np.ndarray, capacity: int, slack: int, climb: int) -> np.ndarray:
-    """Which items go to the next round: those of the emptiest bins that are not nearly full, at most ``climb``."""
+    """Which items are packed again: those of the emptiest bins that are not nearly full, at most ``climb``."""
     under = np.flatnonzero(fill < capacity - slack)
     under = under[np.argsort(fill[under], kind="stable")]
     chosen = under[np.cumsum(np.bincount(bins, minlength=len(fill))[under]) <= climb]
@@ -89,7 +86,7 @@ def climbing(bins: np.ndarray, fill: np.ndarray, capacity: int, slack: int, clim
 PIECES = T.StructType([
     T.StructField("piece", T.IntegerType()), T.StructField("start", T.LongType()), T.StructField("length", T.LongType()),
     T.StructField("ids_crc32", T.LongType()), T.StructField("bin", T.LongType()), T.StructField("offset", T.LongType()),
-    T.StructField("fill", T.LongType()), T.StructField("climbs", T.BooleanType()), T.StructField("node", T.IntegerType()),
+    T.StructField("fill", T.LongType()), T.StructField("climbs", T.BooleanType()), T.StructField("nth", T.LongType()),
 ])
 
 
@@ -102,7 +99,7 @@ def pieces_of(ids: bytes, capacity: int) -> Iterator[tuple[int, int, int, int]]:
 
 
 def packed_pieces(
-    documents: DataFrame, carry: Sequence[str], text_col: str, capacity: int, tokenizer: str, slack: int, climb: int,
+    documents: DataFrame, carry: Sequence[str], text_col: str, capacity: int, tokenizer: str, slack: int,
 ) -> DataFrame:
     """Tokenise, cut and pack locally; a leaf is at most about LEAF_PIECES pieces of a partition."""
     picked = documents.select(F.struct(*carry).alias("kept"), F.col(text_col).alias("body"))
@@ -112,7 +109,7 @@ def packed_pieces(
     def leaf(kept: list[pa.Array], pieces: list[tuple], owners: list[int], number: int) -> pa.RecordBatch:
         piece, start, length, crc = (np.array(x, np.int64) for x in zip(*pieces, strict=True))
         bins, offsets, fill = best_fit(length, capacity)
-        climbs = climbing(bins, fill, capacity, slack, climb)
+        climbs = climbing(bins, fill, capacity, slack, len(length))
         # Items that climb leave their bin and are one of their own.
         fill = np.where(climbs, length, fill[bins])
         bins = np.where(climbs, bins.max() + 1 + np.arange(len(bins)), bins)
@@ -120,8 +117,8 @@ def packed_pieces(
         part = TaskContext.get().partitionId()
         base = (part << _LEAF_BITS) + (number << _BIN_BITS)
         arrays = [pa.concat_arrays(kept).take(pa.array(owners)), pa.array(piece.astype(np.int32))]
-        arrays += [pa.array(x) for x in (start, length, crc, bins + base, offsets, fill, climbs)]
-        return pa.RecordBatch.from_arrays([*arrays, pa.array(np.full(len(piece), part, np.int32))], names=schema.names)
+        arrays += [pa.array(x) for x in (start, length, crc, bins + base, offsets, fill, climbs, nth_of_length(length, climbs))]
+        return pa.RecordBatch.from_arrays(arrays, names=schema.names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = word_ids(tokenizer)
@@ -148,7 +145,7 @@ _ROUND = "bin long, fill long, climbs boolean, node int, host long, base long"
 
 
 def merge_round(bins: DataFrame, capacity: int, slack: int, climb: int, last: bool) -> DataFrame:
-    """One best-fit round per node over the bins that climbed to it.
+    """One best-fit round per node over the bins that climbed to it; pack() has no rounds.
 
     Returns them with their ``host`` (the bin they ended in, or themselves) and place in it, and
     whether they climb on, unmerged. In the ``last`` round none does.
@@ -169,20 +166,85 @@ def merge_round(bins: DataFrame, capacity: int, slack: int, climb: int, last: bo
     return bins.groupBy("node").applyInPandas(run, _ROUND)
 
 
-def merged_bins(pieces: DataFrame, capacity: int, slack: int, climb: int) -> DataFrame:
-    """(bin, host, base) of the climbing pieces that ended in another one's bin. Each climbs as a bin of its own."""
-    top = pieces.agg(F.max("node")).first()[0] or 0
-    # First the leaves of one partition meet, then FAN partitions, and so on.
-    bins = pieces.where("climbs").select("bin", "fill", "node")
-    moves: DataFrame | None = None
-    while True:
-        done = store(merge_round(bins, capacity, slack, climb, top == 0), "packing-round")
-        new = done.where("host <> bin").select("bin", "host", "base")
-        moves = new if moves is None else moves.unionByName(new)
-        if top == 0:
-            return moves
-        top //= FAN
-        bins = done.where("climbs").select("bin", "fill", F.floor(F.col("node") / FAN).cast("int").alias("node"))
+def nth_of_length(length: np.ndarray, climbs: np.ndarray) -> np.ndarray:
+    """Number of every climbing item among the climbing ones of its length, from 0; 0 for the others."""
+    nth, at = np.zeros(len(length), np.int64), np.flatnonzero(climbs)
+    order = at[np.argsort(length[at], kind="stable")]
+    _, heads, sizes = np.unique(length[order], return_index=True, return_counts=True)
+    nth[order] = np.arange(len(order)) - np.repeat(heads, sizes)
+    return nth
+
+
+def best_fit_counts(counts: dict[int, int], capacity: int) -> np.ndarray:
+    """Best fit, longest first, of ``counts[length]`` items of every length.
+
+    Rows (length, first rank, first bin, offset): items from this rank on go to the
+    bins from there on, one each, up to the length's next row. Bins that are alike are
+    kept as intervals, so the work depends on the number of lengths, not of items.
+    """
+    space: dict[int, list[tuple[int, int]]] = {}
+    mask, bins, rows = 0, 0, []
+
+    def put(residual: int, first: int, k: int) -> None:
+        nonlocal mask
+        if residual and k:
+            space.setdefault(residual, []).append((first, k))
+            mask |= 1 << residual
+
+    for length in sorted(counts, reverse=True):
+        rank, left = 0, counts[length]
+        while left:
+            above = mask >> length
+            if above:
+                residual = length + (above & -above).bit_length() - 1
+                first, k = space[residual].pop()
+                if not space[residual]:
+                    del space[residual]
+                    mask &= ~(1 << residual)
+            else:
+                residual = capacity
+                first, k = bins, -(-left // (capacity // length))
+                bins += k
+            # A bin just used is the tightest as long as another item fits, so it takes ``each``; one may take fewer.
+            each = residual // length
+            whole = min(k, left // each)
+            part = left - whole * each if whole < k else 0
+            for into, n, items in ((first, whole, each), (first + whole, 1, part)):
+                if n and items:
+                    for j in range(items):
+                        rows.append((length, rank, into, capacity - residual + j * length))
+                        rank += n
+                    left -= n * items
+                    put(residual - items * length, into, n)
+            taken = whole + (part > 0)
+            put(residual, first + taken, k - taken)
+    return np.array(rows, np.int64).reshape(-1, 4)
+
+
+def packed_again(pieces: DataFrame, capacity: int) -> DataFrame:
+    """The climbing pieces in bins of all tables' leftovers; at most ``capacity`` counts reach the driver."""
+    climbing_pieces = pieces.where("climbs").withColumn("leaf", F.shiftright("bin", _BIN_BITS))
+    before = Window.partitionBy("length").orderBy("leaf").rowsBetween(Window.unboundedPreceding, -1)
+    counts = climbing_pieces.groupBy("leaf", "length").agg(F.count(F.lit(1)).alias("n"))
+    starts = store(counts.withColumn("first", F.coalesce(F.sum("n").over(before), F.lit(0))), "packing-counts")
+    lengths = {r.length: r.n for r in starts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
+    sent = pieces.sparkSession.sparkContext.broadcast(best_fit_counts(lengths, capacity))
+    ranked = climbing_pieces.join(starts.select("leaf", "length", "first"), ["leaf", "length"])
+    ranked = ranked.select(*pieces.columns, (F.col("first") + F.col("nth")).alias("rank"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rows = sent.value
+        rows = rows[np.lexsort((rows[:, 1], rows[:, 0]))]
+        keys = rows[:, 0] << _RANK_BITS | rows[:, 1]
+        for batch in batches:
+            rank = batch.column("rank").to_numpy()
+            at = np.searchsorted(keys, batch.column("length").to_numpy() << _RANK_BITS | rank, "right") - 1
+            found = {"bin": _AGAIN + rows[at, 2] + rank - rows[at, 1], "offset": rows[at, 3]}
+            arrays = [pa.array(found[c]) if c in found else batch.column(c) for c in pieces_names]
+            yield pa.RecordBatch.from_arrays(arrays, names=pieces_names)
+
+    pieces_names = pieces.columns
+    return ranked.mapInArrow(run, pieces.schema)
 
 
 def pack(
@@ -192,7 +254,6 @@ def pack(
     capacity: int = 2048,
     tokenizer: str | None = None,
     slack: int = 16,
-    climb: int = 4096,
 ) -> DataFrame:
     """One row per piece: the ``carry`` columns, piece, start, length, ids_crc32, sequence_id, offset.
 
@@ -201,13 +262,9 @@ def pack(
     an empty table gives no rows. Other columns are not read. The first stage is
     stored, so a repeated task cannot renumber bins under its readers.
     """
-    pieces = store(
-        packed_pieces(documents, carry, text_col, capacity, tokenizer or default_tokenizer(), slack, climb), "pieces",
-    )
-    moves = merged_bins(pieces, capacity, slack, climb)
-    placed = pieces.join(moves, "bin", "left")
+    picked = documents.select(F.struct(*carry).alias("kept"), F.col(text_col).alias("body"))
+    pieces = store(packed_pieces(picked, ("kept",), "body", capacity, tokenizer or default_tokenizer(), slack), "pieces")
+    placed = pieces.where("not climbs").unionByName(packed_again(pieces, capacity))
     return placed.select(
-        *carry, "piece", "start", "length", "ids_crc32",
-        F.coalesce("host", "bin").alias("sequence_id"),
-        (F.col("offset") + F.coalesce("base", F.lit(0))).alias("offset"),
+        "kept.*", "piece", "start", "length", "ids_crc32", F.col("bin").alias("sequence_id"), "offset",
     )
