@@ -101,3 +101,10 @@ def test_stored_history_is_independent_of_partitioning(spark, workspace):
     a = ordered_scan(rows, order, group=["customer_unique_id"])
     b = ordered_scan(rows.repartition(7), order, group=["customer_unique_id"])
     assert a.exceptAll(b).count() == 0 and a.agg(F.count("*")).first()[0] == rows.count()
+
+
+def test_fitted_scores_report_every_check(spark):
+    from tidemark.plans.queries_quality import INVARIANTS
+
+    checks = load()["fitted_score_table_invariants"].run(spark, SMALL)
+    assert {r.check_name for r in checks.collect()} == set(INVARIANTS)
