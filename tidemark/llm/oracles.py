@@ -55,4 +55,36 @@ select doc_id, count(template)::bigint n_templates, coalesce(string_agg(template
 from documents left join found using (doc_id) group by doc_id
 """
 
-ORACLE = {"op1_decontaminate": DECONTAMINATE, "op2_license_scan": LICENSES}
+FILTER_AUDIT = r"""
+with d as (
+  select doc_id, coalesce(text, '') body, coalesce(source, '') part, min(doc_id) over (partition by coalesce(text, '')) as first_id,
+    regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') w
+  from documents),
+l as (select doc_id, max(quality = 1) good, max(toxic = 1) toxic from labels group by doc_id),
+failed as (
+  select part, coalesce(good, false) good, coalesce(toxic, false) toxic, [
+    case when len(w) < 50 then 'A' end, case when 100 * len(list_distinct(w)) < 65 * len(w) then 'B' end,
+    case when 100 * length(regexp_replace(body, '[^A-Z]', '', 'g')) > 5 * length(body) then 'C' end,
+    case when regexp_matches(body, '[#$%&*|]') then 'D' end, case when doc_id > first_id then 'E' end] f
+  from d left join l using (doc_id)),
+f as (
+  select part, list_filter(f, lambda x: x is not null) f, count(*) n, count(*) filter (good) good, count(*) filter (toxic) toxic
+  from failed group by all),
+letter as (select unnest(['A', 'B', 'C', 'D', 'E']) x),
+orders as (
+  select a.x || b.x || c.x || d.x || e.x as filter_order from letter a, letter b, letter c, letter d, letter e
+  where len(list_distinct([a.x, b.x, c.x, d.x, e.x])) = 5),
+place as (
+  select part, filter_order, step, f, n, good, toxic, filter_order[step] own, list_contains(f, filter_order[step]) fails,
+    len(list_filter(f, lambda x: instr(filter_order, x) < step)) > 0 gone
+  from f, orders, range(1, 6) s(step)),
+counted as (
+  select part, filter_order, step, own, coalesce(sum(n) filter (not fails and not gone), 0)::bigint kept,
+    coalesce(sum(n) filter (fails and not gone), 0)::bigint removed, coalesce(sum(n) filter (fails and gone), 0)::bigint redundant,
+    coalesce(sum(n) filter (f = [own]), 0)::bigint unique_fails, coalesce(sum(good) filter (fails and not gone), 0)::bigint good_lost,
+    coalesce(sum(toxic) filter (fails and not gone), 0)::bigint toxic_lost
+  from place group by all)
+select * exclude (own, step), step::int step, (sum(removed) over (partition by part, own))::bigint shapley from counted
+"""
+
+ORACLE = {"op1_decontaminate": DECONTAMINATE, "op2_license_scan": LICENSES, "op11_filter_audit": FILTER_AUDIT}

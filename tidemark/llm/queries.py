@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import context_tree, decontaminate, html_blocks, langid, licenses, multiset_hash, packing, sharding, simhash, token_rollup
+from tidemark.llm import (
+    context_tree, decontaminate, filter_audit, html_blocks, langid, licenses, multiset_hash, packing, periodic_runs, personal_data, sharding,
+    simhash, token_rollup,
+)
 from tidemark.llm.oracles import ORACLE  # noqa: F401
 from tidemark.llm.texts import bucket_of_id
 from tidemark.sources.scratch import fresh_path, store
@@ -96,9 +99,43 @@ def op10_main_text(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
 
 
+def op11_filter_audit(spark: SparkSession, folder: str) -> DataFrame:
+    """What filters A to E remove, by part, order and step."""
+    filters = {**filter_audit.text_rules(F.col("body")), "E": filter_audit.COPY}
+    counts = filter_audit.combinations(table(spark, folder, "documents"), filters, table(spark, folder, "labels"))
+    return filter_audit.audit(counts, list(filters))
+
+
+def op12_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Runs of the texts, one in ten with a periodic tail, and digests of them and of the collapsed texts."""
+    documents = table(spark, folder, "documents").select("doc_id", "text")
+    planted = documents.withColumn("text", periodic_runs.with_planted_runs(F.col("doc_id"), F.col("text")))
+    found = periodic_runs.periodic_runs(planted)
+    runs = F.col("found.runs")
+    line = F.transform(runs, lambda r: F.concat_ws(",", r["start"].cast("string"), r["length"].cast("string"), r["period"].cast("string")))
+    longest = F.array_max(F.transform(runs, lambda r: F.struct(r["length"].alias("length"), (-r["start"]).alias("s"), (-r["period"]).alias("p"))))
+    shown = found.select(
+        "doc_id", F.size(runs).cast("long").alias("n_runs"), longest.alias("top"), F.concat(F.array_join(line, "\n"), F.when(F.size(runs) > 0, "\n").otherwise("")).alias("lines"),
+        F.col("found.collapsed").alias("collapsed"))
+    return shown.select(
+        "doc_id", "n_runs", (-F.col("top.s")).alias("start"), F.col("top.length").alias("length"), (-F.col("top.p")).alias("period"),
+        F.floor(1000 * F.col("top.length") / -F.col("top.p")).alias("exponent_milli"),
+        F.sha2("lines", 256).alias("runs_sha256"), F.sha2("collapsed", 256).alias("collapsed_sha256"))
+
+
+def op13_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    found = personal_data.personal_data(table(spark, folder, "documents"))
+    base = F.filter("found.spans", lambda s: s["base"])
+    kinds = F.transform(base, lambda s: s["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in personal_data.KINDS[:4]]
+    return found.select(
+        "doc_id", *counts, F.sha2(personal_data.listed(base), 256).alias("base_sha256"),
+        personal_data.listed(F.col("found.spans")).alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_decontaminate, op2_license_scan, op3_simhash, op4_token_rollup, op5_context_tree, op6_pack, op7_shard,
-        op8_multiset_hash, op9_language, op10_main_text,
+        op8_multiset_hash, op9_language, op10_main_text, op11_filter_audit, op12_periodic_runs, op13_personal_data,
     )
 }
