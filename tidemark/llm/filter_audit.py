@@ -48,22 +48,27 @@ def later_copies(rows: DataFrame, share: int = 256) -> DataFrame:
 
     The other side of the semi-join is the smallest id of each text, because some
     smaller id exists exactly if the smallest is smaller. That side is aggregated before
-    its shuffle. A text with more than 1/``share`` of the rows is dealt over several
-    salts; its one row on the other side is repeated for each of them.
+    its shuffle and lies where the join wants it. A text with more than 1/``share`` of the rows is
+    dealt over several salts; its one row on the other side is repeated for each of them.
     """
+
+    def first_ids(some: DataFrame) -> DataFrame:
+        return some.where(F.col("id").isNotNull()).groupBy("hash", "text").agg(F.min("id").alias("first_id"))
+
+    def semi_join(some: DataFrame, first: DataFrame, keys: list[str]) -> DataFrame:
+        return some.join(first, [*[some[k] == first[k] for k in keys], some["id"] > first["first_id"]], "left_semi")
+
     hot = hot_hashes(rows, share)
-    salts = F.lit(1)
-    if hot:
-        cells = [x for h, n in sorted(hot.items()) for x in (F.lit(h), F.lit(n))]
-        salts = F.coalesce(F.element_at(F.create_map(*cells), F.col("hash")), F.lit(1))
-    first = (
-        rows.where(F.col("id").isNotNull()).groupBy("hash", "text").agg(F.min("id").alias("first_id"))
-        .select("hash", "text", "first_id", F.explode(F.sequence(F.lit(0), salts - 1)).alias("salt"))
-    )
+    if not hot:
+        return semi_join(rows, first_ids(rows), ["hash", "text"])
+    is_hot = F.col("hash").isin(list(hot))
+    salts = F.element_at(F.create_map(*[x for h, n in sorted(hot.items()) for x in (F.lit(h), F.lit(n))]), F.col("hash"))
+    usual, often = rows.where(~is_hot), rows.where(is_hot)
     # Any salt finds its partner, so a rerun task may deal its rows differently.
-    dealt = rows.withColumn("salt", F.pmod(F.xxhash64("id", F.spark_partition_id()), salts).cast("int"))
-    same = [dealt[c] == first[c] for c in ("hash", "salt", "text")]
-    return dealt.join(first, [*same, dealt["id"] > first["first_id"]], "left_semi").drop("salt")
+    dealt = often.withColumn("salt", F.pmod(F.xxhash64("id", F.spark_partition_id()), salts).cast("int"))
+    repeated = first_ids(often).withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1)))
+    copies = semi_join(dealt, repeated, ["hash", "salt", "text"]).drop("salt")
+    return semi_join(usual, first_ids(usual), ["hash", "text"]).unionByName(copies)
 
 
 def combinations(
