@@ -18,7 +18,8 @@ from compare_with_oracle import TABLES, compare  # noqa: E402
 CHECKED = (
     "orders_enriched", "customer_rfm", "kpi_summary", "monthly_revenue", "category_performance", "cohort_retention",
     "labelled_snapshot", "model_evaluation", "decile_table", "final_score_projection", "budget_scenarios",
-    "repeat_gap_stats", "lorenz_curve", "null_checks", "value_domain_checks", "relationship_checks", "marts_vs_raw",
+    "fit_return_model", "coefficient_stability", "predict_return", "train_test_refit", "fitted_model_evaluation", "fitted_decile_table",
+    "retention_scores", "fitted_score_table_invariants", "repeat_gap_stats", "lorenz_curve", "null_checks", "value_domain_checks", "relationship_checks", "marts_vs_raw",
 )
 
 
@@ -57,7 +58,7 @@ def test_model_minimises_the_penalised_loss(spark, workspace):
     assert np.abs(x.std(axis=0) - 1)[x.std(axis=0) > 0].max() < 1e-9
 
 
-def test_pipeline_writes_all_tables_and_scores_hold(spark, workspace, tmp_path):
+def test_pipeline_writes_all_tables_and_scores_hold(spark, workspace, duck, tmp_path):
     written = pipeline.run(workspace, str(tmp_path / "db"), str(tmp_path / "csv"))
     assert written["customer_retention_scores"] == spark.table("marts.dim_customers").count()
     assert written["budget_scenarios"] == 4 and written["model_evaluation"] == 4 and written["model_coefficients"] == 9
@@ -65,7 +66,9 @@ def test_pipeline_writes_all_tables_and_scores_hold(spark, workspace, tmp_path):
         spark.table("ml.customer_retention_scores"), spark.table("marts.dim_customers"),
         spark.table("ml.budget_scenarios"), spark.table("ml.model_evaluation"))
     failed = {r["check_name"] for r in checks.where("status <> 'PASS'").collect()}
-    assert failed <= {"model ranks better than chance"}  # the synthetic buyers return at random
+    # Whether the fitted model beats chance depends on the data; the oracle fits it too.
+    expected = duck.execute(load()["fitted_score_table_invariants"].oracle()).fetchall()
+    assert failed == {name for name, _, status in expected if status != "PASS"} and len(expected) == 12
     assert len(os.listdir(tmp_path / "csv")) == 10
 
 
@@ -103,8 +106,9 @@ def test_stored_history_is_independent_of_partitioning(spark, workspace):
     assert a.exceptAll(b).count() == 0 and a.agg(F.count("*")).first()[0] == rows.count()
 
 
-def test_fitted_scores_report_every_check(spark):
-    from tidemark.plans.queries_quality import INVARIANTS
-
-    checks = load()["fitted_score_table_invariants"].run(spark, SMALL)
-    assert {r.check_name for r in checks.collect()} == set(INVARIANTS)
+def test_oracles_compute_what_they_state(duck):
+    """No oracle of the fitted results is a list of literals: each reads the tables."""
+    for key in ("fit_return_model", "coefficient_table", "predict_return", "train_test_refit", "coefficient_stability", "fitted_model_evaluation",
+                "retention_scores", "driver_table", "fitted_score_table_invariants"):
+        text = load()[key].oracle()
+        assert "_weights" in text and "lineitem" in text, key

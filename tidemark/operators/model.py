@@ -5,8 +5,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.ml.classification import LogisticRegression
-from pyspark.ml.feature import VectorAssembler
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -31,36 +30,94 @@ class ReturnModel:
             for f, m, s in zip(self.features, self.means, self.scales, strict=True)
         ]
 
-    def probability(self) -> Column:
-        margin = F.lit(self.intercept)
+    def margin(self) -> Column:
+        total = F.lit(self.intercept)
         for weight, value in zip(self.coefficients, self.standardised(), strict=True):
-            margin = margin + F.lit(weight) * value
-        return F.lit(1.0) / (F.lit(1.0) + F.exp(-margin))
+            total = total + F.lit(weight) * value
+        return total
+
+    def probability(self) -> Column:
+        return F.lit(1.0) / (F.lit(1.0) + F.exp(-self.margin()))
+
+
+class FitError(ValueError):
+    """Nothing to fit: no rows, or the loss does not fall any further although it is not flat."""
 
 
-def fit_return_model(train: DataFrame, label: str = "returned", c: float = 1.0, max_iter: int = 2000) -> ReturnModel:
+def moment_sums(rows: DataFrame, shell: ReturnModel, label: str = "label") -> dict[str, float]:
+    """Loss, gradient and normal matrix at the model's weights: sums of one aggregate, whatever the rows.
+
+    Index 0 is the intercept; ``h_i_j`` (j <= i) are the entries of X'WX and ``g_i`` those of X'(y - p).
+    """
+    margin, inputs = shell.margin(), [F.lit(1.0), *shell.standardised()]
+    names = [f"x{i}" for i in range(len(inputs))]
+    at = rows.select(F.col(label).alias("y"), margin.alias("m"), *[x.alias(n) for n, x in zip(names, inputs, strict=True)])
+    p = F.lit(1.0) / (F.lit(1.0) + F.exp(-F.col("m")))
+    at = at.select("*", p.alias("p")).select("*", (F.col("p") * (1 - F.col("p"))).alias("w"), (F.col("y") - F.col("p")).alias("r"))
+    # log(1 + e^m) - y m, written so that neither sign of m overflows.
+    loss = F.log1p(F.exp(-F.abs("m"))) + F.greatest("m", F.lit(0.0)) - F.col("y") * F.col("m")
+    sums = [F.sum(loss).alias("loss"), F.count(F.lit(1)).alias("n"), F.sum("y").alias("positives")]
+    for i, x in enumerate(names):
+        sums.append(F.sum(F.col("r") * F.col(x)).alias(f"g_{i}"))
+        sums += [F.sum(F.col("w") * F.col(x) * F.col(names[j])).alias(f"h_{i}_{j}") for j in range(i + 1)]
+    return at.agg(*sums).first().asDict()
+
+
+def newton_step(sums: dict[str, float], weights: list[float], penalty: float) -> list[float]:
+    """Solve (X'WX + penalty) d = X'(y - p) - penalty w by Cholesky; the intercept bears no penalty."""
+    size = len(weights)
+    below = np.array([[sums[f"h_{max(i, j)}_{min(i, j)}"] for j in range(size)] for i in range(size)])
+    ridge = np.full(size, penalty)
+    ridge[0] = 0.0
+    gradient = np.array([sums[f"g_{i}"] for i in range(size)]) - ridge * weights
+    root = np.linalg.cholesky(below + np.diag(ridge))
+    return np.linalg.solve(root.T, np.linalg.solve(root, gradient)).tolist()
+
+
+def fit_return_model(
+    train: DataFrame, label: str = "returned", c: float = 1.0, max_iter: int = 50, features: tuple[str, ...] = MODEL_FEATURES,
+) -> ReturnModel:
     """Minimise summed log loss + |w|^2 / (2c) on inputs scaled by the population deviation.
 
-    Spark averages the loss, hence the regularisation 1 / (c * n).
+    Newton's method, one aggregate over the stored rows per step; the number of steps does not
+    depend on the rows. A step that does not lower the loss is halved. When everybody
+    or nobody returned, the weights are 0 and the probability is 1 or 0. NULL features are
+    not allowed, a feature without variation gets scale 1.
     """
-    rows = store(train.select(*MODEL_FEATURES, F.col(label).cast("double").alias("label")), "train")
+    rows = store(train.select(*features, F.col(label).cast("double").alias("label")), "train")
     stats = rows.agg(
-        F.count(F.lit(1)).alias("n"),
-        *[F.avg(f).alias(f"mean_{f}") for f in MODEL_FEATURES],
-        *[F.stddev_pop(f).alias(f"std_{f}") for f in MODEL_FEATURES],
+        F.count(F.lit(1)).alias("n"), F.sum("label").alias("positives"),
+        *[F.avg(f).alias(f"mean_{f}") for f in features],
+        *[F.stddev_pop(f).alias(f"std_{f}") for f in features],
     ).first()
-    means = tuple(float(stats[f"mean_{f}"]) for f in MODEL_FEATURES)
-    scales = tuple(float(stats[f"std_{f}"]) or 1.0 for f in MODEL_FEATURES)
-    shell = ReturnModel(MODEL_FEATURES, means, scales, (0.0,) * len(MODEL_FEATURES), 0.0)
-    scaled = rows.select("label", *shell.standardised())
-    vectors = VectorAssembler(inputCols=list(MODEL_FEATURES), outputCol="features").transform(scaled)
-    learner = LogisticRegression(
-        maxIter=max_iter, regParam=1.0 / (c * stats["n"]), elasticNetParam=0.0, standardization=False, tol=1e-8
-    )
-    fitted = learner.fit(vectors.select("label", "features"))
-    return ReturnModel(
-        MODEL_FEATURES, means, scales, tuple(float(w) for w in fitted.coefficients), float(fitted.intercept)
-    )
+    if not stats["n"]:
+        raise FitError("no rows to fit")
+    means = tuple(float(stats[f"mean_{f}"]) for f in features)
+    scales = tuple(float(stats[f"std_{f}"]) or 1.0 for f in features)
+
+    def model_of(weights: list[float]) -> ReturnModel:
+        return ReturnModel(features, means, scales, tuple(weights[1:]), weights[0])
+
+    def total(sums: dict[str, float], weights: list[float]) -> float:
+        return sums["loss"] + sum(w * w for w in weights[1:]) / (2 * c)
+
+    weights = [0.0] * (len(features) + 1)
+    if stats["positives"] in (0, stats["n"]):
+        return model_of([math.inf if stats["positives"] else -math.inf, *weights[1:]])
+    sums = moment_sums(rows, model_of(weights))
+    for _ in range(max_iter):
+        step = newton_step(sums, weights, 1.0 / c)
+        if max(map(abs, step)) < 1e-11:
+            break
+        for halving in range(40):
+            tried = [w + d / 2**halving for w, d in zip(weights, step, strict=True)]
+            found = moment_sums(rows, model_of(tried))
+            if total(found, tried) <= total(sums, weights) * (1 + 1e-12):
+                break
+        else:
+            raise FitError("the loss does not fall along the step")
+        weights, sums = tried, found
+    return model_of(weights)
 
 
 def predict_return(model: ReturnModel, features: DataFrame) -> DataFrame:

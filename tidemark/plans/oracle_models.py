@@ -7,7 +7,7 @@ from __future__ import annotations
 
 import re
 
-from tidemark.config import ACTIONS, GROUP_PLAYBOOK, RECOVERY_ACTION, RECOVERY_REASON, URGENCY
+from tidemark.config import ACTIONS, GROUP_PLAYBOOK, MODEL_FEATURES, RECOVERY_ACTION, RECOVERY_REASON, URGENCY
 
 
 def ratio(num: str, den: str, places: int, scale: int = 0) -> str:
@@ -381,35 +381,42 @@ MODELS["rule_long"] = f"""
   select 'Rule: most recent first' as model, customer_unique_id, returned as y, -recency_days as score, null::DOUBLE as proba from test_set
   union all select 'Rule: RFM score', customer_unique_id, returned, score, score from rule_rfm_test
   union all select 'Random (no model)', customer_unique_id, returned, {RANDOM_SQL}, null from test_set"""
-MODELS["rule_ranked"] = """
+
+
+def evaluation_models(name: str) -> None:
+    """Metrics of the models stacked in ``<name>_long``."""
+    MODELS[f"{name}_ranked"] = f"""
   select *, row_number() over (partition by model order by score desc, customer_unique_id) as pos,
     count(*) over (partition by model) as n, (sum(y) over (partition by model))::BIGINT as p
-  from rule_long"""
-MODELS["rule_auc"] = f"""
-  with r as (select model, y, {avg_rank('score', 'model')} * count(*) over (partition by model) as avg_rank from rule_long)
+  from {name}_long"""
+    MODELS[f"{name}_auc"] = f"""
+  with r as (select model, y, {avg_rank('score', 'model')} * count(*) over (partition by model) as avg_rank from {name}_long)
   select model, (sum(avg_rank) filter (y = 1) - sum(y) * (sum(y) + 1) / 2::DOUBLE) / (sum(y) * (count(*) - sum(y)))::DOUBLE as roc_auc
   from r group by model"""
-MODELS["rule_ap"] = """
-  with s as (select model, score, count(*) as n, sum(y) as pos from rule_long group by all),
+    MODELS[f"{name}_ap"] = f"""
+  with s as (select model, score, count(*) as n, sum(y) as pos from {name}_long group by all),
   c as (select *, sum(n) over w as cn, sum(pos) over w as cp, sum(pos) over (partition by model) as tot
         from s window w as (partition by model order by score desc))
   select model, sum(pos * cp / cn) / max(tot) as pr_auc from c group by model"""
-MODELS["rule_top"] = """
-  with q as (select *, greatest(round_even(n * 0.1::DOUBLE, 0), 1) as k1, greatest(round_even(n * 0.2::DOUBLE, 0), 1) as k2 from rule_ranked)
+    MODELS[f"{name}_top"] = f"""
+  with q as (select *, greatest(round_even(n * 0.1::DOUBLE, 0), 1) as k1, greatest(round_even(n * 0.2::DOUBLE, 0), 1) as k2 from {name}_ranked)
   select model,
     (sum(y) filter (pos <= k1) / count(*) filter (pos <= k1)) / (sum(y) / count(*)) as lift_top_10pct,
     sum(y) filter (pos <= k1) / sum(y) as capture_top_10pct,
     (sum(y) filter (pos <= k2) / count(*) filter (pos <= k2)) / (sum(y) / count(*)) as lift_top_20pct,
     sum(y) filter (pos <= k2) / sum(y) as capture_top_20pct
   from q group by model"""
-MODELS["rule_evaluation"] = """
+    MODELS[f"{name}_evaluation"] = f"""
   with s as (select model, count(*) as customers, sum(y)::BIGINT as returned, sum(y) / count(*) as base_rate,
       avg((y - proba) * (y - proba)) as brier_score,
       case when count(proba) > 0 then (sum(y) / count(*)) * (1 - sum(y) / count(*)) end as brier_score_baseline
-    from rule_long group by model)
+    from {name}_long group by model)
   select model, customers, returned, base_rate, roc_auc, pr_auc, lift_top_10pct, capture_top_10pct, lift_top_20pct,
     capture_top_20pct, brier_score, brier_score_baseline
-  from s join rule_auc using (model) join rule_ap using (model) join rule_top using (model)"""
+  from s join {name}_auc using (model) join {name}_ap using (model) join {name}_top using (model)"""
+
+
+evaluation_models("rule")
 MODELS["rule_deciles"] = """
   with r as (select *, row_number() over (order by score desc, customer_unique_id) as pos, count(*) over () as n from rule_rfm_test),
   d as (select *, least(10, greatest(1, ceil(10 * (pos - 1) / (n - 1))))::INT as decile from r),
@@ -421,8 +428,12 @@ MODELS["rule_deciles"] = """
 
 _group_action = {g: a for g, (a, _) in GROUP_PLAYBOOK.items()}
 _group_reason = {g: r for g, (_, r) in GROUP_PLAYBOOK.items()}
-MODELS["rule_tiered"] = f"""
-  with s as ({rule_rfm_sql('features_current')}),
+
+
+def decision_models(name: str, scored: str) -> None:
+    """Tiers, contact order and score table for the return probability ``score``."""
+    MODELS[f"{name}_tiered"] = f"""
+  with s as ({scored}),
   j as (select s.* exclude (score), s.score as return_probability, s.score * s.avg_order_value as expected_revenue_180d,
       c.total_revenue, c.first_purchase_date, c.last_purchase_date, c.days_since_last_purchase, c.r_score, c.f_score, c.m_score,
       c.rfm_segment, c.is_high_value, c.activity_status
@@ -439,10 +450,10 @@ MODELS["rule_tiered"] = f"""
   select *, {case_map('next_best_action', ACTIONS, 'DECIMAL(18,2)')} as action_cost_brl,
     {half_even(f"100::DOUBLE * (0.45::DOUBLE * value_pct + 0.35::DOUBLE * likelihood_pct + 0.20::DOUBLE * {case_map('activity_status', URGENCY, 'DOUBLE')})", 1)} as priority_score
   from n"""
-MODELS["rule_decided"] = """
+    MODELS[f"{name}_decided"] = f"""
   select *, row_number() over w as priority_rank, sum(action_cost_brl) over (w rows unbounded preceding) as cumulative_action_cost_brl
-  from rule_tiered window w as (order by priority_score desc, total_revenue desc, customer_unique_id)"""
-MODELS["rule_table"] = f"""
+  from {name}_tiered window w as (order by priority_score desc, total_revenue desc, customer_unique_id)"""
+    MODELS[f"{name}_table"] = f"""
   select customer_unique_id, customer_state, first_purchase_date, last_purchase_date, {half_even('recency_days', 1)} as recency_days,
     order_count, purchase_days, total_revenue, avg_order_value, {half_even('tenure_days', 1)} as tenure_days, items_per_order,
     avg_review_score_observed, had_late_delivery, is_repeat_customer, rfm_segment, r_score, f_score, m_score, activity_status,
@@ -450,7 +461,10 @@ MODELS["rule_table"] = f"""
     {half_even('expected_revenue_180d', 2)} as expected_revenue_180d, risk_tier, customer_group, next_best_action, action_reason,
     action_cost_brl, priority_score, priority_rank, cumulative_action_cost_brl, as_of_date as scored_as_of,
     'logreg_v1' as model_version
-  from rule_decided"""
+  from {name}_decided"""
+
+
+decision_models("rule", rule_rfm_sql('features_current'))
 MODELS["customer_extract"] = """
   select t.*, date_trunc('month', t.first_purchase_date)::DATE as acquisition_month, r.avg_review_score, r.late_delivery_count
   from rule_table t join customer_rfm r using (customer_unique_id)"""
@@ -466,6 +480,76 @@ MODELS["lorenz"] = """
   from features_current window w as (order by monetary desc, customer_unique_id)"""
 
 
+# ------------------------------------------------------------------ fitted model
+NEWTON_STEPS = 14
+_SIZE = len(MODEL_FEATURES) + 1
+
+
+def newton_sql(inputs: str) -> str:
+    """Weights b0 to b9 that minimise summed log loss + |w|^2 / 2 over the rows (y, x0 .. x9) of ``inputs``.
+
+    Newton's method from zero as a recursive query. Each step sums the normal matrix and the gradient, factors the
+    matrix (columns l_i_j) and solves forwards (z_i) and backwards (d_i), one SELECT around the other.
+    """
+    size = range(_SIZE)
+    weights = ", ".join(f"b{i}" for i in size)
+    sums = ", ".join(
+        [f"sum(p * (1 - p) * x{i} * x{j}) + {int(i == j and i > 0)} as h_{i}_{j}" for i in size for j in range(i + 1)]
+        + [f"sum((y - p) * x{i})" + (f" - b{i}" if i else "") + f" as g_{i}" for i in size])
+
+    def less(first: str, *products: str) -> str:
+        return "(" + " - ".join([first, *products]) + ")"
+
+    levels = []
+    for j in size:
+        levels.append([f"sqrt{less(f'h_{j}_{j}', *[f'l_{j}_{k} * l_{j}_{k}' for k in range(j)])} as l_{j}_{j}"])
+        levels.append([f"{less(f'h_{i}_{j}', *[f'l_{i}_{k} * l_{j}_{k}' for k in range(j)])} / l_{j}_{j} as l_{i}_{j}" for i in range(j + 1, _SIZE)])
+    levels += [[f"{less(f'g_{i}', *[f'l_{i}_{k} * z_{k}' for k in range(i)])} / l_{i}_{i} as z_{i}"] for i in size]
+    levels += [[f"{less(f'z_{i}', *[f'l_{k}_{i} * d_{k}' for k in range(i + 1, _SIZE)])} / l_{i}_{i} as d_{i}"] for i in reversed(size)]
+    solved = f"""
+        select step, {weights}, {sums} from (
+          select *, 1 / (1 + exp(-({' + '.join(f'b{i} * x{i}' for i in size)}))) as p from newton, {inputs} where step < {NEWTON_STEPS})
+        group by step, {weights}"""
+    for level in levels:
+        if level:
+            solved = f"select *, {', '.join(level)} from ({solved})"
+    return f"""
+  with recursive newton as (
+    select 0 as step, {', '.join(f'0::DOUBLE as b{i}' for i in size)}
+    union all
+    select step + 1, {', '.join(f'b{i} + d_{i}' for i in size)} from ({solved}))
+  select {weights} from newton where step = {NEWTON_STEPS}"""
+
+
+def fitted_models(name: str, rows: str) -> None:
+    """Means and deviations, standardised rows, weights and coefficient table of the fit on ``rows``."""
+    moments = ", ".join(f"avg({f}) as mean_{f}, if(stddev_pop({f}) = 0, 1, stddev_pop({f})) as std_{f}" for f in MODEL_FEATURES)
+    MODELS[f"{name}_moments"] = f"select {moments} from {rows}"
+    scaled = ", ".join(f"({f} - mean_{f}) / std_{f} as x{i}" for i, f in enumerate(MODEL_FEATURES, 1))
+    MODELS[f"{name}_inputs"] = f"select returned as y, 1 as x0, {scaled} from {rows}, {name}_moments"
+    MODELS[f"{name}_weights"] = newton_sql(f"{name}_inputs")
+    MODELS[f"{name}_coefficients"] = " union all ".join(
+        f"""select '{f}' as feature, b{i} as coefficient, std_{f} as feature_std, exp(b{i}) as odds_ratio_per_sd,
+    if(b{i} > 0, 'more likely to return', 'less likely to return') as direction from {name}_weights, {name}_moments"""
+        for i, f in enumerate(MODEL_FEATURES, 1))
+
+
+def fitted_probability_sql(name: str, rows: str) -> str:
+    margin = " + ".join(["b0", *[f"b{i} * (({f} - mean_{f}) / std_{f})" for i, f in enumerate(MODEL_FEATURES, 1)]])
+    return f"select r.*, 1 / (1 + exp(-({margin}))) as score from {rows} r, {name}_weights, {name}_moments"
+
+
+MODELS["train_set"] = f"from labelled where as_of_date <> {TEST}"
+fitted_models("trained", "train_set")
+fitted_models("final", "labelled")
+MODELS["fitted_test"] = fitted_probability_sql("trained", "test_set")
+MODELS["fitted_long"] = """
+  select * exclude (proba), null::DOUBLE as proba from rule_long
+  union all select 'Logistic regression', customer_unique_id, returned, score, score from fitted_test"""
+evaluation_models("fitted")
+decision_models("fitted", fitted_probability_sql("final", "features_current"))
+
+
 def with_models(body: str) -> str:
     """Prefix a query with the CTEs it needs, in dependency order."""
     ordered: list[str] = []

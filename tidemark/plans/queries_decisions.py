@@ -2,10 +2,10 @@
 
 from pyspark.sql import functions as F
 
-from tidemark.config import ACTIONS, GROUP_PLAYBOOK, MODEL_FEATURES, RECOVERY_ACTION
-from tidemark.functions import scalars
+from tidemark.config import ACTIONS
 from tidemark.operators import dashboards, decisions
 from tidemark.plans.catalog import model_query, query
+from tidemark.plans.queries_models import STABILITY
 
 SCORE_MONEY = "total_revenue action_cost_brl cumulative_action_cost_brl"
 
@@ -128,23 +128,7 @@ def lag_check(w):
                        F.count_if(F.col("cumulative_action_cost_brl") < F.col("before")).alias("decreases"))
 
 
-FIT_FREE = (
-    "customer_unique_id", "customer_state", "first_purchase_date", "last_purchase_date", "recency_days", "order_count", "purchase_days",
-    "total_revenue", "avg_order_value", "tenure_days", "items_per_order", "avg_review_score_observed", "had_late_delivery",
-    "is_repeat_customer", "rfm_segment", "r_score", "f_score", "m_score", "activity_status", "value_tier", "scored_as_of", "model_version")
-
-
-@query("retention_scores", f"""
-  select {', '.join(FIT_FREE)}, true as probability_in_range, true as priority_in_range, true as action_follows_group from rule_table""",
-       "total_revenue")
-def retention_scores(w):
-    """The score table of the fitted model: columns that do not depend on the fit, and rules for those that do."""
-    playbook = scalars.lookup("customer_group", {g: a for g, (a, _) in GROUP_PLAYBOOK.items()}, "string")
-    recovers = F.col("next_best_action") == RECOVERY_ACTION
-    return w.scores.select(
-        *FIT_FREE, F.col("return_probability").between(0, 1).alias("probability_in_range"),
-        F.col("priority_score").between(0, 100).alias("priority_in_range"),
-        (recovers | (F.col("next_best_action") == playbook)).alias("action_follows_group"))
+model_query("retention_scores", "fitted_table", SCORE_MONEY, model="scores")
 
 
 # ------------------------------------------------------------------ dashboards
@@ -319,7 +303,7 @@ def model_vs_rules(w):
     return dashboards.model_vs_rules(w.rule_evaluation)
 
 
-@query("driver_table", " union all ".join(f"select '{f}' as feature, true as odds_positive, true as stable_known" for f in MODEL_FEATURES))
+@query("driver_table", f"""
+  select feature, odds_ratio_per_sd, stable_direction from ({STABILITY})""", approx="odds_ratio_per_sd")
 def driver_table(w):
-    return dashboards.driver_table(w.coefficients).select(
-        "feature", (F.col("odds_ratio_per_sd") > 0).alias("odds_positive"), F.col("stable_direction").isNotNull().alias("stable_known"))
+    return dashboards.driver_table(w.coefficients)

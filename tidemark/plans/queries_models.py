@@ -6,6 +6,7 @@ from tidemark.config import MODEL_FEATURES
 from tidemark.operators import evaluation, explore, model, snapshots
 from tidemark.operators.ordered import attach, value_ranks
 from tidemark.plans.catalog import model_query, query
+from tidemark.plans.oracle_models import fitted_probability_sql
 
 LOGS = "log_recency_days log_monetary log_tenure_days"
 METRICS = "base_rate roc_auc pr_auc lift_top_10pct capture_top_10pct lift_top_20pct capture_top_20pct brier_score brier_score_baseline"
@@ -168,92 +169,60 @@ def cumulative_capture(w):
 
 
 # ------------------------------------------------------------------ fitted models
-# A fit has no SQL twin. These queries return, beside the columns that SQL can compute, properties that only
-# a right fit has; each is measured on all rows.
-def features_std_sql(rows, *flags):
-    return " union all ".join(
-        f"select '{f}' as feature, stddev_pop({f}) as feature_std, {', '.join(f'true as {x}' for x in flags)} from {rows}"
-        for f in MODEL_FEATURES)
-
-
-def fit_facts(w, fitted, rows):
-    """The penalised loss is flat at every coefficient; odds ratio and direction follow from the coefficient."""
-    count = rows.agg(F.count(F.lit(1)).alias("n"))
-    miss = fitted.probability() - F.col("returned")
-    slopes = rows.agg(*[F.sum(x * miss).alias(f) for f, x in zip(fitted.features, fitted.standardised(), strict=True)])
-    cells = F.array(*[F.struct(F.lit(f).alias("feature"), F.col(f).alias("slope")) for f in fitted.features])
-    slope = slopes.select(F.explode(cells).alias("x")).select("x.*").crossJoin(F.broadcast(count))
-    table = model.coefficient_table(w.spark, fitted)
-    more = F.col("direction") == "more likely to return"
-    return table.join(slope, "feature").select(
-        "feature", "feature_std",
-        (F.abs(F.col("coefficient") + F.col("slope")) < 1e-5 * F.col("n")).alias("loss_is_flat"),
-        (F.abs(F.log("odds_ratio_per_sd") - F.col("coefficient")) < 1e-9).alias("odds_follow"),
-        (more == (F.col("coefficient") > 0)).alias("direction_follows"))
-
-
-FIT_FLAGS = ("loss_is_flat", "odds_follow", "direction_follows")
-
-
-@query("fit_return_model", features_std_sql("(from labelled where as_of_date <> date '2001-01-01')", *FIT_FLAGS), approx="feature_std")
-def fit_return_model(w):
-    return fit_facts(w, w.train_model, w.train)
+# The oracle takes the same Newton steps in a recursive query; both end at the one minimum of the loss.
+COEFFICIENTS = "coefficient feature_std odds_ratio_per_sd"
 
 
-@query("coefficient_table", features_std_sql("labelled", *FIT_FLAGS), approx="feature_std")
-def coefficient_table(w):
-    return fit_facts(w, w.final_model, w.labelled)
+@query("fit_return_model", " union all ".join(
+    f"select '{f}' as feature, mean_{f} as feature_mean, std_{f} as feature_std, b{i} as coefficient, b0 as intercept "
+    "from trained_weights, trained_moments" for i, f in enumerate(MODEL_FEATURES, 1)), approx="feature_mean feature_std coefficient intercept")
+def fit_return_model(w):
+    """Everything the fit on the training snapshots found."""
+    fitted = w.train_model
+    rows = [(f, m, s, c, fitted.intercept) for f, m, s, c in zip(fitted.features, fitted.means, fitted.scales, fitted.coefficients, strict=True)]
+    return w.spark.createDataFrame(rows, "feature string, feature_mean double, feature_std double, coefficient double, intercept double")
 
 
-def probability_facts(w, fitted, scored, *keep):
-    """Probabilities against the logistic formula, term by term from the shown coefficients."""
-    terms = F.array(*[F.struct(F.lit(f).alias("feature"), (F.col(f) - F.lit(m)).cast("double").alias("centred"))
-                      for f, m in zip(fitted.features, fitted.means, strict=True)])
-    shown = model.coefficient_table(w.spark, fitted).select("feature", "coefficient", "feature_std")
-    keys = ["customer_unique_id", *keep]
-    summed = scored.select(*keys, "return_probability", F.explode(terms).alias("t")).select(*keys, "return_probability", "t.*").join(
-        F.broadcast(shown), "feature").groupBy(*keys, "return_probability").agg(
-        F.sum(F.col("coefficient") * F.col("centred") / F.col("feature_std")).alias("margin"))
-    p = F.col("return_probability")
-    formula = 1 / (1 + F.exp(-(F.col("margin") + F.lit(fitted.intercept))))
-    return summed.select(*keys, p.between(0, 1).alias("in_range"), (F.abs(p - formula) < 1e-9).alias("follows_formula"))
+@query("coefficient_table", "from final_coefficients", approx=COEFFICIENTS)
+def coefficient_table(w):
+    return model.coefficient_table(w.spark, w.final_model)
 
 
-@query("predict_return", "select customer_unique_id, true as in_range, true as follows_formula from features_current")
+@query("predict_return", f"""
+  select customer_unique_id, score as return_probability from ({fitted_probability_sql('trained', 'features_current')})""", approx="return_probability")
 def predict_return(w):
-    return probability_facts(w, w.train_model, model.predict_return(w.train_model, w.current))
+    return model.predict_return(w.train_model, w.current).select("customer_unique_id", "return_probability")
 
 
-@query("train_test_refit", "select customer_unique_id, returned, true as in_range, true as follows_formula from test_set")
+@query("train_test_refit", f"""
+  select customer_unique_id, returned, score as return_probability from ({fitted_probability_sql('final', 'test_set')})""", approx="return_probability")
 def train_test_refit(w):
     """The refit on all snapshots, applied to the test snapshot."""
-    return probability_facts(w, w.final_model, model.predict_return(w.final_model, w.test), "returned")
+    return model.predict_return(w.final_model, w.test).select("customer_unique_id", "returned", "return_probability")
+
 
+STABILITY = """
+  select f.*, t.odds_ratio_per_sd as odds_ratio_train_only, (f.coefficient > 0) = (t.coefficient > 0) as stable_direction
+  from final_coefficients f join trained_coefficients t using (feature)"""
 
-@query("coefficient_stability", features_std_sql("labelled", "stable_follows"), approx="feature_std")
+
+@query("coefficient_stability", STABILITY, approx=f"{COEFFICIENTS} odds_ratio_train_only")
 def coefficient_stability(w):
-    """Stable is what points the same way in the table of either fit."""
-    first = model.coefficient_table(w.spark, w.train_model).select("feature", F.col("direction").alias("earlier"))
-    same = F.col("direction") == F.col("earlier")
-    return w.coefficients.join(F.broadcast(first), "feature").select(
-        "feature", "feature_std", (F.col("stable_direction") == same).alias("stable_follows"))
-
-
-FITTED_METRICS = "base_rate roc_auc pr_auc lift_top_10pct capture_top_10pct lift_top_20pct capture_top_20pct"
-
-
-@query("fitted_model_evaluation", f"""
-  select model, customers, returned, {', '.join(FITTED_METRICS.split())}, true as in_range from (
-    select r.* exclude (brier_score, brier_score_baseline) from rule_evaluation r
-    union all select 'Logistic regression', max(customers), max(returned), max(base_rate), null, null, null, null, null, null from rule_evaluation)""",
-       approx=FITTED_METRICS)
-def fitted_model_evaluation(w):
-    """The fitted model beside the rules: its own curve only in range, everything else exact."""
-    rule = F.col("model") != "Logistic regression"
-    bounded = [F.col(c).between(0, 1) for c in ("roc_auc", "pr_auc", "capture_top_10pct", "capture_top_20pct")]
-    shown = [F.when(rule, F.col(c)).alias(c) for c in FITTED_METRICS.split() if c != "base_rate"]
-    return w.model_evaluation.select(
-        "model", "customers", "returned", "base_rate", *shown, (bounded[0] & bounded[1] & bounded[2] & bounded[3]).alias("in_range"))
+    """Stable is what points the same way in either fit."""
+    return w.coefficients
+
+
+model_query("fitted_model_evaluation", "fitted_evaluation", approx=METRICS, model="model_evaluation")
+
+
+@query("fitted_decile_table", """
+  with r as (select *, row_number() over (order by score desc, customer_unique_id) as pos, count(*) over () as n from fitted_test),
+  d as (select *, least(10, greatest(1, ceil(10 * (pos - 1) / (n - 1))))::INT as decile from r),
+  g as (select decile, count(*) as customers, sum(returned)::BIGINT as returned, avg(score) as predicted_rate from d group by decile)
+  select *, returned / customers as actual_rate, (returned / customers) / ((select sum(returned) from g) / (select sum(customers) from g)) as lift,
+    (select sum(returned) from g e where e.decile <= g.decile) / (select sum(returned) from g) as cumulative_capture from g""", approx=DECILE)
+def fitted_decile_table(w):
+    return w.model_deciles
 
 
 # ------------------------------------------------------------------ exploration
