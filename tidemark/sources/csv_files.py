@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.sources import quoted_csv
 from tidemark.sources.schemas import RAW_TABLES
 
 CORRUPT = "_corrupt_record"
-BOM = "\ufeff"
 CSV_OPTIONS = {
     "header": "true",
     "sep": ",",
@@ -24,16 +24,24 @@ CSV_OPTIONS = {
 }
 
 
-def _reader(spark: SparkSession, pattern: str | None, multi_line: bool, **options: str):
-    """Only tables with line breaks in texts are read file by file; others are split."""
-    reader = spark.read.options(**{**CSV_OPTIONS, "multiLine": str(multi_line).lower(), **options})
+def _reader(spark: SparkSession, pattern: str | None, **options: str):
+    reader = spark.read.options(**{**CSV_OPTIONS, **options})
     return reader.option("pathGlobFilter", pattern) if pattern else reader
 
 
+def _quoted(spark: SparkSession, folder: str, pattern: str | None, names: list[str], schema: T.StructType, **options: str) -> DataFrame:
+    """Rows of files with line breaks in texts, split like any others, with their ``file_name``."""
+    records = quoted_csv.without_headers(quoted_csv.records(spark, folder, pattern), names)
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in schema)
+    return quoted_csv.parsed(records, ddl, {**CSV_OPTIONS, **options})
+
+
 def csv_scan(spark: SparkSession, folder: str, table: str, pattern: str | None = None) -> DataFrame:
     """Typed load of one raw table; the read stops at the first bad row."""
     spec = RAW_TABLES[table]
-    return _reader(spark, pattern, spec.multi_line, mode="FAILFAST").schema(spec.schema).csv(folder)
+    if spec.multi_line:
+        return _quoted(spark, folder, pattern, list(spec.column_names), spec.schema, mode="FAILFAST").drop("file_name")
+    return _reader(spark, pattern, mode="FAILFAST").schema(spec.schema).csv(folder)
 
 
 def file_pattern(file_stem: str, prefix: str = "") -> str:
@@ -51,9 +59,13 @@ def file_pattern_scan(
 
 
 def tolerant_scan(spark: SparkSession, folder: str, table: str, pattern: str | None = None) -> DataFrame:
-    schema = T.StructType([*RAW_TABLES[table].schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
+    spec = RAW_TABLES[table]
+    schema = T.StructType([*spec.schema.fields, T.StructField(CORRUPT, T.StringType(), True)])
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
-    rows = _reader(spark, pattern, RAW_TABLES[table].multi_line, **options).schema(schema).csv(folder)
+    if spec.multi_line:
+        rows = _quoted(spark, folder, pattern, list(spec.column_names), schema, **options)
+        return rows.select(*schema.names, "file_name")
+    rows = _reader(spark, pattern, **options).schema(schema).csv(folder)
     return rows.withColumn("file_name", F.col("_metadata.file_name"))
 
 
@@ -88,7 +100,12 @@ def load_audit(spark: SparkSession, folder: str, table: str, pattern: str | None
 def string_profile_scan(spark: SparkSession, path: str, multi_line: bool = True, pattern: str | None = None) -> DataFrame:
     """Everything as text exactly as written; only an empty field is NULL; BOM dropped from the header.
 
-    Give ``multi_line=False`` for files without line breaks in texts: they can be split.
+    Give ``multi_line=False`` for files without line breaks in texts: their lines need not be put together.
     """
-    rows = _reader(spark, pattern, multi_line, mode="FAILFAST").csv(path)
-    return rows.toDF(*[c.lstrip(BOM) for c in rows.columns])
+    # Only the header is read here.
+    plain = _reader(spark, pattern, mode="FAILFAST", multiLine=str(multi_line).lower()).csv(path)
+    names = [c.lstrip(quoted_csv.BOM) for c in plain.columns]
+    if not multi_line:
+        return plain.toDF(*names)
+    schema = T.StructType([T.StructField(n, T.StringType(), True) for n in names])
+    return _quoted(spark, path, pattern, names, schema, mode="FAILFAST").drop("file_name")
