@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -93,26 +93,34 @@ def one_customer_row_per_order(tables: Tables) -> DataFrame:
     return c.crossJoin(F.broadcast(o)).withColumn("status", F.when(same, "PASS").otherwise("FAIL"))
 
 
+def null_counters(table: str) -> dict[str, Column]:
+    """NULLs of every column of a raw table, as aggregates that its load can measure."""
+    return {f"nulls {c}": F.count_if(F.col(c).isNull()) for c in RAW_TABLES[table].column_names}
+
+
 def null_checks(tables: Tables) -> DataFrame:
     """Every raw column against its REQUIRED or OPTIONAL rule, one scan per table."""
     out = []
     for name, spec in RAW_TABLES.items():
-        counts = tables[name].agg(
-            F.count(F.lit(1)).alias("total_rows"),
-            *[F.count_if(F.col(c).isNull()).alias(f"n_{c}") for c in spec.column_names],
-        )
-        cells = F.array(*[
-            F.struct(
-                F.lit(c).alias("column_name"),
-                F.lit("REQUIRED" if c in spec.required else "OPTIONAL").alias("rule"),
-                F.col(f"n_{c}").alias("null_count"),
-            ) for c in spec.column_names
-        ])
+        counts = tables[name].agg(F.count(F.lit(1)).alias("total_rows"), *[v.alias(k) for k, v in null_counters(name).items()])
+        cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(f"`nulls {c}`").alias("null_count")) for c in spec.column_names])
         out.append(counts.select(F.lit(name).alias("table_name"), F.explode(cells).alias("x"), "total_rows")
-                   .select("table_name", "x.column_name", "x.rule", "x.null_count", "total_rows"))
+                   .select("table_name", "x.column_name", "x.null_count", "total_rows"))
+    return null_report(stack(out))
+
+
+def null_checks_at_load(spark: SparkSession, measured: dict[str, dict[str, int]]) -> DataFrame:
+    """The same report from what the load measured, without reading a table."""
+    rows = [(t, c, measured[t][f"nulls {c}"], measured[t]["rows"]) for t, spec in RAW_TABLES.items() for c in spec.column_names]
+    return null_report(spark.createDataFrame(rows, "table_name string, column_name string, null_count long, total_rows long"))
+
+
+def null_report(counts: DataFrame) -> DataFrame:
+    required = [F.lit(f"{t} {c}") for t, spec in RAW_TABLES.items() for c in spec.required]
+    rule = F.when(F.concat_ws(" ", "table_name", "column_name").isin(*required), "REQUIRED").otherwise("OPTIONAL")
     failed = F.when(F.col("rule") == "REQUIRED", "FAIL").otherwise("INFO")
-    return stack(out).select(
-        "*",
+    return counts.withColumn("rule", rule).select(
+        "table_name", "column_name", "rule", "null_count", "total_rows",
         exact_ratio(F.col("null_count") * 100, "total_rows", 2).alias("null_pct"),
         status_of("null_count", failed).alias("status"),
     )
@@ -538,6 +546,19 @@ def _result(model: str, column: str, kind: str, failures: Column | str) -> list[
             F.coalesce(F.col(failures) if isinstance(failures, str) else failures, F.lit(0)).cast("long").alias("failures")]
 
 
+def observed_rules(name: str) -> dict[str, Column]:
+    """The not-null and accepted-value tests of a model as aggregates that its write can measure."""
+    spec = MODEL_TESTS.get(name, {})
+    nulls = {f"not_null {c}": F.count_if(F.col(c).isNull()) for c in spec.get("not_null", [])}
+    odd = {f"accepted_values {c}": F.count_if(~F.col(c).isin(*values)) for c, values in spec.get("accepted", {}).items()}
+    return nulls | odd
+
+
+def observed_failures(name: str, measured: dict[str, int]) -> list[str]:
+    """Rows that failed a rule while the model was written."""
+    return [f"{name}.{rule.split(' ', 1)[1]} {rule.split(' ', 1)[0]}: {measured[rule]}" for rule in observed_rules(name) if measured[rule]]
+
+
 def generic_unique(models, names=None) -> DataFrame:
     """Distinct values that occur more than once, per declared unique column."""
     out = []

@@ -11,7 +11,8 @@ from tidemark.plans.workspace import Workspace
 from tidemark.sources import csv_files
 from tidemark.sources.schemas import RAW_TABLES
 from tidemark.sources.scratch import inside, store
-from tidemark.sources.tables import csv_export, layer_materialise, table_overwrite
+from tidemark.sources.tables import StagedTable, csv_export, drop_staged, layer_materialise, publish_tables, stage_table
+from tidemark.sources.versions import VersionedTables
 
 MARTS = (
     "fct_orders", "dim_customers", "dim_products", "customer_rfm", "kpi_summary", "monthly_revenue",
@@ -19,10 +20,16 @@ MARTS = (
 )
 
 
-def build_marts(workspace: Workspace, write) -> None:
-    """Write every mart with ``write(name, dataframe)``."""
-    for name in MARTS:
-        write(name, workspace.model(name))
+def stage_all(spark: SparkSession, tables: dict[str, DataFrame], layer: str, root: str) -> dict[str, StagedTable]:
+    """Write the next version of every table, measuring its declared tests on the way; none stays if one fails."""
+    staged: dict[str, StagedTable] = {}
+    try:
+        for name, df in tables.items():
+            staged[name] = stage_table(df, layer, name, f"{root}/{layer}/{name}", quality.observed_rules(name))
+    except BaseException:
+        drop_staged(spark, list(staged.values()))
+        raise
+    return staged
 
 
 def score_customers(workspace: Workspace) -> dict[str, DataFrame]:
@@ -45,21 +52,16 @@ def score_customers(workspace: Workspace) -> dict[str, DataFrame]:
 
 def run(workspace: Workspace, database_root: str, extract_folder: str | None = None) -> dict[str, int]:
     """Marts and score tables as Parquet tables, dashboard extracts as CSV; returns rows per score table."""
-
-    def write(layer: str):
-        return lambda name, df: table_overwrite(df, layer, name, f"{database_root}/{layer}/{name}")
-
-    build_marts(workspace, write("marts"))
+    marts = stage_all(workspace.spark, {name: workspace.model(name) for name in MARTS}, "marts", database_root)
+    publish_tables(workspace.spark, list(marts.values()))
     return publish(workspace, database_root, extract_folder)
 
 
 def publish(workspace: Workspace, database_root: str, extract_folder: str | None) -> dict[str, int]:
-    """Score tables, and the extracts from the written marts."""
-
-    def write(name: str, df: DataFrame) -> int:
-        return table_overwrite(df, "ml", name, f"{database_root}/ml/{name}")
-
-    written = {name: write(name, df) for name, df in score_customers(workspace).items()}
+    """Score tables, all or none, and the extracts from the written tables."""
+    scored = stage_all(workspace.spark, score_customers(workspace), "ml", database_root)
+    publish_tables(workspace.spark, list(scored.values()))
+    written = {name: int(s.measured["rows"]) for name, s in scored.items()}
     if extract_folder:
         spark = workspace.spark
         marts = {n: spark.table(f"marts.{n}") for n in (
@@ -85,31 +87,51 @@ class TestError(RuntimeError):
     __test__ = False
 
 
-def load_raw(spark: SparkSession, folder: str, root: str, prefix: str = "") -> dict[str, DataFrame]:
-    """Audit the files of all nine tables, and only if every row loads replace the raw layer."""
+def load_raw(
+    spark: SparkSession, folder: str, root: str, prefix: str = "",
+) -> tuple[dict[str, DataFrame], dict[str, dict[str, int]]]:
+    """Audit the files of all nine tables, and only if every row loads replace the raw layer, in one commit.
+
+    Rows and NULLs are counted by the load itself; a table whose rows differ from the audit's stops it.
+    """
     patterns = {name: csv_files.file_pattern(name, prefix) for name in RAW_TABLES}
     audits = quality.stack([csv_files.load_audit(spark, folder, name, p) for name, p in patterns.items()])
     # One row for each file.
-    rows = audits.select("table_name", "file_name", "status", "first_error").collect()
+    rows = audits.select("table_name", "file_name", "status", "first_error", "rows_loaded").collect()
     bad = [f"{r.file_name}: {r.first_error}" for r in rows if r.status != "LOADED"]
     bad += [f"{name}: no file" for name in RAW_TABLES if name not in {r.table_name for r in rows}]
     if bad:
         raise LoadError("; ".join(bad))
-    out = {}
-    for name, pattern in patterns.items():
-        csv_files.csv_scan(spark, folder, name, pattern).write.mode("overwrite").parquet(f"{root}/raw/{name}")
-        out[name] = spark.read.parquet(f"{root}/raw/{name}")
-    return out
-
-
-def require_tests(workspace: Workspace, names: tuple[str, ...]) -> None:
-    """Generic tests of the named models; the first failing layer stops the build."""
-    checks = [f(workspace.model, names) for f in (
-        quality.generic_unique, quality.generic_not_null, quality.generic_accepted_values, quality.generic_relationships)
-        if _declared(f, names)]
-    failed = quality.stack(checks).where("failures > 0").collect()  # at most one row for each declared test
+    raw = VersionedTables(spark, f"{root}/raw")
+    with raw.load() as load:
+        for name, pattern in patterns.items():
+            metrics = quality.null_counters(name) | quality.observed_rules(f"raw_{name}")
+            measured = load.write(name, csv_files.csv_scan(spark, folder, name, pattern), metrics)
+            expected = sum(r.rows_loaded for r in rows if r.table_name == name)
+            if measured["rows"] != expected:
+                raise LoadError(f"{name}: {expected} rows audited, {measured['rows']} loaded")
+    version = raw.current()
+    return {name: raw.read(name, version) for name in RAW_TABLES}, version.tables
+
+
+def require_tests(workspace: Workspace, names: tuple[str, ...], measured: dict[str, dict[str, int]] | None = None) -> None:
+    """Generic tests of the named models; the first failing layer stops the build.
+
+    What the write of a model ``measured`` is not read again; uniqueness and relationships always are.
+    """
+    measured = measured or {}
+    failed = [text for name in names if name in measured for text in quality.observed_failures(name, measured[name])]
+    unseen = tuple(n for n in names if n not in measured)
+    checks = [
+        f(workspace.model, of) for f, of in (
+            (quality.generic_unique, names), (quality.generic_relationships, names),
+            (quality.generic_not_null, unseen), (quality.generic_accepted_values, unseen))
+        if _declared(f, of)]
+    if checks:
+        rows = quality.stack(checks).where("failures > 0").collect()  # at most one row for each declared test
+        failed += [f"{r.model}.{r.column_name} {r.test}: {r.failures}" for r in rows]
     if failed:
-        raise TestError("; ".join(f"{r.model}.{r.column_name} {r.test}: {r.failures}" for r in failed))
+        raise TestError("; ".join(failed))
 
 
 def _declared(test, names: tuple[str, ...]) -> bool:
@@ -133,15 +155,23 @@ def build(
     """From nine CSV files (plain or gzip) to marts, score tables and dashboard extracts.
 
     Files are audited first. Staging models become views and are tested before the
-    marts are written; the marts are tested before customers are scored.
+    marts are written; the marts are tested before they replace the old ones, and the old score tables stay
+    until the new ones are complete.
     """
-    with Workspace(load_raw(spark, folder, root, prefix), cfg, keep=True) as workspace:
+    raw, loaded = load_raw(spark, folder, root, prefix)
+    with Workspace(raw, cfg, keep=True) as workspace:
         staging = tuple(n for n in quality.MODEL_TESTS if n not in MARTS)
         layer_materialise({n: workspace.model(n) for n in staging}, "staging", as_tables=False)
-        require_tests(workspace, staging)
-        build_marts(workspace, lambda name, df: table_overwrite(df, "marts", name, f"{root}/marts/{name}"))
-        # Later steps read what was written.
-        workspace.customer_rfm = spark.table("marts.customer_rfm")
-        require_tests(workspace, tuple(n for n in quality.MODEL_TESTS if n in MARTS))
-        require_singular(workspace)
+        require_tests(workspace, staging, {f"raw_{name}": m for name, m in loaded.items()})
+        marts = stage_all(spark, {name: workspace.model(name) for name in MARTS}, "marts", root)
+        try:
+            # Tests and later steps read what was written.
+            for name, staged in marts.items():
+                setattr(workspace, name, staged.read(spark))
+            require_tests(workspace, tuple(n for n in quality.MODEL_TESTS if n in MARTS), {n: s.measured for n, s in marts.items()})
+            require_singular(workspace)
+        except BaseException:
+            drop_staged(spark, list(marts.values()))
+            raise
+        publish_tables(spark, list(marts.values()))
         return publish(workspace, root, extracts)

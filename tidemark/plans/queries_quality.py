@@ -60,11 +60,14 @@ def row_count_check(w):
     return quality.row_count_check({t: w.raw[t] for t in inputs}, expected)
 
 
-@query("null_checks", union(
+NULL_CHECKS = union(
     f"""select '{s.name}' as table_name, '{c}' as column_name, '{"REQUIRED" if c in s.required else "OPTIONAL"}' as rule,
       count(*) - count({c}) as null_count, count(*) as total_rows, floor(10000 * (count(*) - count({c})) / count(*) + 0.5) / 100.0 as null_pct,
       if(count(*) = count({c}), 'PASS', '{"FAIL" if c in s.required else "INFO"}') as status from raw_{s.name}"""
-    for s in RAW_TABLES.values() for c in s.column_names))
+    for s in RAW_TABLES.values() for c in s.column_names)
+
+
+@query("null_checks", NULL_CHECKS)
 def null_checks(w):
     return quality.null_checks(w.raw)
 
