@@ -7,9 +7,9 @@ arrived and reviews answered strictly earlier.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable
+from collections.abc import Iterable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import TOTAL, elapsed_days, share
@@ -44,47 +44,80 @@ def day_after_last_purchase(history: DataFrame) -> DataFrame:
     return history.agg(F.date_add(F.to_date(F.max("purchased_at")), 1).alias("as_of_date"))
 
 
-def _seen_before(events: DataFrame, dates: DataFrame) -> DataFrame:
-    """Pair each event with the as-of dates after it (at most one row per date)."""
-    as_of = F.col("as_of_date").cast("timestamp_ntz")
-    return events.crossJoin(F.broadcast(dates)).withColumn("as_of", as_of).where(F.col("purchased_at") < F.col("as_of"))
+def slot_of(at: Column, dates: Sequence[dt.date]) -> Column:
+    """Number of the first of the ascending dates that lies after a moment, by bisection; ``len(dates)`` after all of them."""
+
+    def between(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(low)
+        middle = (low + high) // 2
+        return F.when(at < F.lit(dates[middle]).cast("timestamp_ntz"), between(low, middle)).otherwise(between(middle + 1, high))
+
+    return between(0, len(dates))
+
+
+def _events(history: DataFrame, reviews: DataFrame, dates: Sequence[dt.date]) -> DataFrame:
+    """Every order, delivery and answered review once, under the slot in which it becomes known."""
 
+    def known(*moments: str) -> Column:
+        return slot_of(F.greatest(*moments) if len(moments) > 1 else F.col(moments[0]), dates)
 
-def answered_before(history: DataFrame, reviews: DataFrame, dates: DataFrame) -> DataFrame:
-    placed = history.select("order_id", "customer_unique_id", "purchased_at")
-    pairs = _seen_before(reviews.join(placed, "order_id"), dates)
-    return pairs.where(F.col("survey_answered_at") < F.col("as_of"))
+    bought = history.where(F.col("purchased_at").isNotNull())
+    placed = F.struct(known("purchased_at").alias("slot"), F.lit(True).alias("is_order"), F.lit(None).cast("int").alias("late"))
+    delivered = F.struct(
+        known("purchased_at", "delivered_at").alias("slot"), F.lit(False).alias("is_order"), F.col("is_late_delivery").cast("int").alias("late"))
+    both = F.when(F.col("delivered_at").isNotNull(), F.array(placed, delivered)).otherwise(F.array(placed))
+    orders = bought.withColumn("event", F.explode(both)).select(
+        "customer_unique_id", "event.*", *[
+            F.when(F.col("event.is_order"), F.col(c)).alias(c) for c in ("purchased_at", "order_id", "customer_state", "order_revenue", "item_count")])
+    asked = bought.select("order_id", "customer_unique_id", "purchased_at")
+    answers = reviews.where(F.col("survey_answered_at").isNotNull()).join(asked, "order_id").select(
+        "customer_unique_id", known("purchased_at", "survey_answered_at").alias("slot"), "review_score")
+    events = orders.unionByName(answers, allowMissingColumns=True)
+    # After the last date only purchases matter, for the label.
+    return events.where((F.col("slot") < len(dates)) | F.col("purchased_at").isNotNull())
 
 
 def customer_history(history: DataFrame, reviews: DataFrame, dates: DataFrame) -> DataFrame:
-    return history_rollup(history, reviews, dates).drop(*REVIEW_PARTS)
+    return history_rollup(history, reviews, dates).drop(*REVIEW_PARTS, "next_purchase_at")
 
 
 def history_rollup(history: DataFrame, reviews: DataFrame, dates: DataFrame) -> DataFrame:
-    """Orders and answered reviews stacked as events, then one aggregation per (date, person).
+    """What is known of every person at every as-of date, by prefix aggregation.
 
-    ``REVIEW_PARTS`` are the sum and count from which the mean over everybody follows.
+    Each event is counted once, in the slot before the first date after it, so the shuffle of the
+    events does not grow with the dates. The states of a person's slots (at most one
+    for each date) are then merged from the first to the last. Purchase days add up over slots, because
+    dates part days. ``REVIEW_PARTS`` are the sum and count from which the mean over everybody
+    follows; ``next_purchase_at`` is the first purchase at or after the date.
     """
-    order_events = _seen_before(history, dates).select(
-        *KEYS, "purchased_at", "order_id", "customer_state", "order_revenue", "item_count",
-        F.when(F.col("delivered_at") < F.col("as_of"), F.col("is_late_delivery").cast("int")).alias("late"),
-        F.lit(None).cast("double").alias("review_score"),
-    )
-    review_events = answered_before(history, reviews, dates).select(*KEYS, "review_score")
-    events = order_events.unionByName(review_events, allowMissingColumns=True)
+    ordered = sorted({r.as_of_date for r in dates.collect()} - {None})  # the snapshot dates of the run
     located = F.when(F.col("customer_state").isNotNull(), F.struct("purchased_at", "order_id", "customer_state"))
-    return events.groupBy(*KEYS).agg(
-        F.min("purchased_at").alias("first_purchase_at"),
-        F.max("purchased_at").alias("last_purchase_at"),
-        F.count("order_id").alias("order_count"),
-        F.countDistinct(F.to_date("purchased_at")).alias("all_purchase_days"),
-        F.sum("order_revenue").cast(TOTAL).cast("double").alias("monetary"),
-        F.sum("item_count").alias("total_items"),
-        F.max(located)["customer_state"].alias("customer_state"),
-        F.coalesce(F.max("late"), F.lit(0)).alias("had_late_delivery"),
-        F.avg("review_score").alias("avg_review_score_observed"),
-        F.sum("review_score").alias(REVIEW_PARTS[0]),
-        F.count("review_score").alias(REVIEW_PARTS[1]),
+    slots = _events(history, reviews, ordered).groupBy("customer_unique_id", "slot").agg(
+        F.min("purchased_at").alias("first"), F.max("purchased_at").alias("last"), F.count("order_id").alias("orders"),
+        F.countDistinct(F.to_date("purchased_at")).alias("days"), F.sum("order_revenue").cast(TOTAL).alias("revenue"),
+        F.sum("item_count").alias("items"), F.max(located).alias("place"), F.max("late").alias("late"),
+        F.sum("review_score").alias("score_sum"), F.count("review_score").alias("scores"),
+    )
+    by_slot = Window.partitionBy("customer_unique_id").orderBy("slot")
+    so_far, later = by_slot.rowsBetween(Window.unboundedPreceding, Window.currentRow), by_slot.rowsBetween(1, Window.unboundedFollowing)
+    until = F.coalesce(F.lead("slot").over(by_slot), F.lit(len(ordered)))
+    merged = slots.select(
+        "customer_unique_id", "slot", until.alias("until"),
+        F.min("first").over(so_far).alias("first_purchase_at"), F.max("last").over(so_far).alias("last_purchase_at"),
+        F.sum("orders").over(so_far).alias("order_count"), F.sum("days").over(so_far).alias("all_purchase_days"),
+        F.sum("revenue").over(so_far).cast(TOTAL).cast("double").alias("monetary"), F.sum("items").over(so_far).alias("total_items"),
+        F.max("place").over(so_far)["customer_state"].alias("customer_state"),
+        F.coalesce(F.max("late").over(so_far), F.lit(0)).alias("had_late_delivery"),
+        F.sum("score_sum").over(so_far).alias(REVIEW_PARTS[0]), F.sum("scores").over(so_far).alias(REVIEW_PARTS[1]),
+        F.min("first").over(later).alias("next_purchase_at"),
+    )
+    # A slot's state holds until the next one begins.
+    day = F.element_at(F.array(*[F.lit(d) for d in ordered]).cast("array<date>"), F.col("at") + 1)
+    spread = merged.where(F.col("slot") < F.col("until")).withColumn("at", F.explode(F.sequence("slot", F.col("until") - 1)))
+    return spread.select(
+        day.alias("as_of_date"), *[c for c in merged.columns if c not in ("slot", "until")],
+        F.when(F.col(REVIEW_PARTS[1]) > 0, F.col(REVIEW_PARTS[0]) / F.col(REVIEW_PARTS[1])).alias("avg_review_score_observed"),
     )
 
 
@@ -95,6 +128,10 @@ def known_review_mean(rollup: DataFrame) -> DataFrame:
 
 
 def build_features(history: DataFrame, reviews: DataFrame, dates: DataFrame) -> DataFrame:
+    return _features(history, reviews, dates).drop("next_purchase_at")
+
+
+def _features(history: DataFrame, reviews: DataFrame, dates: DataFrame) -> DataFrame:
     rollup = history_rollup(history, reviews, dates)
     means = known_review_mean(rollup)
     base = rollup.where(F.col("customer_unique_id").isNotNull())
@@ -115,7 +152,7 @@ def build_features(history: DataFrame, reviews: DataFrame, dates: DataFrame) ->
         (days >= 2).cast("int").alias("is_repeat_customer"),
         share("order_count", F.greatest(since_first / DAYS_PER_MONTH, F.lit(1.0))).alias("orders_per_month_active"),
         F.col("avg_review_score_observed").isNotNull().cast("int").alias("has_review"),
-        F.coalesce((F.col("customer_state") == "SP").cast("int"), F.lit(0)).alias("is_sao_paulo"),
+        F.coalesce((F.col("customer_state") == "SP").cast("int"), F.lit(0)).alias("is_sao_paulo"), "next_purchase_at",
     )
     return rows.withColumns(
         {f"log_{c}": F.log1p(c) for c in ("recency_days", "monetary", "tenure_days")}
@@ -145,15 +182,15 @@ def buyers_in_window(history: DataFrame, dates: DataFrame, horizon_days: int) ->
     )
 
 
-def add_label(features: DataFrame, history: DataFrame, dates: DataFrame, horizon_days: int) -> DataFrame:
-    buyers = buyers_in_window(history, dates, horizon_days).withColumn("bought", F.lit(1))
-    labelled = features.join(buyers, KEYS, "left")
-    return labelled.withColumn("returned", F.coalesce("bought", F.lit(0))).drop("bought")
+def add_label(features: DataFrame, horizon_days: int) -> DataFrame:
+    """Is there a purchase in [date, date + horizon)? The first one from the date on tells."""
+    end = F.col("as_of_date").cast("timestamp_ntz") + F.make_dt_interval(F.lit(horizon_days))
+    bought = F.coalesce(F.col("next_purchase_at") < end, F.lit(False))
+    return features.withColumn("returned", bought.cast("int")).drop("next_purchase_at")
 
 
 def labelled_snapshots(
     history: DataFrame, reviews: DataFrame, dates: list[dt.date], horizon_days: int
 ) -> DataFrame:
     check_label_windows(history, dates, horizon_days)
-    table = as_of_table(history.sparkSession, dates)
-    return add_label(build_features(history, reviews, table), history, table, horizon_days)
+    return add_label(_features(history, reviews, as_of_table(history.sparkSession, dates)), horizon_days)
