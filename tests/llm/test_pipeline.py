@@ -1,6 +1,7 @@
 import json
 
 import corpus_pipeline
+from pyspark.sql import functions as F
 from tests.llm.test_decontaminate import brute as windows_of
 from tests.llm.test_packing import check, reference_tokenizer  # noqa: F401
 from tests.llm.test_simhash import brute_components, brute_fingerprint
@@ -37,9 +38,23 @@ def test_stages_keep_columns_and_odd_rows(odd_documents, no_documents, spark, tm
         assert stage(spark, no_documents, str(tmp_path)).count() == 0
 
 
-def test_language_stage_rejects_only_what_has_no_language(spark):
+def test_language_stage_rejects_what_has_no_clear_language(spark):
     documents = table(spark, SMALL, "documents")
-    found = langid.identify(documents, bucket_of_id(documents.doc_id, 5) != 0).where("lang_pred = 'und'")
+    found = langid.identify(documents, bucket_of_id(documents.doc_id, 5) != 0)
+    gone = found.where("lang_pred = 'und' or score < 0.4").count()
     left = corpus_pipeline.language(spark, documents, SMALL)
-    assert left.count() + found.count() == documents.count()
+    assert left.count() + gone == documents.count()
     assert json.dumps(left.schema.jsonValue()) == json.dumps(documents.schema.jsonValue())
+    # The prediction decides: by language and by score.
+    french = corpus_pipeline.language(spark, documents, SMALL, languages=["fr"])
+    predicted = {r.doc_id for r in found.where("lang_pred = 'fr'").collect()}
+    assert 0 < len(predicted) < documents.count() and {r.doc_id for r in french.collect()} <= predicted
+    assert corpus_pipeline.language(spark, documents, SMALL, min_score=1.1).count() == 0
+
+
+def test_without_labels_only_texts_without_letters_go(spark, odd_documents):
+    documents = table(spark, SMALL, "documents").withColumn("lang", F.lit(None).cast("string"))
+    with_letters = {r.doc_id for r in documents.collect() if any(map(str.isalpha, r.text or ""))}
+    assert {r.doc_id for r in corpus_pipeline.language(spark, documents, SMALL).collect()} == with_letters
+    odd = odd_documents.withColumn("lang", F.lit(None).cast("string"))
+    assert {r.doc_id for r in corpus_pipeline.language(spark, odd, SMALL).collect()} == {4, 5, 6, 8, 9}
