@@ -228,3 +228,73 @@ def model_vs_rules(evaluation: DataFrame) -> DataFrame:
 
 def driver_table(coefficients: DataFrame) -> DataFrame:
     return coefficients.select("feature", "odds_ratio_per_sd", "stable_direction")
+
+
+# ---------------------------------------------------------------- all tiles of a run from one scan
+
+#: Tiles that group the extract, with the columns they group by.
+TILES: dict[str, tuple[str, ...]] = {
+    "segment_bars": ("rfm_segment",),
+    "segment_bars_by_state": ("rfm_segment", "customer_state"),
+    "recency_monetary_matrix": ("m_score", "r_score"),
+    "value_distribution": ("revenue_band",),
+    "lifecycle_mix": ("lifecycle_stage",),
+    "risk_distribution": ("risk_tier",),
+    "value_risk_matrix": ("value_tier", "risk_tier"),
+    "activity_by_value": ("value_tier", "activity_status"),
+    "opportunity_map": ("customer_group",),
+    "action_bars": ("next_best_action",),
+    "group_action_detail": ("customer_group", "next_best_action", "action_reason"),
+}
+TILE_KEYS = tuple(dict.fromkeys(k for keys in TILES.values() for k in keys))
+
+
+def tile_measures(extract: DataFrame) -> DataFrame:
+    """Every tile's groups with their sums, from one aggregate over grouping sets; ``tile`` tells them apart.
+
+    The extract is read once for all tiles. Columns that a tile does not group by are NULL.
+    """
+    rows = extract.withColumns({"revenue_band": revenue_band(), "lifecycle_stage": lifecycle_stage()})
+    grouped = rows.groupingSets([[F.col(k) for k in keys] for keys in TILES.values()], *TILE_KEYS).agg(
+        F.grouping_id(*TILE_KEYS).alias("set"), F.count(F.lit(1)).alias("customers"), F.sum("total_revenue").cast(TOTAL).alias("revenue"),
+        F.avg("return_probability").alias("return_rate"), F.sum("action_cost_brl").cast(TOTAL).alias("total_cost"),
+        F.sum("expected_revenue_180d").alias("expected_revenue_180d"))
+    # The id of a set has a one for each column that the set leaves out, the first column's bit highest.
+    ids = {
+        name: sum(1 << (len(TILE_KEYS) - 1 - i) for i, key in enumerate(TILE_KEYS) if key not in keys) for name, keys in TILES.items()}
+    tile = F.lit(None).cast("string")
+    for name, number in ids.items():
+        tile = F.when(F.col("set") == number, name).otherwise(tile)
+    return grouped.select(tile.alias("tile"), *TILE_KEYS, "customers", "revenue", "return_rate", "total_cost", "expected_revenue_180d")
+
+
+def tiles_of(measures: DataFrame, state: str) -> dict[str, DataFrame]:
+    """The tiles as their own functions return them, from the stored measures. ``state`` is the one shown by state."""
+
+    def groups(name: str) -> DataFrame:
+        return measures.where(F.col("tile") == name)
+
+    million = (F.col("revenue").cast("double") / MILLION).alias("revenue_m")
+    pct = F.round(F.lit(100.0) * F.col("return_rate"), 2).alias("avg_return_pct")
+    cells = []
+    for r in range(1, 6):
+        here = F.col("r_score") == r
+        cells.append(F.coalesce(F.sum(F.when(here, F.col("customers"))), F.lit(0)).alias(f"r{r}_customers"))
+        cells.append(F.coalesce(F.sum(F.when(here, F.col("revenue"))), F.lit(0)).cast(TOTAL).alias(f"r{r}_revenue"))
+    everyone, tier = Window.partitionBy(), Window.partitionBy("value_tier")
+    return {
+        "segment_bars": groups("segment_bars").select("rfm_segment", million, "customers"),
+        "segment_bars_by_state": groups("segment_bars_by_state").where(F.col("customer_state") == state).select("rfm_segment", million, "customers"),
+        "recency_monetary_matrix": groups("recency_monetary_matrix").groupBy("m_score").agg(*cells),
+        "value_distribution": groups("value_distribution").select("revenue_band", "customers", "revenue"),
+        "lifecycle_mix": groups("lifecycle_mix").select(
+            "lifecycle_stage", "customers", "revenue", share("revenue", F.sum("revenue").over(everyone)).alias("revenue_share")),
+        "risk_distribution": groups("risk_distribution").select("risk_tier", "customers", pct),
+        "value_risk_matrix": groups("value_risk_matrix").select("value_tier", "risk_tier", "customers", million),
+        "activity_by_value": groups("activity_by_value").select(
+            "value_tier", "activity_status", "customers", share("customers", F.sum("customers").over(tier)).alias("share_of_tier")),
+        "opportunity_map": groups("opportunity_map").select("customer_group", million, pct, "customers"),
+        "action_bars": groups("action_bars").select("next_best_action", "customers", "total_cost"),
+        "group_action_detail": groups("group_action_detail").select(
+            "customer_group", "next_best_action", "action_reason", "customers", "revenue", "expected_revenue_180d"),
+    }

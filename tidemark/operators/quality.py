@@ -46,30 +46,56 @@ def by_status(checks: DataFrame, then: str) -> DataFrame:
 # ---------------------------------------------------------------- profile and counts
 
 
-def profile_columns(df: DataFrame, table: str, width: int | None = None) -> DataFrame:
-    """Nulls, null share, distinct values and smallest example of each column, from two aggregates.
+#: Registers of the approximate distinct count, as a power of two: a standard error of 1.04 / sqrt(2^12), 1.6 %.
+SKETCH_LOG_K = 12
 
-    ``width`` shortens the example for display; by default it is whole.
 
-    Distinct values collapse per (column, value) before counting, so neither a
-    dominant value nor a wide table meets one task.
+def distinct_values(df: DataFrame) -> DataFrame:
+    """Exact number of distinct values (not NULL) of every column: (column_name, distinct_values).
+
+    Values travel as two 64-bit hashes, so what is shuffled does not depend on the length of texts. They
+    collapse before the shuffle, so a dominant value is a row for each task. ``collisions`` counts first hashes
+    that stand for several values; the second one tells those apart, and only a pair
+    of values equal in all 128 bits would be taken for one.
     """
-    cells = F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).cast("string").alias("v")) for c in df.columns])
-    values = df.select(F.explode(cells).alias("x")).select("x.column_name", "x.v")
-    tally = values.groupBy("column_name", "v").agg(F.count(F.lit(1)).alias("n"))
-    per_column = tally.groupBy("column_name").agg(
-        F.sum(F.when(F.col("v").isNull(), F.col("n")).otherwise(0)).alias("nulls"),
-        F.sum("n").alias("total_rows"),
-        F.count("v").alias("distinct_values"),
-        F.min("v").alias("example"),
-    )
+    cells = F.array(*[F.struct(
+        F.lit(k).alias("place"), F.xxhash64(v).alias("h1"), F.xxhash64(F.lit("second"), v).alias("h2"), v.isNull().alias("missing"),
+    ) for k, v in enumerate(F.col(f"`{c}`").cast("string") for c in df.columns)])
+    found = df.select(F.explode(F.filter(cells, lambda x: ~x["missing"])).alias("x")).select("x.place", "x.h1", "x.h2")
+    pairs = found.distinct().groupBy("place", "h1").agg(F.count(F.lit(1)).alias("values"))
+    counted = pairs.groupBy("place").agg(F.sum("values").alias("distinct_values"), F.count_if(F.col("values") > 1).alias("collisions"))
+    return counted
+
+
+def profile_columns(df: DataFrame, table: str, width: int | None = None, approximate: bool = False) -> DataFrame:
+    """Nulls, null share, distinct values and smallest example of each column.
+
+    ``width`` shortens the example for display; by default it is whole. Counts and examples come from one aggregate
+    over the columns. Distinct values are exact (``distinct_values``), or with ``approximate`` estimated by a
+    sketch for each column in the same aggregate, without any shuffle of values.
+    """
+    values = {k: F.col(f"`{c}`").cast("string") for k, c in enumerate(df.columns)}
+    sums = [F.count(F.lit(1)).alias("total_rows")]
+    for k, v in values.items():
+        sums += [F.count_if(v.isNull()).alias(f"nulls_{k}"), F.min(v).alias(f"example_{k}")]
+        if approximate:
+            sums.append(F.hll_sketch_estimate(F.hll_sketch_agg(v, F.lit(SKETCH_LOG_K))).alias(f"distinct_{k}"))
+    cells = F.array(*[F.struct(
+        F.lit(k).alias("place"), F.lit(c).alias("column_name"), F.col(f"nulls_{k}").alias("nulls"), F.col(f"example_{k}").alias("example"),
+        (F.col(f"distinct_{k}") if approximate else F.lit(None)).cast("long").alias("estimate"),
+    ) for k, c in enumerate(df.columns)])
+    per_column = df.agg(*sums).select("total_rows", F.explode(cells).alias("x")).select("total_rows", "x.*")
+    if approximate:
+        # A column without values has no sketch to ask.
+        per_column = per_column.withColumn("distinct_values", F.coalesce("estimate", F.lit(0)))
+    else:
+        per_column = per_column.join(F.broadcast(distinct_values(df)), "place", "left").withColumn(
+            "distinct_values", F.coalesce("distinct_values", F.lit(0)).cast("long"))
+    shown = F.regexp_replace("example", "\n", " ")
     return per_column.select(
-        F.lit(table).alias("table_name"), "column_name", "nulls",
-        exact_ratio(F.col("nulls") * 100, "total_rows", 2).alias("null_pct"),
-        "distinct_values",
-        (F.regexp_replace("example", "\n", " ") if width is None
-         else F.substring(F.regexp_replace("example", "\n", " "), 1, width)).alias("example"),
-    )
+        F.lit(table).alias("table_name"), "column_name", "nulls", "total_rows", "distinct_values",
+        (shown if width is None else F.substring(shown, 1, width)).alias("example"),
+    ).select("table_name", "column_name", "nulls", exact_ratio(F.col("nulls") * 100, "total_rows", 2).alias("null_pct"), "distinct_values", "example")
 
 
 def row_counts(tables: Tables) -> DataFrame:

@@ -307,3 +307,17 @@ def model_vs_rules(w):
   select feature, odds_ratio_per_sd, stable_direction from ({STABILITY})""", approx="odds_ratio_per_sd")
 def driver_table(w):
     return dashboards.driver_table(w.coefficients)
+
+
+def _tile_sql():
+    named = {"revenue_band": BAND, "lifecycle_stage": STAGE}
+    for tile, keys in dashboards.TILES.items():
+        cells = ", ".join(f"{named.get(k, k)} as {k}" if k in keys else f"null::{'INT' if k.endswith('_score') else 'VARCHAR'} as {k}" for k in dashboards.TILE_KEYS)
+        yield f"""select '{tile}' as tile, {cells}, count(*) as customers, sum(total_revenue) as revenue, avg(return_probability) as return_rate,
+          sum(action_cost_brl) as total_cost, sum(expected_revenue_180d) as expected_revenue_180d from rule_table group by all"""
+
+
+@query("dashboard_tiles", " union all ".join(_tile_sql()), "revenue total_cost", "return_rate expected_revenue_180d")
+def dashboard_tiles(w):
+    """The groups of all eleven tiles from one scan of the extract."""
+    return w.tile_measures

@@ -317,6 +317,11 @@ class Workspace:
     def extract(self):
         return dashboards.customers_extract(self.rule_table, self.customer_rfm)
 
+    @cached_property
+    def tile_measures(self):
+        """Groups of every dashboard tile; a few hundred rows that all tiles read."""
+        return store(dashboards.tile_measures(self.extract), "tile-measures")
+
     # exploration
     @cached_property
     def gaps(self):
