@@ -103,3 +103,28 @@ def test_exact_quantiles(spark, n):
     want = df.agg(F.percentile("v", F.lit(0.5)), F.percentile("v", F.lit(0.9))).first()
     got = quantiles(df, "v", {"a": 0.5, "b": 0.9}).first()
     assert tuple(got) == pytest.approx(tuple(want))
+
+
+@pytest.mark.parametrize("hot_share", [1, 3, 200])
+def test_split_join_equals_a_plain_join(spark, hot_share):
+    df = frame(spark, "ties").withColumn("k", F.when(F.col("id") % 3 == 0, F.lit(77)).otherwise(F.col("k")))
+    ranks = value_ranks(df, "k")
+    found = attach(df, ranks, "k", hot_share=hot_share, p="pct_rank", n="ties")
+    plain = df.join(ranks.select("k", F.col("pct_rank").alias("p"), F.col("ties").alias("n")), "k", "left")
+    assert found.columns == [*df.columns, "p", "n"]
+    assert sorted(map(repr, rows(found, "id", "k", "p", "n"))) == sorted(map(repr, rows(plain, "id", "k", "p", "n")))
+
+
+def test_a_hot_value_is_dealt_evenly_without_adaptive_execution(spark):
+    df = spark.range(40_000).select("id", F.when(F.col("id") % 10 < 3, F.lit(5.0)).otherwise(F.rand(3)).alias("v")).repartition(6)
+    ranks = value_ranks(df, "v")
+    settings = {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.shuffle.partitions": "8"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        sizes = sorted(r["count"] for r in attach(df, ranks, "v", p="pct_rank").groupBy(F.spark_partition_id()).count().collect())
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert sum(sizes) == 40_000 and len(sizes) == 8 and sizes[-1] < 2 * sizes[4]

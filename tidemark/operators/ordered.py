@@ -164,13 +164,29 @@ def value_ranks(df: DataFrame, key: str, bounded: bool = False) -> DataFrame:
     )
 
 
-def attach(df: DataFrame, ranks: DataFrame, key: str, bounded: bool = False, **columns: str) -> DataFrame:
-    """Join rank columns back to the rows; a hot key only enlarges the side that can be split.
+def attach(df: DataFrame, ranks: DataFrame, key: str, bounded: bool = False, hot_share: int = 200, **columns: str) -> DataFrame:
+    """Join rank columns back to the rows.
 
-    ``bounded``: the key's domain is a handful of values, so their ranks are broadcast.
+    ``bounded``: the key's domain is a handful of values, so their ranks are broadcast. Otherwise the join is
+    split by the measured ties: values with more than 1/``hot_share`` of the rows, fewer than ``hot_share`` of them, are
+    broadcast; only the others are shuffled to meet their ranks. Rows of a broadcast value are dealt evenly by
+    a salt that matches nothing, so no task holds a value's rows, with or without adaptive execution.
     """
-    picked = ranks.select(F.col(key).alias("_key"), *[F.col(c).alias(n) for n, c in columns.items()])
-    return df.join(F.broadcast(picked) if bounded else picked, F.col(key) == F.col("_key"), "left").drop("_key")
+    if bounded:
+        picked = ranks.select(F.col(key).alias("_key"), *[F.col(c).alias(n) for n, c in columns.items()])
+        return df.join(F.broadcast(picked), F.col(key) == F.col("_key"), "left").drop("_key")
+    is_hot = F.col("ties") * hot_share > F.col("rows")
+    values = F.struct(*[F.col(c).alias(n) for n, c in columns.items()])
+    hot = ranks.where(is_hot).select(F.col(key).alias("_hot_key"), values.alias("_hot"))
+    # Not a literal, which the planner would take out of the join keys.
+    no_salt = F.when(F.col("ties") < 0, 1).otherwise(0).alias("_no_salt")
+    rest = ranks.where(~is_hot).select(F.col(key).alias("_key"), no_salt, values.alias("_rest"))
+    met = df.join(F.broadcast(hot), F.col(key) == F.col("_hot_key"), "left")
+    alone = F.col("_hot_key").isNotNull() | F.col(key).isNull()
+    salted = met.withColumn("_salt", F.when(alone, 1 + F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(1 << 20))).otherwise(0).cast("int"))
+    joined = salted.join(rest, (F.col(key) == F.col("_key")) & (F.col("_salt") == F.col("_no_salt")), "left")
+    found = [F.coalesce(F.col(f"_hot.{n}"), F.col(f"_rest.{n}")).alias(n) for n in columns]
+    return joined.select(*[F.col(f"`{c}`") for c in df.columns], *found)
 
 
 def quantiles(df: DataFrame, key: str, points: dict[str, float]) -> DataFrame:
