@@ -66,3 +66,32 @@ def test_odd_rows(odd_documents, no_documents):
     of = {r.doc_id: r.n_tokens for r in counts.collect()}
     assert of[1] == of[2] == of[3] == 0 and of[4] == of[5] > 60_000 and counts.count() == 10
     assert token_rollup.token_counts(no_documents, packing.default_tokenizer()).count() == 0
+
+
+def test_of_two_writers_of_a_batch_one_commits(spark, monkeypatch):
+    first, second = (token_rollup.Rollup(spark, folder) for folder in [fresh_path(spark, "rollup")] * 2)
+    rows = token_rollup.changes(counted(spark, [("a", "en", 5)]), "v1", 1)
+    # The second one looked before the first one was done.
+    monkeypatch.setattr(second, "committed", list)
+    assert first.commit("1", rows) and not second.commit("1", rows)
+    assert as_dict(first.totals()) == {("a", "en", "v1"): (1, 5)}
+    assert second._names("committed") == ["1"] and second._names("attempts") == []
+    first.compact()
+    monkeypatch.setattr(second, "_names", lambda kind: [] if kind == "base" else token_rollup.Rollup._names(second, kind))
+    second.compact()
+    assert as_dict(first.totals()) == {("a", "en", "v1"): (1, 5)} and len(first._names("base")) == 1
+
+
+def test_query_with_missing_and_repeated_ids(spark, tmp_path):
+    rows = [(1, "a b"), (None, "a b"), (None, "c d e"), (None, "c d e"), (2, "a b"), (3, "f"), (3, "f")]
+    spark.createDataFrame([(i, t, "en", "s") for i, t in rows], "doc_id long, text string, lang string, source string").write.parquet(
+        f"{tmp_path}/documents.parquet")
+    encode = Tokenizer.from_file(packing.default_tokenizer()).encode
+    size = {t: len(encode(t, add_special_tokens=False).ids) for _, t in rows}
+    documents, tokens = Counter(), Counter()
+    for doc_id, text in [(1, "a b"), (None, "c d e"), (None, "c d e"), (3, "f"), (3, "f")]:
+        moved = doc_id is not None and zlib.crc32(str(doc_id).encode()) % 2 == 0
+        key = ("s", "en", "word_bpe_49k+end" if moved else "word_bpe_49k")
+        documents[key] += 1
+        tokens[key] += size[text] + moved
+    assert as_dict(op4_token_rollup(spark, str(tmp_path))) == {k: (documents[k], tokens[k]) for k in documents}

@@ -45,16 +45,20 @@ def op3_simhash(spark: SparkSession, folder: str) -> DataFrame:
 
 def op4_token_rollup(spark: SparkSession, folder: str) -> DataFrame:
     """Totals after three batches over the whole table: all documents come, exact copies go, and
-    half of the rest moves to a tokenizer version that counts an end token. The second batch arrives twice."""
+    half of the rest moves to a tokenizer version that counts an end token. The second batch arrives twice.
+
+    Of equal texts the smallest id stays, every row of it. A document without id stays only if its text has no id at
+    all, and never moves."""
     documents = table(spark, folder, "documents")
     keyed = documents.withColumn("content", F.sha2(F.coalesce("text", F.lit("")), 256))
     counted = store(
         token_rollup.token_counts(keyed, packing.default_tokenizer(), ("doc_id", "source", "lang", "content")), "token-counts",
     )
     first = counted.groupBy("content").agg(F.min("doc_id").alias("doc_id"))
-    copies = counted.join(first, ["content", "doc_id"], "left_anti")
+    is_first = (counted["content"] == first["content"]) & counted["doc_id"].eqNullSafe(first["doc_id"])
+    copies = counted.join(first, is_first, "left_anti")
     version, closed = "word_bpe_49k", "word_bpe_49k+end"
-    stays = counted.join(first, ["content", "doc_id"], "left_semi").where("crc32(cast(cast(doc_id as string) as binary)) % 2 = 0")
+    stays = counted.join(first, is_first, "left_semi").where("crc32(cast(cast(doc_id as string) as binary)) % 2 = 0")
     rollup = token_rollup.Rollup(spark, fresh_path(spark, "token-rollup"))
     rollup.commit("inserts", token_rollup.changes(counted, version, 1))
     for _ in range(2):

@@ -19,6 +19,7 @@ import uuid
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -98,9 +99,21 @@ class Rollup:
             return False
         attempt = f"{self.folder}/attempts/{batch}-{uuid.uuid4().hex}"
         summed(rows).coalesce(1).write.parquet(attempt)
-        target = self._path(f"{self.folder}/committed/{batch}")
-        # A rename onto an existing folder would move into it, so the name is asked for again.
-        return not self._fs.exists(target) and self._fs.rename(self._path(attempt), target)
+        return self._take(attempt, f"{self.folder}/committed/{batch}")
+
+    def _take(self, attempt: str, target: str) -> bool:
+        """Give a finished folder its name, unless another writer took the name meanwhile; that is one step of the file system."""
+        fs, source, goal = self.spark._jvm.org.apache.hadoop.fs, self._path(attempt), self._path(target)
+        context = fs.FileContext.getFileContext(goal.toUri(), self.spark._jsc.hadoopConfiguration())
+        no_options = self.spark.sparkContext._gateway.new_array(getattr(fs, "Options$Rename"), 0)
+        try:
+            context.rename(self._fs.makeQualified(source), self._fs.makeQualified(goal), no_options)
+        except Py4JJavaError:
+            if not self._fs.exists(goal):
+                raise
+            self._fs.delete(source, True)
+            return False
+        return True
 
     def _batches(self, names: Sequence[str]) -> DataFrame:
         found = self.spark.createDataFrame([], _SCHEMA)
@@ -128,4 +141,5 @@ class Rollup:
         summed(rows).coalesce(1).write.parquet(f"{attempt}/totals")
         self.spark.createDataFrame([(b,) for b in held], "batch string").coalesce(1).write.parquet(f"{attempt}/batches")
         self._fs.mkdirs(self._path(f"{self.folder}/base"))
-        self._fs.rename(self._path(attempt), self._path(f"{self.folder}/base/{number:010d}"))
+        # If another compaction was faster, its base stands and the next one includes what it lacks.
+        self._take(attempt, f"{self.folder}/base/{number:010d}")
