@@ -48,9 +48,8 @@ def customer_group(cfg: RetentionConfig) -> Column:
     newcomer = (days == 1) & (F.col("days_since_first_purchase") <= cfg.new_customer_days)
     chain = F.when((days >= 2) & (F.col("activity_status") != "Inactive"), "Loyal Customer")
     chain = chain.when(newcomer, "New Customer")
-    for level in ("High", "Medium"):
-        chain = chain.when((tier == level) & at_risk, f"{level} Value - High Risk")
-        chain = chain.when(tier == level, f"{level} Value - Lower Risk")
+    chain = chain.when((tier == "High") & at_risk, "High Value - High Risk").when(tier == "High", "High Value - Lower Risk")
+    chain = chain.when((tier == "Medium") & at_risk, "Medium Value - High Risk").when(tier == "Medium", "Medium Value - Lower Risk")
     return chain.otherwise("Low Value")
 
 
