@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.config import RetentionConfig
 from tidemark.functions.scalars import TOTAL, exact_ratio, month_start
 from tidemark.operators.ordered import value_ranks
+from tidemark.operators.selection import countable, score_cut_values
 
 
 def customer_rollup(joined: DataFrame) -> DataFrame:
@@ -74,9 +75,13 @@ def score_cuts(customers: DataFrame, key: Column, name: str, bounded: bool) -> D
     """One row holding the smallest key of scores 2, 3, 4 and 5.
 
     A fifth is a step function of the ranked value, so four cut values are all the
-    rows need: they are broadcast, and no rank has to be joined back.
+    rows need: they are broadcast, and no rank has to be joined back. Keys of an
+    unbounded domain are selected by counting where they are whole units; few values are ranked in one window.
     """
-    ranks = value_ranks(customers.select(key.alias("key")), "key", bounded=bounded)
+    keys = customers.select(key.alias("key"))
+    if not bounded and countable(keys.schema["key"].dataType):
+        return score_cut_values(keys, "key", name)
+    ranks = value_ranks(keys, "key", bounded=bounded)
     scored = ranks.select("key", fifths(F.col("percent_rank")).alias("score"))
     return scored.agg(*[F.min(F.when(F.col("score") >= s, F.col("key"))).alias(f"{name}_cut{s}") for s in (2, 3, 4, 5)])
 

@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.scalars import share
+from tidemark.operators.selection import countable, selected_quantiles
 from tidemark.sources.scratch import store
 
 Order = Sequence[tuple[str, bool]]  # (column, ascending); NULLs sort lowest
@@ -190,7 +191,9 @@ def attach(df: DataFrame, ranks: DataFrame, key: str, bounded: bool = False, hot
 
 
 def quantiles(df: DataFrame, key: str, points: dict[str, float]) -> DataFrame:
-    """One row of exact, linearly interpolated quantiles of a column with unbounded domain."""
+    """One row of exact, linearly interpolated quantiles: by counting where values are whole units, else by ranks."""
+    if countable(df.schema[key].dataType):
+        return selected_quantiles(df, key, points)
     ranks = value_ranks(df, key)
     picks = []
     for name, q in points.items():

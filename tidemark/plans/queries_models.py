@@ -270,7 +270,7 @@ def lorenz_curve(w):
 @query("revenue_concentration", """
   select share_of_revenue as top20_revenue_share from lorenz where spend_rank = floor(customers * 0.2::DOUBLE)""")
 def revenue_concentration(w):
-    return explore.top_fifth_share(explore.lorenz_curve(w.current))
+    return explore.top_fifth_share(w.current)
 
 
 @query("return_rate_by_recency", """
