@@ -130,3 +130,79 @@ def test_odd_rows(spark, trained):
     assert len({r.text for r in found if r.page_id == 4}) == 1
     assert hb.extract(pages.where("page_id = 1"), sample_pages=5).first().text == ""
     assert hb.extract(pages.where("page_id < 0"), sample_pages=5).count() == 0
+
+
+@pytest.mark.parametrize("part", ["<div>x", '<a "', "<p><td><ul>x", "<script ", "<!", "<b>x", "<p><b>", "<!--", "<a '\"", "<li><a href=x>y"])
+def test_hostile_pages_are_read_in_linear_time(part):
+    """Deep nesting, unclosed quotes, tags and comments: ten times the page takes about ten times as long."""
+    import time
+
+    def seconds(n):
+        began = time.perf_counter()
+        hb.vectors(hb.blocks_of(part * n))
+        return time.perf_counter() - began
+
+    few = max(seconds(3_000), 0.02)
+    assert seconds(30_000) < 40 * few
+
+
+def test_unclosed_quotes_do_not_swallow_what_follows():
+    page = "<p a=\"x>one</p><p>two</p><b 'y>z</b>"
+    assert "".join(b.text for b in hb.blocks_of(page)) == '<p a="x>onetwo<b \'y>z'
+    assert [b.text for b in hb.blocks_of("<p x=\"a>b\" y='c\">d'>one</p><p q=\"r>two")] == ["one", '<p q="r>two']
+
+
+def test_deep_paths_keep_their_features():
+    blocks = hb.blocks_of("<div class=ad>" * 300 + "x" + "</div>" * 300 + "<p>y")
+    assert len(blocks[0].path) == 600 and blocks[1].path == ("p",)
+    assert (blocks[1].tags == hb.Block.of(("p",), "y", 0).tags).all()
+    assert (blocks[0].tags == hb.Block.of(blocks[0].path, "x", 0).tags).all()
+
+
+STORY = "The town on the hill, which few had seen, kept its {} gates open all through the long winter of that year."
+
+
+def div_page(k):
+    text = "".join(f"<div class=t>{STORY.format(w)}</div>" for w in ("old", "iron", f"{k}th"))
+    menu = "".join(f"<div class=m><a href=/{i}>Item {i}</a></div>" for i in range(4))
+    return f"<body><div class=menu>{menu}</div><div class=b>{text}</div><div class=footer>Owner {k}</div></body>"
+
+
+def test_tables_without_articles_are_learned_by_density(spark):
+    pages = spark.createDataFrame([(k, div_page(k), "u") for k in range(60)], "page_id long, html string, url string")
+    found = hb.extract(pages).collect()
+    assert all(r.text.split("\n") == [STORY.format(w) for w in ("old", "iron", f"{r.page_id}th")] for r in found)
+
+
+def test_nothing_to_learn_from_gives_a_trained_labeller():
+    model, start = hb.train([]), hb.Labeller(seed=7)
+    assert not np.allclose(model.p["o"], start.p["o"])
+    blocks = hb.blocks_of("<body><nav><a href=/>Home</a></nav><article><p>" + STORY + "</p></article><footer>All rights</footer>")
+    assert model.label([hb.vectors(blocks)])[0].tolist() == [False, True, False]
+
+
+def test_articles_are_found_among_many_pages_without_any(spark):
+    rows = [(k, div_page(k)) for k in range(300)] + [(900, PAGE)]
+    pages = spark.createDataFrame(rows, "page_id long, html string").repartition(3)
+    assert hb.sampled_pages(pages, "html", 20) == [PAGE]
+
+
+@pytest.mark.parametrize("wrapper, part", [("<div class=story>", "<div class=promo-box>"), ("<section class=entry-content>", "<aside>")])
+def test_layouts_held_out(trained, wrapper, part):
+    """The texts stand in layouts that no page of the table has."""
+    right = wrong = 0
+    for k in range(40):
+        body = [STORY.format(f"{w} {k}") for w in ("old", "new", "high")]
+        page = f"<body><header><a href=/>Site {k}</a></header>{part}<p>Buy {k} now</p></aside></div>{wrapper}" + "".join(f"<p>{b}</p>" for b in body)
+        blocks = hb.blocks_of(page + "</div></section><footer>Imprint</footer>")
+        keep = trained.label([hb.vectors(blocks)])[0]
+        for b, said in zip(blocks, keep, strict=True):
+            right, wrong = right + (said == (b.text in body)), wrong + (said != (b.text in body))
+    assert right >= 0.95 * (right + wrong)
+
+
+def test_long_pages_are_learned_whole():
+    page = "<article>" + "".join(f"<p>{STORY.format(k)}</p>" for k in range(400)) + "</article>"
+    data = hb.examples([page], 0, np.random.default_rng(0))
+    assert [len(v) for v, _ in data] == [400]
+    assert [len(b) for b in hb.batches_of(data * 70, steps=4_000)] == [10] * 7
