@@ -140,7 +140,7 @@ def with_next(documents: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     guest = F.struct(F.col("before").alias("slice"), F.lit(True).alias("guest"))
     places = F.when(F.col("id").eqNullSafe(F.col("head")), F.array(own, guest)).otherwise(F.array(own))
     sent = marked.select("id", "body", F.explode(places).alias("to")).select("id", "body", "to.*")
-    placed = sent.repartition(n, "slice").sortWithinPartitions("slice", "guest", F.col("id").desc_nulls_last(), "body")
+    placed = sent.repartitionById(n, F.col("slice")).sortWithinPartitions("slice", "guest", F.col("id").desc_nulls_last(), "body")
     id_type = rows.schema["id"].dataType
     schema = T.StructType([
         T.StructField(id_col, id_type), T.StructField("n_chars", T.LongType()), T.StructField("edited_sha256", T.StringType()),
