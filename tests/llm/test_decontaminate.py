@@ -1,6 +1,9 @@
 import hashlib
 import re
 
+import pyarrow as pa
+import pytest
+
 from tidemark.llm import decontaminate
 from tidemark.llm.queries import op1_decontaminate
 from tidemark.llm.texts import word_edges
@@ -63,6 +66,34 @@ def test_blocks_give_the_same(spark):
     assert sorted(rows_of(decontaminate.contamination(documents, items, block_bytes=300))) == sorted(brute(TEXTS, ITEMS))
 
 
+@pytest.mark.parametrize("n_blocks, buffer_bytes, builds", [(1, 10_000_000, 1), (4, 10_000_000, 4), (4, 1, 1 + 3 * 30)])
+def test_an_automaton_is_built_once_for_all_gathered_batches(monkeypatch, n_blocks, buffer_bytes, builds):
+    built = []
+
+    class Counted(decontaminate.Windows):
+        def __init__(self, items, window):
+            built.append(len(items))
+            super().__init__(items, window)
+
+    class Sent:
+        def __init__(self, value):
+            self.value = value
+
+    monkeypatch.setattr(decontaminate, "Windows", Counted)
+    decontaminate._BUILT.clear()
+    items = [(str(i), f"word{i} and word{i + 1} in item {i}".encode()) for i in range(40)]
+    blocks = [(f"{n_blocks}-{buffer_bytes}-{k}", Sent(items[k::n_blocks])) for k in range(n_blocks)]
+    texts = [f"this is word{i} and word{i + 1} in item {i} again" for i in range(60)]
+    batches = [
+        pa.RecordBatch.from_pydict({"kept": [{"doc_id": i} for i in range(k, k + 2)], "body": texts[k:k + 2]}) for k in range(0, 60, 2)
+    ]
+    out = list(decontaminate._scanned(iter(batches), blocks, 10, buffer_bytes))
+    decontaminate._BUILT.clear()
+    assert len(built) == builds and [b.num_rows for b in out] == [2] * 30
+    found = [f["item_ids"] for b in out for f in b.column("found").to_pylist()]
+    assert found == [[str(i)] if i < 40 else [] for i in range(60)]
+
+
 def test_spans_are_offsets_of_the_original(spark):
     documents = spark.createDataFrame(TEXTS, "doc_id long, text string")
     items = spark.createDataFrame(ITEMS, "item_id long, text string")

@@ -3,6 +3,7 @@ import hashlib
 import numpy as np
 from hypothesis import given
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from tidemark.llm import multiset_hash as mh
 from tidemark.llm.queries import op8_multiset_hash, table
@@ -66,3 +67,14 @@ def test_odd_rows(odd_documents, no_documents, spark):
     nulls = spark.createDataFrame([(None, "a b c"), (None, "d e f"), (3, "g h i j k")], "doc_id long, text string")
     found = mh.with_next(nulls).collect()
     assert sorted(r.n_chars for r in found) == [5, 5, 9]
+
+
+def test_every_slice_has_its_own_task(spark):
+    documents = spark.range(4_000).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), "id").alias("text")).repartition(3)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", "16")
+    try:
+        sizes = [r.n for r in mh.with_next(documents).groupBy(F.spark_partition_id()).agg(F.count("*").alias("n")).collect()]
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert sum(sizes) == 4_000 and len(sizes) == 16 and max(sizes) < 1.2 * 4_000 / 16

@@ -9,7 +9,8 @@ original text.
 The automaton is built in the Python workers from broadcast item texts. A broadcast
 holds at most about ``block_bytes`` of patterns: a larger benchmark is dealt by hash
 into more blocks, and every block is scanned, so memory is bounded and no item is
-left out.
+left out. A worker then gathers about ``buffer_bytes`` of documents before it turns to the
+next block, so that an automaton is built once for all of them, not once a batch.
 """
 
 from __future__ import annotations
@@ -74,10 +75,10 @@ _BUILT: dict[str, Windows] = {}
 
 def _built(block, window: int) -> Windows:
     """The automaton of a broadcast block; a worker keeps one at a time."""
-    name, items = block.value
+    name, items = block
     if name not in _BUILT:
         _BUILT.clear()
-        _BUILT[name] = Windows(items, window)
+        _BUILT[name] = Windows(items.value, window)
     return _BUILT[name]
 
 
@@ -109,7 +110,8 @@ def _scan_blocks(texts: list[bytes | None], blocks: list, window: int) -> list[t
     hits: list[np.ndarray | None] = [None] * len(texts)
     items: list[set[str]] = [set() for _ in texts]
     padded = [b" " + normalise(t or b"") + b" " for t in texts]
-    for block in blocks:
+    # The automaton that the last call left comes first, so each further one is built once a call.
+    for block in sorted(blocks, key=lambda b: b[0] not in _BUILT):
         windows = _built(block, window)
         for k, p in enumerate(padded):
             if len(p) > 2 and (matches := windows.matches(p.decode("latin-1"))):
@@ -123,8 +125,36 @@ def _scan_blocks(texts: list[bytes | None], blocks: list, window: int) -> list[t
     ]
 
 
+def _gathered(batches: Iterator[pa.RecordBatch], most: int) -> Iterator[list[pa.RecordBatch]]:
+    """Batches in groups of about ``most`` bytes."""
+    group, size = [], 0
+    for batch in batches:
+        group.append(batch)
+        size += batch.nbytes
+        if size >= most:
+            yield group
+            group, size = [], 0
+    if group:
+        yield group
+
+
+def _scanned(batches: Iterator[pa.RecordBatch], blocks: list, window: int, buffer_bytes: int) -> Iterator[pa.RecordBatch]:
+    """``kept`` and ``found`` of every row. With more than one block, texts wait for each other, not for each automaton."""
+    for group in _gathered(batches, buffer_bytes if len(blocks) > 1 else 0):
+        texts = [t for batch in group for t in raw_texts(batch.column("body"))]
+        rows = iter(_scan_blocks(texts, blocks, window))
+        for batch in group:
+            own = [next(rows) for _ in range(batch.num_rows)]
+            n_words, n_hit, items, spans = (list(x) for x in zip(*own, strict=True)) if own else ([], [], [], [])
+            found = pa.StructArray.from_arrays([
+                pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()),
+                pa.array(items, pa.list_(pa.string())), pa.array(spans, _SPAN),
+            ], names=FOUND.names)
+            yield pa.RecordBatch.from_arrays([batch.column("kept"), found], names=["kept", "found"])
+
+
 def item_blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int, block_bytes: int) -> list:
-    """Broadcast item texts, at most about ``block_bytes`` of patterns in each."""
+    """Names and broadcast item texts, at most about ``block_bytes`` of patterns in each."""
     items = benchmark.select(
         F.coalesce(F.col(id_col).cast("string"), F.lit("")).alias("item_id"), F.col(text_col).alias("item_text"),
     ).where(F.col("item_text").isNotNull()).distinct()
@@ -134,10 +164,7 @@ def item_blocks(benchmark: DataFrame, id_col: str, text_col: str, window: int, b
     dealt = items.withColumn("block", F.pmod(F.xxhash64("item_id", "item_text"), F.lit(n)))
     context = benchmark.sparkSession.sparkContext
     return [
-        context.broadcast((
-            uuid.uuid4().hex,
-            [(r.item_id, r.item_text.encode()) for r in dealt.where(F.col("block") == k).collect()],
-        ))
+        (uuid.uuid4().hex, context.broadcast([(r.item_id, r.item_text.encode()) for r in dealt.where(F.col("block") == k).collect()]))
         for k in range(n)
     ]
 
@@ -151,6 +178,7 @@ def contamination(
     item_text: str = "text",
     window: int = 10,
     block_bytes: int = 4_000_000,
+    buffer_bytes: int = 32_000_000,
 ) -> DataFrame:
     """The ``carry`` columns of every document with a struct ``found``.
 
@@ -166,14 +194,6 @@ def contamination(
     schema = T.StructType([picked.schema["kept"], T.StructField("found", FOUND)])
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = raw_texts(batch.column("body"))
-            rows = _scan_blocks(texts, blocks, window)
-            n_words, n_hit, items, spans = (list(x) for x in zip(*rows, strict=True)) if rows else ([], [], [], [])
-            found = pa.StructArray.from_arrays([
-                pa.array(n_words, pa.int64()), pa.array(n_hit, pa.int64()),
-                pa.array(items, pa.list_(pa.string())), pa.array(spans, _SPAN),
-            ], names=FOUND.names)
-            yield pa.RecordBatch.from_arrays([batch.column("kept"), found], names=["kept", "found"])
+        return _scanned(batches, blocks, window, buffer_bytes)
 
     return picked.mapInArrow(scan, schema).select("kept.*", "found")
