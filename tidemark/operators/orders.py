@@ -21,6 +21,16 @@ FACT_COLUMNS = [
 ]
 
 
+def gathered(lines: DataFrame, key: str = "order_id") -> DataFrame:
+    """Lines with an order, brought to the task of their order before they are rolled up.
+
+    An order has few lines, so a partial aggregate before the shuffle keeps nearly every line of a file in a
+    hash map (or a sort) and saves nothing; here a task holds the orders of one shuffle partition only, and the
+    roll-up needs no other exchange, not even to meet the orders. Lines without an order are left out.
+    """
+    return lines.where(F.col(key).isNotNull()).repartition(key)
+
+
 def items_per_order(items: DataFrame) -> DataFrame:
     """Sums collapse map-side; both distinct counts shuffle on (order, value), never on the order alone."""
     return items.groupBy("order_id").agg(

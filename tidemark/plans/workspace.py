@@ -136,7 +136,10 @@ class Workspace:
     @cached_property
     def joined_orders(self):
         joined = orders.joined_orders(
-            self.stg_orders, self.stg_customers, self.items_per_order, self.payments_per_order, self.reviews_per_order
+            self.stg_orders, self.stg_customers,
+            orders.items_per_order(orders.gathered(self.stg_order_items)),
+            orders.payments_per_order(orders.gathered(self.stg_order_payments)),
+            orders.reviews_per_order(orders.gathered(self.stg_order_reviews)),
         )
         return self._shared(joined, "joined-orders")
 
