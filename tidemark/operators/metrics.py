@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.config import RetentionConfig
 from tidemark.functions.scalars import TOTAL, exact_ratio, months_between_starts
+from tidemark.operators.orders import gathered
 from tidemark.sources.scratch import store
 
 
@@ -119,10 +120,10 @@ def customer_acquisition_monthly(customers: DataFrame) -> DataFrame:
 def category_lines(items: DataFrame, joined: DataFrame, products: DataFrame) -> DataFrame:
     """One row per (order, product) of valid orders with its category and sums.
 
-    Lines are summed per (order, product) before they meet the orders and the
-    products, which shrinks any order or product with very many lines.
+    Lines are brought to their orders once, summed there per (order, product) and joined
+    with the orders in place; only then do they move on to the products.
     """
-    lines = items.groupBy("order_id", "product_id").agg(
+    lines = gathered(items).groupBy("order_id", "product_id").agg(
         F.count(F.lit(1)).alias("lines"),
         F.sum("item_price").cast(TOTAL).alias("price"),
         F.count("item_price").alias("priced"),
