@@ -93,12 +93,19 @@ def history_rollup(history: DataFrame, reviews: DataFrame, dates: DataFrame) ->
     """
     ordered = sorted({r.as_of_date for r in dates.collect()} - {None})  # the snapshot dates of the run
     located = F.when(F.col("customer_state").isNotNull(), F.struct("purchased_at", "order_id", "customer_state"))
-    slots = _events(history, reviews, ordered).groupBy("customer_unique_id", "slot").agg(
+    # A person has at most one row for each slot and day, so all of them can then meet in one task.
+    per_day = _events(history, reviews, ordered).groupBy("customer_unique_id", "slot", F.to_date("purchased_at").alias("day")).agg(
         F.min("purchased_at").alias("first"), F.max("purchased_at").alias("last"), F.count("order_id").alias("orders"),
-        F.countDistinct(F.to_date("purchased_at")).alias("days"), F.sum("order_revenue").cast(TOTAL).alias("revenue"),
+        F.sum("order_revenue").cast(TOTAL).alias("revenue"),
         F.sum("item_count").alias("items"), F.max(located).alias("place"), F.max("late").alias("late"),
         F.sum("review_score").alias("score_sum"), F.count("review_score").alias("scores"),
     )
+    slots = per_day.repartition("customer_unique_id").groupBy("customer_unique_id", "slot").agg(
+        F.min("first").alias("first"), F.max("last").alias("last"), F.sum("orders").alias("orders"),
+        F.count("day").alias("days"), F.sum("revenue").cast(TOTAL).alias("revenue"),
+        F.sum("items").alias("items"), F.max("place").alias("place"), F.max("late").alias("late"),
+        F.sum("score_sum").alias("score_sum"), F.sum("scores").alias("scores"),
+    )
     by_slot = Window.partitionBy("customer_unique_id").orderBy("slot")
     so_far, later = by_slot.rowsBetween(Window.unboundedPreceding, Window.currentRow), by_slot.rowsBetween(1, Window.unboundedFollowing)
     until = F.coalesce(F.lead("slot").over(by_slot), F.lit(len(ordered)))
