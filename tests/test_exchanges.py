@@ -54,7 +54,26 @@ def test_purchase_days_of_a_slot_count_once(spark, people):
     reviews = spark.createDataFrame([], "order_id string, review_score double, survey_answered_at timestamp_ntz")
     dates = snapshots.as_of_table(spark, [dt.date(2017, 5, 3), dt.date(2017, 6, 1)])
     rolled = snapshots.history_rollup(history, reviews, dates)
+    # Slots are in the exchange of the days only; the next one is by person.
+    assert len([line for line, _ in below_exchanges(rolled) if "slot" in line]) == 1
     got = {(r.customer_unique_id, r.as_of_date.month): (r.all_purchase_days, r.order_count, r.monetary, r.customer_state) for r in rolled.collect()}
     assert got == {(p, m): v for p in people for m, v in ((5, (2, 4, 40.0, "SP")), (6, (3, 6, 60.0, "SP")))}
-    by = [line for line, _ in below_exchanges(rolled) if "slot" in line and "day" not in line]
-    assert not by, by  # after the days only one exchange follows, by person
+
+
+def test_wide_rows_move_by_customer_only(workspace):
+    """Percentiles are joined to ids; no wide row is shuffled by its spend or likelihood."""
+    found = [line for line, _ in below_exchanges(workspace.rule_tiered) if "total_revenue" in line or "return_probability" in line]
+    wide = [below for line, below in below_exchanges(workspace.rule_tiered) if line in found and "rfm_segment" in below]
+    assert not wide
+    stored = next(v for v in workspace.rule_tiered.inputFiles() if "/scored-" in v)
+    assert len(workspace.spark.read.parquet(stored).columns) == 3
+
+
+def test_review_means_follow_from_slots(spark, workspace):
+    dates = snapshots.as_of_table(spark, [dt.date(1999, 3, 1), dt.date(2000, 6, 1)])
+    rolled = snapshots.history_rollup(workspace.history, workspace.reviews, dates)
+    total, count = (F.sum(c) for c in snapshots.REVIEW_PARTS)
+    by_person = rolled.groupBy("as_of_date").agg((total / count).alias("known_mean"))
+    by_slot = snapshots.known_review_mean(workspace.history, workspace.reviews, dates)
+    assert sorted(by_slot.collect()) == sorted(by_person.collect()) and by_slot.count() == 2
+    assert "customer_unique_id" not in plan(by_slot).split("Exchange hashpartitioning(slot")[0]

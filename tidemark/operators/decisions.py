@@ -68,12 +68,13 @@ def next_best_action(df: DataFrame, cfg: RetentionConfig) -> DataFrame:
     )
 
 
-def with_percentiles(df: DataFrame) -> DataFrame:
-    """Average-tie percentiles of spend and likelihood, joined back by value."""
+def percentiles(df: DataFrame) -> DataFrame:
+    """customer_unique_id with average-tie percentiles of spend and likelihood, joined back by value."""
     value = value_ranks(df.select("total_revenue"), "total_revenue")
     likelihood = value_ranks(df.select("return_probability"), "return_probability")
     ranked = attach(df, value, "total_revenue", value_pct="pct_rank")
-    return attach(ranked, likelihood, "return_probability", likelihood_pct="pct_rank")
+    attached = attach(ranked, likelihood, "return_probability", likelihood_pct="pct_rank")
+    return attached.select("customer_unique_id", "value_pct", "likelihood_pct")
 
 
 def priority_score(cfg: RetentionConfig) -> Column:
@@ -85,10 +86,16 @@ def priority_score(cfg: RetentionConfig) -> Column:
     return half_even(F.lit(100.0) * mix, 1)
 
 
-def tiered(joined: DataFrame, cfg: RetentionConfig) -> DataFrame:
-    """Everything a single row can decide once its percentiles are known."""
-    # Three readers follow (two rankings and the rows), so the join is stored once.
-    rows = with_percentiles(store(joined, "scored"))
+def tiered(scored: DataFrame, rfm: DataFrame, cfg: RetentionConfig) -> DataFrame:
+    """Everything a single row can decide once its percentiles are known. Both inputs have one row a customer.
+
+    Three columns are stored for the two rankings and meet their percentiles by value. The wide rows move once, by
+    customer, where scores, mart and percentiles join.
+    """
+    keys = scored.select("customer_unique_id", "return_probability").join(
+        rfm.select("customer_unique_id", "total_revenue"), "customer_unique_id")
+    ranked = percentiles(store(keys, "scored"))
+    rows = scored_with_rfm(scored, rfm).join(ranked, "customer_unique_id")
     rows = rows.withColumn("value_tier", value_tier())
     rows = rows.withColumn("risk_tier", risk_tier(F.col("likelihood_pct"), cfg))
     rows = rows.withColumn("customer_group", customer_group(cfg))
@@ -112,7 +119,7 @@ def add_budget_columns(df: DataFrame) -> DataFrame:
 
 
 def decide(scored: DataFrame, rfm: DataFrame, cfg: RetentionConfig) -> DataFrame:
-    return add_budget_columns(tiered(scored_with_rfm(scored, rfm), cfg))
+    return add_budget_columns(tiered(scored, rfm, cfg))
 
 
 def action_slug(action: str) -> str:

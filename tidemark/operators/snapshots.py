@@ -70,14 +70,20 @@ def _events(history: DataFrame, reviews: DataFrame, dates: Sequence[dt.date]) ->
     orders = bought.withColumn("event", F.explode(both)).select(
         "customer_unique_id", "event.*", *[
             F.when(F.col("event.is_order"), F.col(c)).alias(c) for c in ("purchased_at", "order_id", "customer_state", "order_revenue", "item_count")])
-    asked = bought.select("order_id", "customer_unique_id", "purchased_at")
-    answers = reviews.where(F.col("survey_answered_at").isNotNull()).join(asked, "order_id").select(
-        "customer_unique_id", known("purchased_at", "survey_answered_at").alias("slot"), "review_score")
+    answers = _answers(history, reviews, dates)
     events = orders.unionByName(answers, allowMissingColumns=True)
     # After the last date only purchases matter, for the label.
     return events.where((F.col("slot") < len(dates)) | F.col("purchased_at").isNotNull())
 
 
+def _answers(history: DataFrame, reviews: DataFrame, dates: Sequence[dt.date]) -> DataFrame:
+    """Answered reviews of bought orders, under the slot in which both are known."""
+    asked = history.where(F.col("purchased_at").isNotNull()).select("order_id", "customer_unique_id", "purchased_at")
+    slot = slot_of(F.greatest("purchased_at", "survey_answered_at"), dates)
+    return reviews.where(F.col("survey_answered_at").isNotNull()).join(asked, "order_id").select(
+        "customer_unique_id", slot.alias("slot"), "review_score")
+
+
 def customer_history(history: DataFrame, reviews: DataFrame, dates: DataFrame) -> DataFrame:
     return history_rollup(history, reviews, dates).drop(*REVIEW_PARTS, "next_purchase_at")
 
@@ -128,10 +134,16 @@ def history_rollup(history: DataFrame, reviews: DataFrame, dates: DataFrame) ->
     )
 
 
-def known_review_mean(rollup: DataFrame) -> DataFrame:
-    """One row per as-of date: mean of every review answered by then, from the persons' sums."""
-    total, count = (F.sum(c) for c in REVIEW_PARTS)
-    return rollup.groupBy("as_of_date").agg(F.when(count > 0, total / count).alias("known_mean"))
+def known_review_mean(history: DataFrame, reviews: DataFrame, dates: DataFrame) -> DataFrame:
+    """One row per as-of date: mean of every review answered by then, from the sums of the slots."""
+    ordered = sorted({r.as_of_date for r in dates.collect()} - {None})
+    sums = _answers(history, reviews, ordered).groupBy("slot").agg(
+        F.sum("review_score").alias("total"), F.count("review_score").alias("count"))
+    days = F.array(*[F.lit(d) for d in ordered]).cast("array<date>")
+    # An answer is known at the first date after it and at all later ones.
+    known = sums.select("total", "count", F.explode(F.slice(days, F.col("slot") + 1, len(ordered))).alias("as_of_date"))
+    count = F.sum("count")
+    return known.groupBy("as_of_date").agg(F.when(count > 0, F.sum("total") / count).alias("known_mean"))
 
 
 def build_features(history: DataFrame, reviews: DataFrame, dates: DataFrame) -> DataFrame:
@@ -140,7 +152,7 @@ def build_features(history: DataFrame, reviews: DataFrame, dates: DataFrame) ->
 
 def _features(history: DataFrame, reviews: DataFrame, dates: DataFrame) -> DataFrame:
     rollup = history_rollup(history, reviews, dates)
-    means = known_review_mean(rollup)
+    means = known_review_mean(history, reviews, dates)
     base = rollup.where(F.col("customer_unique_id").isNotNull())
     as_of = F.col("as_of_date").cast("timestamp_ntz")
     since_first = elapsed_days(as_of, "first_purchase_at")

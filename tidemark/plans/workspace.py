@@ -47,7 +47,7 @@ class Workspace:
     """Models over the nine raw tables.
 
     ``keep`` also stores the models that only some uses read several times (joined
-    orders, customer months, history, labels). The session's skew-join setting is
+    orders, customer months, labels). The session's skew-join setting is
     switched on, because people and products may hold a large share of the rows.
     """
 
@@ -199,7 +199,8 @@ class Workspace:
     # snapshots
     @cached_property
     def history(self):
-        return self._shared(snapshots.purchase_history(self.joined_orders), "history")
+        # Only a filter and some columns of the joined orders, so storing it again would save nothing.
+        return snapshots.purchase_history(self.joined_orders)
 
     @cached_property
     def reviews(self):
@@ -254,8 +255,10 @@ class Workspace:
     @cached_property
     def rule_scores(self):
         """Test-set scores of the three rules."""
-        test = store(self.test_only.select(
-            "customer_unique_id", "recency_days", "purchase_days", "monetary", "returned"), "test-set")
+        return self._rules(self.test_only)
+
+    def _rules(self, test: DataFrame) -> dict[str, DataFrame]:
+        test = store(test.select("customer_unique_id", "recency_days", "purchase_days", "monetary", "returned"), "test-set")
         return {
             "Rule: most recent first": model.rule_recency(test),
             "Rule: RFM score": model.rule_rfm(test),
@@ -265,7 +268,8 @@ class Workspace:
     @cached_property
     def test_scores(self):
         scored = model.predict_return(self.train_model, self.test).withColumnRenamed("return_probability", "score")
-        return {"Logistic regression": scored, **self.rule_scores}
+        # The fit has the labelled rows of the test date already; the rules alone build only that date.
+        return {"Logistic regression": scored, **self._rules(self.test if self.keep else self.test_only)}
 
     @cached_property
     def model_evaluation(self):
@@ -286,13 +290,17 @@ class Workspace:
     # decisions
     @cached_property
     def rule_probability(self):
-        """A deterministic stand-in for the model: the RFM rule score as return probability."""
-        return model.rule_rfm(self.current).withColumnRenamed("score", "return_probability")
+        """A deterministic stand-in for the model: the RFM rule score as return probability.
+
+        There is one scoring date and so one row a person; four narrow columns meet their ranks, the rows do not.
+        """
+        inputs = self.current.select("customer_unique_id", "recency_days", "purchase_days", "monetary")
+        scores = model.rule_rfm(inputs).select("customer_unique_id", F.col("score").alias("return_probability"))
+        return self.current.join(store(scores, "rule-scores"), "customer_unique_id")
 
     @cached_property
     def rule_tiered(self):
-        joined = decisions.scored_with_rfm(self.rule_probability, self.customer_rfm)
-        return decisions.tiered(joined, self.cfg)
+        return decisions.tiered(self.rule_probability, self.customer_rfm, self.cfg)
 
     @cached_property
     def rule_decided(self):
