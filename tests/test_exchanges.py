@@ -1,6 +1,7 @@
 """What is shuffled, and in which form: near-unique keys are not aggregated before their shuffle."""
 
 import datetime as dt
+import os
 
 import pytest
 from conftest import SMALL
@@ -77,3 +78,29 @@ def test_review_means_follow_from_slots(spark, workspace):
     by_slot = snapshots.known_review_mean(workspace.history, workspace.reviews, dates)
     assert sorted(by_slot.collect()) == sorted(by_person.collect()) and by_slot.count() == 2
     assert "customer_unique_id" not in plan(by_slot).split("Exchange hashpartitioning(slot")[0]
+
+
+def test_people_leave_other_order_columns_out_of_the_exchanges(spark):
+    from tidemark.plans.workspace import Workspace
+
+    with Workspace.over_star(spark, SMALL, keep=True) as w:
+        stored = w.purchases
+        assert w.customer_rollup.count() and w.history.count() and "joined_orders" not in vars(w)
+        assert stored.columns == orders.PURCHASE_COLUMNS
+        moved = [line for line, _ in below_exchanges(orders.purchases(w._joined()))]
+        assert moved and not [c for c in ("product_id", "seller_id", "payment_type", "payment_installments") if c in plan(orders.purchases(w._joined()))]
+        whole = w.joined_orders.where("is_valid_purchase").select(*stored.columns)
+        assert sorted(map(str, stored.collect())) == sorted(map(str, whole.collect()))
+    with Workspace.over_star(spark, SMALL, keep=True) as w:
+        whole = w.joined_orders
+        assert w.purchases is whole
+
+
+def test_wide_rows_are_not_stored_for_their_contact_order(spark):
+    from tidemark.plans.workspace import Workspace
+
+    with Workspace.over_star(spark, SMALL, keep=True) as w:
+        assert w.rule_decided.count() == w.current.count()
+        folder = w.folder.removeprefix("file:")
+        stored = [p for p in os.listdir(folder) if p.startswith(("tiered-", "scored-", "ordered-"))]
+        assert stored and max(len(spark.read.parquet(f"{w.folder}/{p}").columns) for p in stored) <= 5

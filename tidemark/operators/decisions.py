@@ -89,12 +89,13 @@ def priority_score(cfg: RetentionConfig) -> Column:
 def tiered(scored: DataFrame, rfm: DataFrame, cfg: RetentionConfig) -> DataFrame:
     """Everything a single row can decide once its percentiles are known. Both inputs have one row a customer.
 
-    Three columns are stored for the two rankings and meet their percentiles by value. The wide rows move once, by
-    customer, where scores, mart and percentiles join.
+    Three columns are stored for the two rankings and meet their percentiles by value; the percentiles are stored,
+    as the rows are read twice, for the contact order and for the result. The wide rows are not stored: they move
+    once, by customer, where scores, mart and percentiles join.
     """
     keys = scored.select("customer_unique_id", "return_probability").join(
         rfm.select("customer_unique_id", "total_revenue"), "customer_unique_id")
-    ranked = percentiles(store(keys, "scored"))
+    ranked = store(percentiles(store(keys, "scored")), "scored-percentiles")
     rows = scored_with_rfm(scored, rfm).join(ranked, "customer_unique_id")
     rows = rows.withColumn("value_tier", value_tier())
     rows = rows.withColumn("risk_tier", risk_tier(F.col("likelihood_pct"), cfg))
@@ -105,17 +106,17 @@ def tiered(scored: DataFrame, rfm: DataFrame, cfg: RetentionConfig) -> DataFrame
 def add_budget_columns(df: DataFrame) -> DataFrame:
     """Contact order and running cost: by priority, then spend, then customer id.
 
-    Only four narrow columns are sorted; the unique id brings the result back to the rows.
+    Only four narrow columns are stored and sorted; the unique id brings the result back to the rows, which
+    are a plan over stored tables and join it where they join by customer.
     """
-    rows = store(df, "tiered")
     order = [("priority_score", False), ("total_revenue", False), ("customer_unique_id", True)]
-    narrow = rows.select("customer_unique_id", "priority_score", "total_revenue", "action_cost_brl")
+    narrow = store(df.select("customer_unique_id", "priority_score", "total_revenue", "action_cost_brl"), "tiered")
     scanned = ordered_scan(narrow, order, sums={"cumulative_action_cost_brl": "action_cost_brl"})
     placed = scanned.select(
         "customer_unique_id", F.col("position").alias("priority_rank"),
         F.col("cumulative_action_cost_brl").cast(TOTAL).alias("cumulative_action_cost_brl"),
     )
-    return rows.join(placed, "customer_unique_id").select(*rows.columns, "priority_rank", "cumulative_action_cost_brl")
+    return df.join(placed, "customer_unique_id").select(*df.columns, "priority_rank", "cumulative_action_cost_brl")
 
 
 def decide(scored: DataFrame, rfm: DataFrame, cfg: RetentionConfig) -> DataFrame:

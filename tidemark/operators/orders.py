@@ -20,6 +20,11 @@ FACT_COLUMNS = [
     "days_late",
 ]
 
+PURCHASE_COLUMNS = [
+    "customer_unique_id", "order_id", "customer_state", "customer_city", "customer_zip_code_prefix", "is_valid_purchase",
+    "purchased_at", "purchase_date", "delivered_at", "is_late_delivery", "order_revenue", "item_count", "review_score_avg",
+]
+
 
 def gathered(lines: DataFrame, key: str = "order_id") -> DataFrame:
     """Lines with an order, brought to the task of their order before they are rolled up.
@@ -99,6 +104,11 @@ def joined_orders(
     )
 
 
+def purchases(joined: DataFrame) -> DataFrame:
+    """The valid purchases with what the person roll-up and the snapshots read; all else of the orders can be pruned."""
+    return joined.where("is_valid_purchase").select(*PURCHASE_COLUMNS)
+
+
 def purchase_sequence(joined: DataFrame) -> DataFrame:
     """order_id -> 1, 2, 3... among the person's valid purchases, from the joined orders.
 

@@ -133,15 +133,28 @@ class Workspace:
     def reviews_per_order(self):
         return orders.reviews_per_order(self.stg_order_reviews)
 
-    @cached_property
-    def joined_orders(self):
-        joined = orders.joined_orders(
+    def _joined(self) -> DataFrame:
+        return orders.joined_orders(
             self.stg_orders, self.stg_customers,
             orders.items_per_order(orders.gathered(self.stg_order_items)),
             orders.payments_per_order(orders.gathered(self.stg_order_payments)),
             orders.reviews_per_order(orders.gathered(self.stg_order_reviews)),
         )
-        return self._shared(joined, "joined-orders")
+
+    @cached_property
+    def joined_orders(self):
+        return self._shared(self._joined(), "joined-orders")
+
+    @cached_property
+    def purchases(self):
+        """What people and snapshots read of the joined orders.
+
+        Stored by itself, so that Spark leaves the other columns out of every exchange below; joined orders
+        that are stored already are read instead.
+        """
+        if not self.keep or "joined_orders" in self.__dict__:
+            return self.joined_orders
+        return store(orders.purchases(self._joined()), "purchases")
 
     @cached_property
     def orders_enriched(self):
@@ -161,7 +174,7 @@ class Workspace:
     @cached_property
     def customer_rollup(self):
         # Read by the as-of date, the dimension and two rankings: always stored.
-        return store(customers.customer_rollup(self.joined_orders), "customer-rollup")
+        return store(customers.customer_rollup(self.purchases), "customer-rollup")
 
     @cached_property
     def dim_customers(self):
@@ -199,8 +212,8 @@ class Workspace:
     # snapshots
     @cached_property
     def history(self):
-        # Only a filter and some columns of the joined orders, so storing it again would save nothing.
-        return snapshots.purchase_history(self.joined_orders)
+        # Only a filter and some columns of the purchases, so storing it again would save nothing.
+        return snapshots.purchase_history(self.purchases)
 
     @cached_property
     def reviews(self):
