@@ -101,6 +101,20 @@ def test_word_table_equals_the_tokenizer(reference_tokenizer, text, limit):
         assert got == [reference_tokenizer.encode(t or "", add_special_tokens=False).ids for t in texts]
 
 
+def test_new_words_come_from_their_runs(reference_tokenizer):
+    """Words that differ in their signs and digits alone share the runs that are encoded."""
+    stems = ["Straße", "don't", "word", "naïve", "e\u0301a"]
+    texts = [" ".join(f"{a}{s}{b}" for s in stems for a in ("", "(", "12", "('") for b in ("", ",", "...", "-x3", "é!", "'s", "=\u0338"))]
+    known, encoded = WordIds(packing.default_tokenizer()), []
+    for name in ("encode_into", "encode_runs"):
+        plain = getattr(known, name)
+        setattr(known, name, lambda kept, words, plain=plain: (encoded.extend(words), plain(kept, words))[1])
+    got = [np.frombuffer(ids, "<u4").tolist() for ids in known.of_all([t.encode() for t in texts])]
+    assert got == [reference_tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+    assert b"word..." in known and b"word..." not in encoded and encoded.count(b"word") == 1
+    assert len(encoded) == len(set(encoded)) < len(set(texts[0].split()))
+
+
 def test_word_table_on_real_texts(spark, reference_tokenizer):
     texts = [r.text for r in table(spark, "/root/testdata/sf0.01", "documents").select("text").collect()]
     got = WordIds(packing.default_tokenizer()).of_all([t.encode() for t in texts])
