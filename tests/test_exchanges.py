@@ -7,7 +7,7 @@ import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 
-from tidemark.operators import metrics, orders, snapshots
+from tidemark.operators import metrics, orders, quality, snapshots
 
 
 def plan(df):
@@ -104,3 +104,48 @@ def test_wide_rows_are_not_stored_for_their_contact_order(spark):
         folder = w.folder.removeprefix("file:")
         stored = [p for p in os.listdir(folder) if p.startswith(("tiered-", "scored-", "ordered-"))]
         assert stored and max(len(spark.read.parquet(f"{w.folder}/{p}").columns) for p in stored) <= 5
+
+
+def test_values_meet_before_they_are_counted(spark):
+    rows = spark.createDataFrame([("a", 1), ("b", 2), ("a", 3), (None, 4), (None, 5), ("c", 6), ("c", 7), ("c", 8)], "key string, n int")
+    found = quality.failing_unique(rows, "key")
+    assert {(r.key, r.occurrences) for r in found.collect()} == {("a", 2), ("c", 3)}
+    assert [below for _, below in below_exchanges(found)] and not [below for _, below in below_exchanges(found) if "Aggregate" in below]
+    rolled = rows.groupBy("key").agg(F.count("n").alias("n"))
+    assert quality.failing_unique(rolled, "key", keyed=True).count() == 0
+    assert len(below_exchanges(quality.failing_unique(rolled, "key", keyed=True))) == 1
+
+
+def test_uniqueness_tests_store_no_wide_rows(spark):
+    from tidemark.plans.catalog import load
+    from tidemark.plans.workspace import Workspace
+
+    with Workspace.over_star(spark, SMALL, keep=True) as w:
+        rows = sorted(load()["generic_unique"].build(w).collect())
+        stored = [p for p, folders, _ in os.walk(w.folder.removeprefix("file:")) if not folders and "-" in os.path.basename(p)]
+        columns = {os.path.basename(p).rsplit("-", 1)[0]: spark.read.parquet(p).columns for p in stored}
+        assert "joined_orders" not in vars(w) and columns["purchases"] == orders.KEYED_COLUMNS and not {"joined-orders", "category-lines"} & set(columns)
+        assert max(map(len, columns.values())) == len(orders.KEYED_COLUMNS)
+        moved = plan(orders.purchases(w.keyed._joined(), orders.KEYED_COLUMNS))
+        assert not [c for c in ("product_id", "seller_id", "payment_type", "l_shipdate", "customer_city", "l_tax") if c in moved]
+        assert rows == sorted(quality.generic_unique(w.model).collect())
+    with Workspace.over_star(spark, SMALL, keep=True) as w:
+        whole = w.joined_orders
+        assert w.keyed.joined_orders is whole
+
+
+def test_repeated_keys_are_found_in_narrow_models(spark):
+    from tidemark.plans.workspace import STAR_CONFIG, Workspace
+    from tidemark.sources.star_binding import StarTables, raw_tables
+
+    raw = raw_tables(StarTables(spark, SMALL))
+    few = F.pmod(F.xxhash64("order_id"), F.lit(9)) == 0
+    nobody = raw["customers"].withColumn("customer_unique_id", F.when(F.pmod(F.xxhash64("customer_id"), F.lit(7)) > 0, F.col("customer_unique_id")))
+    twice = {t: raw[t].unionByName(raw[t].where(few)) for t in ("orders", "order_items", "order_reviews")}
+    lost = raw["order_payments"].withColumn("order_id", F.when(~few, F.col("order_id")))
+    with Workspace({**raw, **twice, "customers": nobody, "order_payments": lost}, STAR_CONFIG, keep=True) as w:
+        narrow = sorted(quality.generic_unique(w.keyed.model).collect())
+        assert narrow == sorted(quality.generic_unique(w.model).collect())
+        failed = {r.model for r in narrow if r.failures}
+        assert {"raw_orders", "stg_orders", "stg_order_items", "stg_order_reviews", "orders_enriched", "fct_orders"} <= failed
+        assert not {"dim_customers", "customer_rfm", "items_per_order", "category_performance"} & failed

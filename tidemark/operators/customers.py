@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -10,60 +12,74 @@ from tidemark.functions.scalars import TOTAL, exact_ratio, month_start
 from tidemark.operators.ordered import value_ranks
 from tidemark.operators.selection import countable, score_cut_values
 
+#: Measures and columns that the keys and scores of people and their months come from.
+KEYED_MEASURES = ("first_purchase_date", "last_purchase_date", "order_count", "total_revenue")
+KEYED_COLUMNS = (
+    "customer_unique_id", "acquisition_month", "order_count", "is_repeat_customer", "total_revenue", "days_since_last_purchase", "as_of_date",
+)
+
 
-def customer_rollup(joined: DataFrame) -> DataFrame:
+def customer_rollup(joined: DataFrame, only: Sequence[str] | None = None) -> DataFrame:
     """Valid purchases per person in one aggregation, including the latest location.
 
-    Taking the location as the maximum of a struct replaces a window plus a join.
+    Taking the location as the maximum of a struct replaces a window plus a join. ``only`` names the measures that
+    are read, for orders that hold no other columns.
     """
     latest = F.max(
         F.struct("purchased_at", "order_id", "customer_state", "customer_city", "customer_zip_code_prefix")
     )
+    measures = {
+        "latest": latest,
+        "first_purchase_date": F.min("purchase_date"),
+        "last_purchase_date": F.max("purchase_date"),
+        "order_count": F.count(F.lit(1)),
+        "total_revenue": F.sum("order_revenue").cast(TOTAL),
+        "total_items": F.sum("item_count"),
+        "review_mean": F.avg("review_score_avg"),
+        "late_delivery_count": F.count_if("is_late_delivery"),
+        "delivered_order_count": F.count("delivered_at"),
+    }
     return (
         joined.where("is_valid_purchase")
         .groupBy("customer_unique_id")
-        .agg(
-            latest.alias("latest"),
-            F.min("purchase_date").alias("first_purchase_date"),
-            F.max("purchase_date").alias("last_purchase_date"),
-            F.count(F.lit(1)).alias("order_count"),
-            F.sum("order_revenue").cast(TOTAL).alias("total_revenue"),
-            F.sum("item_count").alias("total_items"),
-            F.avg("review_score_avg").alias("review_mean"),
-            F.count_if("is_late_delivery").alias("late_delivery_count"),
-            F.count("delivered_at").alias("delivered_order_count"),
-        )
+        .agg(*[c.alias(n) for n, c in measures.items() if only is None or n in only])
     )
 
 
-def dim_customers(rollup: DataFrame) -> DataFrame:
-    """One row per identified person; recency counts from the last purchase in the data."""
+def dim_customers(rollup: DataFrame, only: Sequence[str] | None = None) -> DataFrame:
+    """One row per identified person; recency counts from the last purchase in the data.
+
+    ``only`` names the columns that are read, for a roll-up without the others' measures.
+    """
     today = rollup.agg(F.max("last_purchase_date").alias("as_of_date"))
     tenure = F.datediff("last_purchase_date", "first_purchase_date")
     gaps = F.nullif(F.col("order_count") - 1, F.lit(0))
+    columns = {
+        "customer_unique_id": F.col("customer_unique_id"),
+        "customer_state": F.col("latest.customer_state"),
+        "customer_city": F.col("latest.customer_city"),
+        "customer_zip_code_prefix": F.col("latest.customer_zip_code_prefix"),
+        "first_purchase_date": F.col("first_purchase_date"),
+        "acquisition_month": month_start("first_purchase_date"),
+        "last_purchase_date": F.col("last_purchase_date"),
+        "order_count": F.col("order_count"),
+        "is_repeat_customer": F.col("order_count") >= 2,
+        "total_revenue": F.col("total_revenue"),
+        "avg_order_value": exact_ratio("total_revenue", "order_count", 2),
+        "total_items": F.col("total_items"),
+        "items_per_order": exact_ratio("total_items", "order_count", 2),
+        "avg_review_score": F.round("review_mean", 2),
+        "late_delivery_count": F.col("late_delivery_count"),
+        "delivered_order_count": F.col("delivered_order_count"),
+        "days_since_last_purchase": F.datediff("as_of_date", "last_purchase_date"),
+        "customer_tenure_days": tenure,
+        "avg_days_between_purchases": exact_ratio(tenure, gaps, 1),
+        "as_of_date": F.col("as_of_date"),
+    }
     return (
         rollup.where(F.col("customer_unique_id").isNotNull())
         .crossJoin(F.broadcast(today))
-        .select(
-            "customer_unique_id",
-            "latest.customer_state", "latest.customer_city", "latest.customer_zip_code_prefix",
-            "first_purchase_date",
-            month_start("first_purchase_date").alias("acquisition_month"),
-            "last_purchase_date",
-            "order_count",
-            (F.col("order_count") >= 2).alias("is_repeat_customer"),
-            "total_revenue",
-            exact_ratio("total_revenue", "order_count", 2).alias("avg_order_value"),
-            "total_items",
-            exact_ratio("total_items", "order_count", 2).alias("items_per_order"),
-            F.round("review_mean", 2).alias("avg_review_score"),
-            "late_delivery_count",
-            "delivered_order_count",
-            F.datediff("as_of_date", "last_purchase_date").alias("days_since_last_purchase"),
-            tenure.alias("customer_tenure_days"),
-            exact_ratio(tenure, gaps, 1).alias("avg_days_between_purchases"),
-            "as_of_date",
-        )
+        .select(*[c.alias(n) for n, c in columns.items() if only is None or n in only])
     )
 
 

@@ -134,14 +134,16 @@ def category_lines(items: DataFrame, joined: DataFrame, products: DataFrame) ->
     return lines.join(valid, "order_id").join(category, "product_id")
 
 
-def category_performance(items: DataFrame, joined: DataFrame, products: DataFrame) -> DataFrame:
+def category_performance(items: DataFrame, joined: DataFrame, products: DataFrame, stored: bool = True) -> DataFrame:
     """Two levels: (category, order) then category.
 
     The first level makes orders and order-level reviews plain counts and means,
     leaving one distinct count. Products sold are the distinct products of the same
-    lines, which are stored once for both.
+    lines, which are stored once for both; a reader of few columns needs them once and leaves them a plan.
     """
-    lines = store(category_lines(items, joined, products), "category-lines")
+    lines = category_lines(items, joined, products)
+    if stored:
+        lines = store(lines, "category-lines")
     per_order = lines.groupBy("product_category", "order_id").agg(
         F.sum("lines").alias("lines"),
         F.sum("price").cast(TOTAL).alias("price"),

@@ -25,6 +25,12 @@ PURCHASE_COLUMNS = [
     "purchased_at", "purchase_date", "delivered_at", "is_late_delivery", "order_revenue", "item_count", "review_score_avg",
 ]
 
+#: What uniqueness tests of orders, people, months and categories read of the valid purchases.
+KEYED_COLUMNS = [
+    "customer_unique_id", "order_id", "is_valid_purchase", "purchased_at", "purchase_date", "purchase_month", "order_revenue",
+    "item_count", "review_score_avg",
+]
+
 
 def gathered(lines: DataFrame, key: str = "order_id") -> DataFrame:
     """Lines with an order, brought to the task of their order before they are rolled up.
@@ -104,9 +110,9 @@ def joined_orders(
     )
 
 
-def purchases(joined: DataFrame) -> DataFrame:
+def purchases(joined: DataFrame, columns: list[str] = PURCHASE_COLUMNS) -> DataFrame:
     """The valid purchases with what the person roll-up and the snapshots read; all else of the orders can be pruned."""
-    return joined.where("is_valid_purchase").select(*PURCHASE_COLUMNS)
+    return joined.where("is_valid_purchase").select(*columns)
 
 
 def purchase_sequence(joined: DataFrame) -> DataFrame:

@@ -255,7 +255,7 @@ def tests_sql(kind):
 
 @query("generic_unique", tests_sql("unique"))
 def generic_unique(w):
-    return quality.generic_unique(w.model)
+    return quality.generic_unique(w.keyed.model)
 
 
 @query("generic_not_null", tests_sql("not_null"))

@@ -346,7 +346,66 @@ class Workspace:
         """Groups of every dashboard tile; a few hundred rows that all tiles read."""
         return store(dashboards.tile_measures(self.extract), "tile-measures")
 
+    # tests
+    @cached_property
+    def keyed(self):
+        """The same models for tests that read their keys alone."""
+        return KeyedWorkspace(self)
+
     # exploration
     @cached_property
     def gaps(self):
         return explore.repeat_gaps(self.history)
+
+
+class KeyedWorkspace(Workspace):
+    """Models for tests that read one key column of each.
+
+    The joined orders stay a plan, of which Spark takes what a key needs; stored are only the columns that keys,
+    sequences and score cuts come from, so that no wide row is moved or written. Orders that the whole workspace has
+    stored already are read instead. Everything stored goes with the whole workspace.
+    """
+
+    def __init__(self, whole: Workspace):
+        super().__init__(whole.raw, whole.cfg)
+        self.whole = whole
+
+    def _joined(self) -> DataFrame:
+        return self.whole.joined_orders if self.whole.keep and "joined_orders" in vars(self.whole) else super()._joined()
+
+    @cached_property
+    def purchases(self):
+        return store(orders.purchases(self.joined_orders, orders.KEYED_COLUMNS), "purchases")
+
+    # A key of no value is none to test, so lines without an order may be left out here as well.
+    @cached_property
+    def items_per_order(self):
+        return orders.items_per_order(orders.gathered(self.stg_order_items))
+
+    @cached_property
+    def payments_per_order(self):
+        return orders.payments_per_order(orders.gathered(self.stg_order_payments))
+
+    @cached_property
+    def reviews_per_order(self):
+        return orders.reviews_per_order(orders.gathered(self.stg_order_reviews))
+
+    @cached_property
+    def orders_enriched(self):
+        return orders.with_sequence(self.joined_orders, orders.purchase_sequence(self.purchases))
+
+    @cached_property
+    def customer_rollup(self):
+        return store(customers.customer_rollup(self.purchases, customers.KEYED_MEASURES), "customer-rollup")
+
+    @cached_property
+    def dim_customers(self):
+        return customers.dim_customers(self.customer_rollup, customers.KEYED_COLUMNS)
+
+    @cached_property
+    def customer_months(self):
+        return store(metrics.customer_months(self.purchases), "customer-months")
+
+    @cached_property
+    def category_performance(self):
+        return metrics.category_performance(self.stg_order_items, self.purchases, self.dim_products, stored=False)
