@@ -78,9 +78,10 @@ def shingles(text: Column) -> Column:
     none = F.array().cast("array<bigint>")
 
     def of(tokens: Column) -> Column:
-        starts = F.sequence(F.lit(1), F.size(tokens) - (SHINGLE - 1))
+        starts = F.sequence(F.lit(0), F.size(tokens) - SHINGLE)
+        # The same hash as that of a slice, which would be copied for every run.
         return F.when(F.size(tokens) < SHINGLE, none).otherwise(
-            F.transform(starts, lambda i: F.xxhash64(F.slice(tokens, i, SHINGLE))),
+            F.transform(starts, lambda i: F.xxhash64(*[F.get(tokens, i + k) for k in range(SHINGLE)])),
         )
 
     return bound(words(text), of)
@@ -92,9 +93,8 @@ def permuted(hashes: Column) -> Column:
 
 
 def bands(first: Column, second: Column) -> Column:
-    """(band, value) of a window from its hashes and its permuted hashes: the smallest and the largest of either."""
-    values = (F.array_min(first), F.array_max(first), F.array_min(second), F.array_max(second))
-    return F.array(*[F.struct(F.lit(b).alias("band"), v.alias("value")) for b, v in enumerate(values)])
+    """Values of a window's bands from its hashes and its permuted hashes: the smallest and the largest of either."""
+    return F.array(F.array_min(first), F.array_max(first), F.array_min(second), F.array_max(second))
 
 
 def level_of(length: Column) -> Column:
@@ -104,66 +104,46 @@ def level_of(length: Column) -> Column:
     return chosen
 
 
-def _windows(starts: Column, h: Column, g: Column, k: int) -> Column:
-    """Windows of a level: its hashes, its permuted hashes, and the hashes of three windows about it."""
-    size = LEVELS[k][0]
+def _hashed(rows: DataFrame) -> DataFrame:
+    """``rows`` with the shingle hashes of ``body``, ``h.first``, and the same permuted, ``h.second``."""
+    both = bound(shingles(F.col("body")), lambda h: F.struct(h.alias("first"), permuted(h).alias("second")))
+    return rows.withColumn("h", both).drop("body")
 
-    def at(start: Column) -> Column:
-        around = F.slice(h, F.greatest(F.lit(1), start - size), 3 * size)
-        return F.struct(
-            F.lit(k).alias("level"), F.lit(None).cast("long").alias("value"), F.slice(h, start, size).alias("first"),
-            F.slice(g, start, size).alias("second"), around.alias("around"),
-        )
-
-    return F.transform(starts, at)
-
-
-def _single(h: Column) -> Column:
-    """Windows of one shingle are the shingle itself."""
-    none = F.lit(None).cast("array<bigint>")
-    return F.transform(h, lambda x: F.struct(
-        F.lit(0).alias("level"), x.alias("value"), none.alias("first"), none.alias("second"), none.alias("around"),
-    ))
 
+def _banded(rows: DataFrame, starts: Callable[[Column, int], Column]) -> DataFrame:
+    """One row for each band of each window: (level, start, size, band, value) and the columns of ``rows``.
 
-def _banded(windows: DataFrame) -> DataFrame:
-    """One row for each band of the windows in column ``w``."""
-    rows = windows.select("*", "w.*").drop("w")
-    values = F.when(F.col("level") == 0, F.array(F.struct(F.lit(0).alias("band"), F.col("value")))).otherwise(bands(F.col("first"), F.col("second")))
-    kept = [c for c in windows.columns if c != "w"]
-    return rows.select(*kept, "level", F.coalesce("around", F.array("value")).alias("around"), F.explode(values).alias("b")).select(
-        *kept, "level", "around", "b.*")
+    ``starts`` of a length and a level are where its windows start. Only they become rows; the windows are cut out of ``h``
+    by plain expressions, which Spark compiles, as it does not compile lambdas.
+    """
+    n = F.size("h.first")
+    cuts = F.when(n > 0, F.array(*[starts(n, k) for k in range(len(LEVELS))]))
+    found = rows.select("*", F.posexplode(cuts).alias("level", "starts")).select("*", F.explode("starts").alias("start")).drop("starts")
+    found = found.withColumn("size", F.get(F.array(*[F.lit(size) for size, _ in LEVELS]), F.col("level")))
+    found = found.withColumns({c: F.slice(f"h.{c}", "start", "size") for c in ("first", "second")})
+    # Windows of one shingle are the shingle itself.
+    values = F.when(F.col("level") == 0, F.col("first")).otherwise(bands(F.col("first"), F.col("second")))
+    return found.select("*", F.posexplode(values).alias("band", "value")).drop("first", "second")
 
 
 def template_bands(templates: DataFrame) -> DataFrame:
     """(level, band, value, template, parts): every window of every template, at all offsets of its level."""
-    rows = templates.select("template", shingles(F.col("body")).alias("all")).where(F.size("all") > 0)
-    rows = rows.select("template", "all", F.array_distinct("all").alias("parts"), level_of(F.size("all")).alias("level"))
-    found = None
-    for k, (size, _) in enumerate(LEVELS):
-        offsets = F.sequence(F.lit(1), F.greatest(F.lit(1), F.size("all") - (size - 1)))
-        cut = _windows(offsets, F.col("all"), permuted(F.col("all")), k) if k else _single(F.col("all"))
-        made = _banded(rows.where(F.col("level") == k).select("template", "parts", F.explode(cut).alias("w")))
-        found = made if found is None else found.unionByName(made)
-    return found.select("level", "band", "value", "template", "parts").distinct()
-
-
-def document_windows(hashes: Column) -> Column:
-    """Windows of all levels of a document, overlapping by half."""
 
-    def of(h: Column, g: Column) -> Column:
-        cut = [_single(h)]
-        for k, (_, stride) in enumerate(LEVELS):
-            if k:
-                cut.append(_windows(F.sequence(F.lit(1), F.size(h), F.lit(stride)), h, g, k))
-        return F.when(F.size(h) > 0, F.concat(*cut))
+    def starts(n: Column, k: int) -> Column:
+        every = F.sequence(F.lit(1), F.greatest(F.lit(1), n - (LEVELS[k][0] - 1)))
+        return F.when(level_of(n) == k, every).otherwise(F.array().cast("array<int>"))
 
-    return bound(hashes, lambda h: bound(permuted(h), lambda g: of(h, g)))
+    found = _banded(_hashed(templates.select("template", "body")), starts)
+    return found.select("level", "band", "value", "template", F.array_distinct("h.first").alias("parts")).distinct()
 
 
 def document_bands(documents: DataFrame) -> DataFrame:
-    """(key, level, around, band, value): the bands of all windows of every document."""
-    return _banded(documents.select("key", F.explode(document_windows(shingles(F.col("body")))).alias("w")))
+    """(key, level, band, value, around): the bands of all windows of every document, which overlap by half, and the hashes
+    of three windows about each. A broadcast join evaluates ``around`` for its matches only."""
+    found = _banded(_hashed(documents.select("key", "body")), lambda n, k: F.sequence(F.lit(1), n, F.lit(LEVELS[k][1])))
+    size, start = F.col("size"), F.col("start")
+    passage = F.slice("h.first", F.greatest(F.lit(1), start - size), 3 * size)
+    return found.select("key", "level", "band", "value", F.when(F.col("level") == 0, F.array("value")).otherwise(passage).alias("around"))
 
 
 def scan(
